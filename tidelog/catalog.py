@@ -7,16 +7,21 @@ are wider than the library's defaults because the tables are sparse in time.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators.state import current_state
+from tidelog.functions import payload as P
+from tidelog.operators import envelope, tiering
+from tidelog.operators.state import current_state, live_rows, state_as_of
 from tidelog.operators.unify import unified_log
-from tidelog.plans import business
+from tidelog.plans import business, health, lifecycle, timetravel
 from tidelog.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, TableSpec
+from tidelog.session import scratch_dir
 from tidelog.sources import bindings as B
+from tidelog.sources import snapshots, store
+from tidelog.streaming import ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +121,304 @@ def ltv_by_country(spark, sf_dir):
     )
 
 
+# The event table: one log in two stores, retention of ten days.
+
+EVENTS = B.EVENTS_AS_OF
+RETENTION = timedelta(days=10)
+DAY = timedelta(days=1)
+CUTOFF = tiering.cutoff_at(EVENTS, RETENTION)
+VERSION = 12
+MOMENT = datetime(2024, 1, 18, 6, 30)
+# what a hot store pruned at the cutoff still holds, and an archive with gaps
+HOT_ONLY = "commit_timestamp >= timestamp_ntz'2024-01-12'"
+ARCHIVED = "event_id % 11 <> 0"
+
+
+def _users(live: DataFrame) -> DataFrame:
+    """Typed columns of rows of the ``users`` table, whichever way stored."""
+    payload = P.as_variant(live)
+    return live.select(
+        "operation",
+        "record_id",
+        "commit_timestamp",
+        P.field(payload, "status", "string").alias("status"),
+        P.field(payload, "value", "double").alias("value"),
+        P.field(payload, "props", "string").alias("props"),
+        *(c for c in ("ingested_at", "source_store") if c in live.columns),
+    )
+
+
+def propagation_latency(spark, sf_dir):
+    return health.propagation_latency(B.event_log(spark, sf_dir), EVENTS, DAY)
+
+
+def event_volume(spark, sf_dir):
+    return health.event_volume(B.event_log(spark, sf_dir), EVENTS, DAY)
+
+
+def gap_filled_volume(spark, sf_dir):
+    return health.gap_filled_volume(B.event_log(spark, sf_dir), EVENTS, DAY)
+
+
+def events_by_table(spark, sf_dir):
+    return health.events_by_table(B.star_log(spark, sf_dir))
+
+
+def _stores(spark, sf_dir):
+    hot = B.event_log(spark, sf_dir, HOT_ONLY)
+    return hot, B.event_archive(spark, sf_dir, ARCHIVED)
+
+
+def unified_split(spark, sf_dir):
+    hot, cold = _stores(spark, sf_dir)
+    return _users(unified_log(hot, cold, EVENTS, RETENTION))
+
+
+def unified_full(spark, sf_dir):
+    hot, cold = _stores(spark, sf_dir)
+    return _users(unified_log(hot, cold, EVENTS, RETENTION, mode="full"))
+
+
+def users_current(spark, sf_dir):
+    return _users(live_rows(B.event_log(spark, sf_dir))).drop("operation", "ingested_at")
+
+
+def users_unified(spark, sf_dir):
+    hot, cold = _stores(spark, sf_dir)
+    log = unified_log(hot, cold, EVENTS, RETENTION, mode="full", payload="text", copies=True)
+    return _users(live_rows(log)).drop("operation", "ingested_at", "source_store")
+
+
+def events_by_store(spark, sf_dir):
+    hot, cold = _stores(spark, sf_dir)
+    return health.events_by_store(unified_log(hot, cold, EVENTS, RETENTION, payload="text"))
+
+
+def store_extents(spark, sf_dir):
+    return health.store_extents(*_stores(spark, sf_dir))
+
+
+def _archive(spark, sf_dir):
+    archive = B.event_archive(spark, sf_dir)
+    return archive, snapshots.snapshot_log(archive)
+
+
+def snapshot_history(spark, sf_dir):
+    return timetravel.snapshots(_archive(spark, sf_dir)[1])
+
+
+def count_at_version(spark, sf_dir):
+    return timetravel.count_at_version(*_archive(spark, sf_dir), VERSION)
+
+
+def count_at_timestamp(spark, sf_dir):
+    return timetravel.count_at_timestamp(*_archive(spark, sf_dir), MOMENT)
+
+
+def status_mix_at_version(spark, sf_dir):
+    return timetravel.status_mix_at_version(*_archive(spark, sf_dir), VERSION, "users")
+
+
+def status_mix_as_of(spark, sf_dir):
+    return timetravel.status_mix_as_of(B.event_archive(spark, sf_dir), MOMENT, "users")
+
+
+def orders_as_of(spark, sf_dir):
+    log = B.star_log(spark, sf_dir, ORDERS.source_table)
+    return state_as_of(log, ORDERS, datetime(1998, 7, 1))
+
+
+def kept_after_prune(spark, sf_dir):
+    return _users(tiering.kept_rows(B.event_log(spark, sf_dir), CUTOFF))
+
+
+def prune_report(spark, sf_dir):
+    return tiering.prune_report(B.event_log(spark, sf_dir), CUTOFF)
+
+
+def archived_before_cutoff(spark, sf_dir):
+    return tiering.archived_before(B.event_archive(spark, sf_dir, ARCHIVED), CUTOFF)
+
+
+def uncovered_rows(spark, sf_dir):
+    hot = B.event_log(spark, sf_dir)
+    return _users(tiering.uncovered_rows(hot, B.event_archive(spark, sf_dir, ARCHIVED), CUTOFF))
+
+
+def expired_snapshots(spark, sf_dir):
+    history = _archive(spark, sf_dir)[1]
+    return timetravel.snapshots(snapshots.expire_snapshots(history, EVENTS))
+
+
+def lifecycle_audit(spark, sf_dir):
+    return lifecycle.lifecycle_audit(B.star_log(spark, sf_dir, ORDERS.source_table))
+
+
+def lifecycle_rates(spark, sf_dir):
+    return lifecycle.lifecycle_rates(_state(spark, sf_dir, ORDERS), STAR, DAY)
+
+
+# Ingest.
+
+
+def ingest_events(spark, sf_dir):
+    decoded = envelope.decode(B.event_envelopes(spark, sf_dir), ingested_at=EVENTS)
+    return _users(envelope.accepted(decoded)).withColumn("source_table", F.lit("users"))
+
+
+def ingest_archive(spark, sf_dir):
+    decoded = envelope.decode(B.event_envelopes(spark, sf_dir), ingested_at=EVENTS)
+    return _users(envelope.archived(envelope.accepted(decoded)))
+
+
+def _faulty(spark, sf_dir):
+    return envelope.decode(B.event_envelopes(spark, sf_dir, faults=True))
+
+
+def quarantine_reasons(spark, sf_dir):
+    return envelope.reason_counts(_faulty(spark, sf_dir))
+
+
+def record_dispositions(spark, sf_dir):
+    return envelope.dispositions(_faulty(spark, sf_dir), "arrival_id")
+
+
+def ingest_counters(spark, sf_dir):
+    return _faulty(spark, sf_dir).agg(*envelope.counters())
+
+
+def drop_rate(spark, sf_dir):
+    decoded = _faulty(spark, sf_dir)
+    arrivals = B.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("arrival_id"), "ts"
+    )
+    return health.drop_rate(decoded.join(arrivals, "arrival_id"), F.col("ts"), "1 day")
+
+
+# Operators on their own.
+
+
+def customers_left_join(spark, sf_dir):
+    """A left join whose condition also filters the right side."""
+    customers = _state(spark, sf_dir, CUSTOMERS).select("customer_id", "country")
+    shipped = _state(spark, sf_dir, ORDERS).where("status = 'shipped'")
+    shipped = shipped.select("order_id", "customer_id", "total_cents")
+    return customers.join(shipped, "customer_id", "left")
+
+
+def distinct_counts(spark, sf_dir):
+    """Two distinct counts beside a plain one, over the whole log."""
+    log = B.star_log(spark, sf_dir)
+    return log.groupBy("source_table").agg(
+        F.count_distinct("record_id").alias("records"),
+        F.count_distinct("operation").alias("operations"),
+        F.count(F.lit(1)).alias("events"),
+    )
+
+
+def countries_per_status(spark, sf_dir):
+    """Distinct values of a group as one ordered list."""
+    orders = _state(spark, sf_dir, ORDERS)
+    return orders.groupBy("status").agg(business.listed("ship_country").alias("countries"))
+
+
+def share_by_country(spark, sf_dir):
+    """An aggregate over an aggregate: each country's share of all orders."""
+    orders = _state(spark, sf_dir, ORDERS)
+    grouped = orders.groupBy("ship_country").agg(F.count(F.lit(1)).alias("orders"))
+    return business.with_share(grouped, F.col("orders"), "pct_of_total")
+
+
+# Streams, run over what is there and then read back.
+
+ONCE = {"availableNow": True}
+
+
+def _as_files(df: DataFrame, name: str) -> str:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
+def _stream(spark, path: str, log: DataFrame) -> DataFrame:
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 3).parquet(path)
+
+
+def _ingested(spark, sf_dir, start, *places: str, **options):
+    source = _as_files(B.event_envelopes(spark, sf_dir, faults=True), "envelopes")
+    stream = ingest.envelope_stream(spark, source, max_files=3)
+    checkpoint = scratch_dir(spark, "checkpoint")
+    start(stream, *places, checkpoint, trigger=ONCE, **options).awaitTermination()
+
+
+def streamed_hot_log(spark, sf_dir):
+    root = scratch_dir(spark, "hot")
+    _ingested(spark, sf_dir, ingest.start_hot, root)
+    return _users(store.read_hot(spark, root)).drop("ingested_at")
+
+
+def streamed_archive(spark, sf_dir):
+    root, quarantine = scratch_dir(spark, "cold"), scratch_dir(spark, "quarantine")
+    _ingested(spark, sf_dir, ingest.start_cold, root, quarantine)
+    return _users(store.read_cold(spark, root)).drop("ingested_at")
+
+
+def streamed_quarantine(spark, sf_dir):
+    root, quarantine = scratch_dir(spark, "cold"), scratch_dir(spark, "quarantine")
+    _ingested(spark, sf_dir, ingest.start_cold, root, quarantine)
+    refused = ingest.read_quarantine(spark, quarantine)
+    return refused.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+def streamed_once(spark, sf_dir):
+    """The event log sent twice, stored once."""
+    envelopes = B.event_envelopes(spark, sf_dir)
+    source = _as_files(envelopes.union(envelopes), "envelopes")
+    root = scratch_dir(spark, "hot")
+    ingest.start_hot(
+        ingest.envelope_stream(spark, source, max_files=3),
+        root,
+        scratch_dir(spark, "checkpoint"),
+        trigger=ONCE,
+        once_per_event=True,
+    ).awaitTermination()
+    return _users(store.read_hot(spark, root)).drop("ingested_at")
+
+
+def _live(spark, sf_dir, start) -> str:
+    log = B.event_log(spark, sf_dir)
+    source, path = _as_files(log, "log"), scratch_dir(spark, "live")
+    stream = _stream(spark, source, log)
+    start(stream, path, scratch_dir(spark, "checkpoint"), ONCE).awaitTermination()
+    return path
+
+
+def streamed_state(spark, sf_dir):
+    path = _live(spark, sf_dir, live.start_state)
+    state = live_rows(live.read_state_log(spark, path))
+    return _users(state).drop("operation", "ingested_at")
+
+
+def streamed_volume(spark, sf_dir):
+    path = _live(spark, sf_dir, live.start_volume)
+    return live.read_newest(spark, path, "minute", "source_table")
+
+
+def streamed_latency(spark, sf_dir):
+    path = _live(spark, sf_dir, live.start_latency)
+    return live.read_newest(spark, path, "minute", "source_table")
+
+
+def streamed_sales_velocity(spark, sf_dir):
+    log = B.star_log(spark, sf_dir, ORDERS.source_table)
+    source, path = _as_files(log, "log"), scratch_dir(spark, "live")
+    live.start_state(
+        _stream(spark, source, log), path, scratch_dir(spark, "checkpoint"), ONCE
+    ).awaitTermination()
+    orders = current_state(live.read_state_log(spark, path), ORDERS, STAR - DAYS_30)
+    return business.sales_velocity(orders, STAR, DAYS_30)
+
+
 QUERIES: dict[str, Query] = {
     "orders_current": _current(ORDERS),
     "customers_current": _current(CUSTOMERS),
@@ -134,4 +437,45 @@ QUERIES: dict[str, Query] = {
     "low_stock": low_stock,
     "abandoned_carts": abandoned_carts,
     "ltv_by_country": ltv_by_country,
+    "propagation_latency": propagation_latency,
+    "event_volume": event_volume,
+    "gap_filled_volume": gap_filled_volume,
+    "events_by_table": events_by_table,
+    "unified_split": unified_split,
+    "unified_full": unified_full,
+    "users_current": users_current,
+    "users_unified": users_unified,
+    "events_by_store": events_by_store,
+    "store_extents": store_extents,
+    "snapshot_history": snapshot_history,
+    "count_at_version": count_at_version,
+    "count_at_timestamp": count_at_timestamp,
+    "status_mix_at_version": status_mix_at_version,
+    "status_mix_as_of": status_mix_as_of,
+    "orders_as_of": orders_as_of,
+    "kept_after_prune": kept_after_prune,
+    "prune_report": prune_report,
+    "archived_before_cutoff": archived_before_cutoff,
+    "uncovered_rows": uncovered_rows,
+    "expired_snapshots": expired_snapshots,
+    "lifecycle_audit": lifecycle_audit,
+    "lifecycle_rates": lifecycle_rates,
+    "ingest_events": ingest_events,
+    "ingest_archive": ingest_archive,
+    "quarantine_reasons": quarantine_reasons,
+    "record_dispositions": record_dispositions,
+    "ingest_counters": ingest_counters,
+    "drop_rate": drop_rate,
+    "customers_left_join": customers_left_join,
+    "distinct_counts": distinct_counts,
+    "countries_per_status": countries_per_status,
+    "share_by_country": share_by_country,
+    "streamed_hot_log": streamed_hot_log,
+    "streamed_archive": streamed_archive,
+    "streamed_quarantine": streamed_quarantine,
+    "streamed_once": streamed_once,
+    "streamed_state": streamed_state,
+    "streamed_volume": streamed_volume,
+    "streamed_latency": streamed_latency,
+    "streamed_sales_velocity": streamed_sales_velocity,
 }

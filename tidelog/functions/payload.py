@@ -43,3 +43,17 @@ def event_key(table: Column, operation: Column, record: Column, commit: Column,
     for part in parts:
         pieces += [F.length(part).cast("string"), F.lit(":"), part]
     return F.sha2(F.concat(*pieces), 256)
+
+
+def with_event_key(log: DataFrame) -> DataFrame:
+    """The log with ``event_key`` in front, computed where it is not stored."""
+    if "event_key" in log.columns:
+        return log
+    key = event_key(
+        F.col("source_table"),
+        F.col("operation"),
+        F.col("record_id"),
+        F.col("commit_timestamp"),
+        as_text(log),
+    )
+    return log.select(key.alias("event_key"), "*")

@@ -7,7 +7,12 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH = datetime(1970, 1, 1)
+UNITS = {
+    "day": "INTERVAL '1' DAY",
+    "hour": "INTERVAL '1' HOUR",
+    "second": "INTERVAL '1' SECOND",
+    "millisecond": "INTERVAL '0.001' SECOND",
+}
 
 
 def utc_now() -> datetime:
@@ -32,16 +37,9 @@ def day_floor(value: datetime) -> datetime:
     return value.replace(hour=0, minute=0, second=0, microsecond=0)
 
 
-def plus(column: Column, **interval) -> Column:
-    """``column`` moved by an interval of day, hour, minute or second columns."""
-    return column + F.make_dt_interval(
-        *(interval.get(unit, F.lit(0)) for unit in ("days", "hours", "mins", "secs"))
-    )
-
-
-def millis(column: Column) -> Column:
-    """Milliseconds as the seconds argument of an interval."""
-    return (column / F.lit(1000).cast("decimal(4,0)")).cast("decimal(18,6)")
+def plus(column: Column, count: Column | int, unit: str) -> Column:
+    """``column`` moved by a whole number of days, hours, seconds or milliseconds."""
+    return column + F.expr(UNITS[unit]) * F.lit(count)
 
 
 def from_epoch_ms(column: Column) -> Column:

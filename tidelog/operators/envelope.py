@@ -23,6 +23,16 @@ DEFAULT_TABLE = "unknown"
 # Years 1 to 9999, what a timestamp column can hold.
 MIN_MS, MAX_MS = -62_135_596_800_000, 253_402_300_799_999
 
+DECODED = (
+    "reason",
+    "source_table",
+    "operation",
+    "record_id",
+    "event_data",
+    "commit_timestamp",
+    "ingested_at",
+)
+
 REASONS = (
     "undecodable",
     "not_object",
@@ -52,6 +62,9 @@ def decode(
     """
     configure(records.sparkSession)
     members = ROW_MEMBER if ops is None else ops
+    taken = set(records.columns) & set(DECODED)
+    if taken - {data}:
+        raise ValueError(f"rename the input columns {sorted(taken)}: decode adds them")
     kept = [F.col(name) for name in records.columns if name != data]
 
     parsed = records.select(*kept, _json(records, data).alias("v"))
@@ -149,16 +162,6 @@ def archived(log: DataFrame) -> DataFrame:
     return log.withColumn("event_data", F.to_json("event_data"))
 
 
-def quarantined(records: DataFrame, data: str = "data", **options) -> DataFrame:
-    """The refused records as they came, each with its reason and arrival time."""
-    raw = F.col(data)
-    copied = records.withColumn("raw", raw)
-    decoded = decode(copied, data, **options)
-    return decoded.where(F.col("reason").isNotNull()).drop(
-        "source_table", "operation", "record_id", "event_data", "commit_timestamp"
-    )
-
-
 def dispositions(decoded: DataFrame, id_column: str) -> DataFrame:
     """One verdict per input record, with the record's own id."""
     return decoded.select(

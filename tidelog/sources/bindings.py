@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions import payload as P
-from tidelog.functions.times import epoch_ms, from_epoch_ms, millis, plus, ts
+from tidelog.functions.times import epoch_ms, from_epoch_ms, plus, ts
 from tidelog.session import configure
 
 # Fixed values of the bindings.
@@ -22,11 +22,22 @@ FIRST_CUSTOMER = datetime(1995, 1, 1)
 PAYMENT_METHODS = ("card", "paypal", "applepay", "googlepay")
 NATIONS = 25
 
+MOST_SPREAD_TASKS = 64
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Share out the rows of input too small to be split over the cores.
+
+    Input with at least as many splits as that stays as it was read.
+    """
+    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, MOST_SPREAD_TASKS)
+    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
+
+
 def cents(amount: Column) -> Column:
     return F.round(amount * 100).cast("bigint")
 
@@ -45,50 +56,53 @@ def _change(table_name: str, at: Column, operation: str, **overrides: Column) ->
     )
 
 
-def _log(rows: DataFrame, number: Column, record: Column, changes: Column, row: list[Column]):
+def _log(rows: DataFrame, number: Column, record: Column, changes: Column, row: dict[str, Column]):
     """Explode the changes of each row into log rows, redelivering some."""
-    lag = millis(number % 7919)
-    copies = F.when(number % 31 == 3, F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0)))
     exploded = (
         rows.withColumn("number", number)
         .withColumn("record_id", record.cast("string"))
-        .withColumn("change", F.explode(F.filter(changes, lambda c: c.isNotNull())))
+        .withColumn("change", F.explode(changes))
+        .where(F.col("change").isNotNull())
         .where(F.col("change.at") <= ts(STAR_AS_OF))
-        .withColumn("resent", F.explode(copies))
     )
-    first = F.col("first_at")
-    body = [F.col("record_id").alias("id"), *row, _iso(first).alias("created_at")]
-    logged = exploded.select(
-        F.col("change.source_table").alias("source_table"),
-        F.col("change.operation").alias("operation"),
+    key_only = F.struct(F.col("record_id").alias("id"))
+    # members in name order, as canonical text has them
+    members = {"id": F.col("record_id"), "created_at": _iso(F.col("first_at")), **row}
+    full = F.struct(*(members[name].alias(name) for name in sorted(members)))
+    deleted = F.col("change.operation") == "d"
+    options = {"ignoreNullFields": "false"}
+    text = F.when(deleted, F.to_json(key_only)).otherwise(F.to_json(full, options))
+    source_table, operation = F.col("change.source_table"), F.col("change.operation")
+    number = F.col("number")
+    copies = F.explode(F.when(number % 31 == 3, F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0))))
+    return exploded.select(
+        P.event_key(source_table, operation, F.col("record_id"), F.col("change.at"), text).alias(
+            "event_key"
+        ),
+        source_table.alias("source_table"),
+        operation.alias("operation"),
         "record_id",
-        F.when(
-            F.col("change.operation") == "d",
-            F.to_variant_object(F.struct(F.col("record_id").alias("id"))),
-        )
-        .otherwise(F.to_variant_object(F.struct(*body)))
+        F.when(deleted, F.to_variant_object(key_only))
+        .otherwise(F.to_variant_object(full))
         .alias("event_data"),
         F.col("change.at").alias("commit_timestamp"),
-        plus(plus(F.col("change.at"), secs=lag), secs=F.col("resent")).alias("ingested_at"),
-    )
-    return with_event_key(logged)
-
-
-def with_event_key(log: DataFrame) -> DataFrame:
-    key = P.event_key(
-        F.col("source_table"),
-        F.col("operation"),
-        F.col("record_id"),
-        F.col("commit_timestamp"),
-        P.as_text(log),
+        plus(F.col("change.at"), number % 7919, "millisecond").alias("arrived"),
+        copies.alias("resent"),
+    ).select(
+        "event_key",
+        "source_table",
+        "operation",
+        "record_id",
+        "event_data",
+        "commit_timestamp",
+        plus(F.col("arrived"), F.col("resent"), "second").alias("ingested_at"),
     )
-    return log.select(key.alias("event_key"), "*")
 
 
 def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     key = F.col("c_custkey")
-    first = plus(ts(FIRST_CUSTOMER), days=((key * 37) % 2400).cast("int"))
+    first = plus(ts(FIRST_CUSTOMER), (key * 37) % 2400, "day")
     rows = (
         table(spark, sf_dir, "customer")
         # nation is a fixed list of 25 countries
@@ -106,20 +120,20 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(
             key % 7 == 0,
             _change(
-                "customers", plus(at, days=F.lit(30)), "c", full_name=F.upper(F.col("c_name"))
+                "customers", plus(at, 30, "day"), "c", full_name=F.upper(F.col("c_name"))
             ),
         ),
         F.when(
             key % 97 == 5,
-            _change("customers", plus(at, days=F.lit(60)), "d", full_name=F.col("c_name")),
+            _change("customers", plus(at, 60, "day"), "d", full_name=F.col("c_name")),
         ),
     )
-    body = [
-        F.concat(F.lower(F.col("c_name")), F.lit("@example.com")).alias("email"),
-        F.col("change.full_name").alias("full_name"),
-        "country",
-        _iso(F.col("change.at")).alias("updated_at"),
-    ]
+    body = {
+        "email": F.concat(F.lower(F.col("c_name")), F.lit("@example.com")),
+        "full_name": F.col("change.full_name"),
+        "country": F.col("country"),
+        "updated_at": _iso(F.col("change.at")),
+    }
     return _log(rows, key, key, changes, body)
 
 
@@ -127,14 +141,14 @@ def product_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     digits = key.cast("string")
     rows = table(spark, sf_dir, "part").withColumn("first_at", ts(FIRST_CUSTOMER))
-    body = [
-        F.concat(F.lit("SKU-"), _padded(digits, 5)).alias("sku"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        cents(F.col("p_retailprice")).alias("price_cents"),
-        ((key * 37) % 200).cast("int").alias("stock_qty"),
-        _iso(F.col("change.at")).alias("updated_at"),
-    ]
+    body = {
+        "sku": F.concat(F.lit("SKU-"), _padded(digits, 5)),
+        "name": F.col("p_name"),
+        "category": F.col("p_type"),
+        "price_cents": cents(F.col("p_retailprice")),
+        "stock_qty": ((key * 37) % 200).cast("int"),
+        "updated_at": _iso(F.col("change.at")),
+    }
     changes = F.array(_change("products", F.col("first_at"), "c"))
     return _log(rows, key, key, changes, body)
 
@@ -145,7 +159,7 @@ def _padded(digits: Column, width: int) -> Column:
 
 
 def order_time(orderdate: Column, orderkey: Column) -> Column:
-    return plus(orderdate, secs=orderkey % 86400)
+    return plus(orderdate, orderkey % 86400, "second")
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,8 +167,11 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     key = F.col("o_orderkey")
     rows = (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+        spread(
+            table(spark, sf_dir, "orders").select(
+                "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
+            )
+        )
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         # nation is a fixed list of 25 countries
         .join(
@@ -177,32 +194,32 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     cancelled = key % 20 == 1
     changes = F.array(
         step(at, "pending"),
-        F.when(kept, step(plus(at, hours=F.lit(1)), "paid")),
-        F.when(settled & cancelled, step(plus(at, days=F.lit(1)), "cancelled")),
-        F.when(settled & ~cancelled, step(plus(at, days=F.lit(1)), "shipped")),
+        F.when(kept, step(plus(at, 1, "hour"), "paid")),
+        F.when(settled & cancelled, step(plus(at, 1, "day"), "cancelled")),
+        F.when(settled & ~cancelled, step(plus(at, 1, "day"), "shipped")),
         F.when(
             kept & (F.col("o_orderstatus") == "F") & ~cancelled,
-            step(plus(at, days=F.lit(3)), "delivered"),
+            step(plus(at, 3, "day"), "delivered"),
         ),
         F.when(
             key % 50 == 7,
             _change(
                 "orders",
-                plus(at, days=F.lit(5)),
+                plus(at, 5, "day"),
                 "d",
                 status=F.lit("deleted"),
                 payment_method=method,
             ),
         ),
     )
-    body = [
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        cents(F.col("o_totalprice")).alias("total_cents"),
-        F.col("change.status").alias("status"),
-        F.col("change.payment_method").alias("payment_method"),
-        F.col("n_name").alias("ship_country"),
-        _iso(F.col("change.at")).alias("updated_at"),
-    ]
+    body = {
+        "customer_id": F.col("o_custkey").cast("string"),
+        "total_cents": cents(F.col("o_totalprice")),
+        "status": F.col("change.status"),
+        "payment_method": F.col("change.payment_method"),
+        "ship_country": F.col("n_name"),
+        "updated_at": _iso(F.col("change.at")),
+    }
     return _log(rows, key, key, changes, body)
 
 
@@ -210,22 +227,28 @@ def order_item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     key = F.col("l_orderkey")
     rows = (
-        table(spark, sf_dir, "lineitem")
-        .select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+        spread(
+            table(spark, sf_dir, "lineitem").select(
+                "l_orderkey",
+                "l_linenumber",
+                "l_partkey",
+                "l_suppkey",
+                "l_quantity",
+                "l_extendedprice",
+            )
         )
         .join(orders, key == F.col("o_orderkey"))
         .withColumn("first_at", order_time(F.col("o_orderdate"), key))
     )
     record = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    body = [
-        key.cast("string").alias("order_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.round(F.col("l_extendedprice") * 100 / F.col("l_quantity"))
-        .cast("bigint")
-        .alias("unit_price_cents"),
-    ]
+    body = {
+        "order_id": key.cast("string"),
+        "product_id": F.col("l_partkey").cast("string"),
+        "quantity": F.col("l_quantity").cast("int"),
+        "unit_price_cents": F.round(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast(
+            "bigint"
+        ),
+    }
     changes = F.array(_change("order_items", F.col("first_at"), "c"))
     return _log(rows, key, record, changes, body)
 
@@ -256,23 +279,23 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "props",
     )
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         "event_id",
         F.lit("users").alias("source_table"),
         F.when(F.col("event_type") == "error", "d").otherwise("c").alias("operation"),
         user.cast("string").alias("record_id"),
         F.to_json(row).alias("row_json"),
         F.col("ts").alias("commit_timestamp"),
-        plus(F.col("ts"), secs=millis(F.col("event_id") % 7919)).alias("ingested_at"),
+        plus(F.col("ts"), F.col("event_id") % 7919, "millisecond").alias("ingested_at"),
     )
 
 
-def event_log(spark: SparkSession, sf_dir: str, keep: Column | None = None) -> DataFrame:
-    """Hot log of the event table; ``keep`` selects the events a store holds."""
+def event_log(spark: SparkSession, sf_dir: str, keep: str | None = None) -> DataFrame:
+    """Hot log of the event table; ``keep`` is a condition on the events a store holds."""
     rows = event_rows(spark, sf_dir)
     if keep is not None:
         rows = rows.where(keep)
-    return with_event_key(
+    return P.with_event_key(
         rows.select(
             "source_table",
             "operation",
@@ -284,7 +307,7 @@ def event_log(spark: SparkSession, sf_dir: str, keep: Column | None = None) -> D
     )
 
 
-def event_archive(spark: SparkSession, sf_dir: str, keep: Column | None = None) -> DataFrame:
+def event_archive(spark: SparkSession, sf_dir: str, keep: str | None = None) -> DataFrame:
     """Archive of the event table: text payload, one snapshot per commit day."""
     hot = event_log(spark, sf_dir, keep)
     return hot.select(
@@ -305,7 +328,7 @@ def snapshot_day(moment: Column) -> Column:
 
 
 def event_envelopes(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
-    """The event table as base64 change envelopes ``(record_id, data)``.
+    """The event table as base64 change envelopes ``(arrival_id, data)``.
 
     With ``faults`` some records are damaged, each by its own rule, so that
     every reject reason has rows.
@@ -340,7 +363,7 @@ def event_envelopes(spark: SparkSession, sf_dir: str, faults: bool = False) -> D
             .when(number % 101 == 11, F.base64(F.lit("[1]").cast("binary")))
             .otherwise(data)
         )
-    return rows.select(F.col("event_id").cast("string").alias("record_id"), data.alias("data"))
+    return rows.select(F.col("event_id").cast("string").alias("arrival_id"), data.alias("data"))
 
 
 def commit_ms(moment: Column) -> Column:
