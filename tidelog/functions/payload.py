@@ -57,3 +57,14 @@ def with_event_key(log: DataFrame) -> DataFrame:
         as_text(log),
     )
     return log.select(key.alias("event_key"), "*")
+
+
+def computed_once(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """``df.select(*columns)`` whose expressions later filters do not repeat.
+
+    The optimizer moves a filter below a projection by copying the expressions
+    it tests; for parsed JSON that means parsing again for every copy. Rows of
+    a generator are a boundary such copies do not cross.
+    """
+    named = [F.col(c) if isinstance(c, str) else c for c in columns]
+    return df.select(F.inline(F.array(F.struct(*named))))

@@ -110,7 +110,8 @@ def decode(
     arrival = (
         F.current_timestamp().cast("timestamp_ntz") if ingested_at is None else ts(ingested_at)
     )
-    return opened.select(
+    return P.computed_once(
+        opened,
         *kept,
         reason.alias("reason"),
         F.coalesce("named_table", F.lit(DEFAULT_TABLE)).alias("source_table"),

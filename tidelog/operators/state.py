@@ -92,12 +92,13 @@ def current_state(
     if changed_since is not None:
         events = since(events, changed_since)
     live = live_rows(events)
-    live = live.select(
+    columns = [
         F.col("record_id").alias(spec.key),
         P.as_variant(live).alias("event_data"),
         F.col("commit_timestamp").alias("last_change_at"),
         *carry,
-    )
+    ]
+    live = P.computed_once(live, *columns) if P.is_text(live) else live.select(*columns)
     return live.select(
         spec.key,
         *(P.field(F.col("event_data"), name, type_).alias(name) for name, type_ in spec.fields),
