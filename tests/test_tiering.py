@@ -113,11 +113,41 @@ def test_appends_after_a_rewrite_go_to_the_new_version(spark, hot_root):
     tiering.prune(spark, hot_root, archive(spark), AS_OF, DAY)
     store.append_batch(log(spark, ("c", "late", 3, "paid")), hot_root, 1)
     assert store.read_hot(spark, hot_root).count() == 11
-    assert store.reclaim(spark, hot_root) == [0]
+    assert store.reclaim(spark, hot_root) == ["v0"]
     assert store.reclaim(spark, hot_root) == []
     assert store.read_hot(spark, hot_root).count() == 11
 
 
+def test_a_prune_writes_only_the_day_of_the_cutoff(spark, tmp_path):
+    root = str(tmp_path / "hot")
+    events = [("c", f"k{n}", 60 * n, "paid") for n in range(24 * 9)]
+    for batch in range(3):
+        store.append_batch(log(spark, *events[batch::3]), root, batch)
+    cold = log(spark, *events, text=True)
+    for day, expected in [(3.5, 132), (3.75, 126), (6.25, 66)]:
+        as_of = at(int(60 * 24 * day))
+        report = tiering.prune(spark, root, cold, as_of, timedelta(0), gate="strict").first()
+        kept = store.read_hot(spark, root)
+        assert kept.count() == report.rows_after == expected
+        assert kept.agg(F.min("commit_timestamp")).first()[0] == as_of
+    version, parts = store.current_version(spark, root)
+    assert (version, parts) == (3, [("v0", "2024-01-07"), ("v3", None)])
+    assert [p.name for p in sorted(pathlib.Path(f"{root}/v3").glob("commit*"))] == [
+        "commit_date=2024-01-07"
+    ]
+    # a late event of a pruned day stays visible until the next prune
+    store.append_batch(log(spark, ("c", "late", 5, "paid")), root, 9)
+    assert store.read_hot(spark, root).count() == 67
+    removed = store.reclaim(spark, root)
+    assert {"v1", "v2", "v0/commit_date=2024-01-01"} <= set(removed)
+    assert "v0/commit_date=2024-01-08" not in removed
+    assert store.read_hot(spark, root).count() == 67
+    store.compact(spark, root, HOT_LOG)
+    assert store.read_hot(spark, root).count() == 67
+    assert store.reclaim(spark, root) == ["v0", "v3"]
+    assert store.read_hot(spark, root).count() == 67
+
+
 def test_compaction_merges_files_and_keeps_snapshots(spark, tmp_path):
     root = str(tmp_path / "cold")
     for batch in range(6):

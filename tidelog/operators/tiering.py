@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.times import second_floor, ts, utc_now
 from tidelog.operators.state import before, since
 from tidelog.operators.unify import RETENTION
-from tidelog.sources.store import read_hot, rewrite
+from tidelog.sources.store import drop_before, read_hot
 
 
 class ArchiveEmptyError(RuntimeError):
@@ -95,15 +95,16 @@ def prune(
     retention: timedelta = RETENTION,
     gate: str = "count",
 ) -> DataFrame:
-    """Rewrite the hot store without rows older than the cutoff.
+    """Drop rows older than the cutoff from the hot store.
 
-    Returns the one-row report. When the gate refuses, it raises and the store
-    is as it was.
+    Days before the cutoff's drop out as whole partitions, later days are left
+    as they are. Returns the one-row report. When the gate refuses, it raises
+    and the store is as it was.
     """
     cutoff = cutoff_at(utc_now() if as_of is None else as_of, retention)
     hot = read_hot(spark, hot_root)
     check_archive(hot, cold, cutoff, gate)
     report = prune_report(hot, cutoff)
     outcome = spark.createDataFrame(report.collect(), report.schema)
-    rewrite(kept_rows(hot, cutoff).drop("commit_date"), hot_root)
+    drop_before(hot, hot_root, cutoff)
     return outcome

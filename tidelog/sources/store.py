@@ -1,20 +1,27 @@
 """Event logs stored as Parquet, partitioned by commit date and source table.
 
-    <root>/versions/            one small JSON row per published version
-    <root>/v<version>/commit_date=.../source_table=.../batch_id=.../*.parquet
-
-Every batch writes its own leaf folders and overwrites only those, so writing
-a batch again after a failure changes nothing. A rewrite (pruning, compaction)
-goes to a new version folder, and readers move to it when its row is
-published; the folder being read is never overwritten. One writer at a time:
-run rewrites between micro-batches.
+    <root>/<folder>/commit_date=.../source_table=.../batch_id=.../*.parquet
+    <root>/versions/       one small JSON row per published version
+
+A version lists the folders that make up the log and, for each, the commit
+date after which its partitions count. Pruning writes only the kept rows of
+the cutoff's own day to a new folder and raises that date for the others:
+older partitions drop out whole, newer ones are neither read nor written.
+No folder is overwritten while it is read.
+
+Every batch writes its own leaf partitions and overwrites only those, so
+writing a batch again after a failure changes nothing. A store has one writer
+at a time: prune and compact between micro-batches.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.times import ts
 from tidelog.operators.unify import one_copy
 from tidelog.schemas import COLD_LOG, HOT_LOG
 
@@ -22,6 +29,11 @@ PARTITIONS = ("commit_date", "source_table", "batch_id")
 REWRITTEN = -1
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
+VERSIONS = "version bigint, parts array<struct<folder string, after string>>"
+FIRST_VERSION = (0, [("v0", None)])
+
+Parts = list[tuple[str, str | None]]
+
 
 def _file_system(spark: SparkSession, path: str):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -33,26 +45,74 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
-def current_version(spark: SparkSession, root: str) -> int:
-    if not path_exists(spark, f"{root}/versions"):
-        return 0
-    versions = spark.read.schema("version bigint").json(f"{root}/versions")
-    return versions.agg(F.max("version")).first()[0] or 0
+def _children(spark: SparkSession, path: str) -> list[str]:
+    folder, files = _file_system(spark, path)
+    if not files.exists(folder):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(folder)]
+
 
+def _commit_dates(spark: SparkSession, path: str) -> list[str]:
+    prefix = "commit_date="
+    names = _children(spark, path)
+    return sorted(name[len(prefix) :] for name in names if name.startswith(prefix))
 
-def version_path(root: str, version: int) -> str:
-    return f"{root}/v{version}"
 
+# Versions.
 
-def publish(spark: SparkSession, root: str, version: int) -> None:
-    row = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+
+def current_version(spark: SparkSession, root: str) -> tuple[int, Parts]:
+    """The newest published version: its number and its folders."""
+    if not path_exists(spark, f"{root}/versions"):
+        return FIRST_VERSION
+    versions = spark.read.schema(VERSIONS).json(f"{root}/versions")
+    newest = versions.orderBy(F.desc("version")).first()
+    if newest is None:
+        return FIRST_VERSION
+    return newest.version, [(part.folder, part.after) for part in newest.parts]
+
+
+def publish(spark: SparkSession, root: str, version: int, parts: Parts) -> None:
+    row = spark.createDataFrame([(version, parts)], VERSIONS)
     row.coalesce(1).write.mode("append").json(f"{root}/versions")
 
 
+# Reading.
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    if path_exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
+def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The current version with its partition columns; empty before any write."""
+    columns = f"{schema}, commit_date date, batch_id bigint"
+    log = None
+    for folder, after in current_version(spark, root)[1]:
+        part = read_or_empty(spark, f"{root}/{folder}", columns)
+        if after is not None:
+            part = part.where(F.col("commit_date") > F.lit(after).cast("date"))
+        log = part if log is None else log.unionByName(part)
+    return log
+
+
+def read_hot(spark: SparkSession, root: str) -> DataFrame:
+    return read_batches(spark, root, HOT_LOG).drop("batch_id")
+
+
+def read_cold(spark: SparkSession, root: str) -> DataFrame:
+    return read_batches(spark, root, COLD_LOG).drop("batch_id")
+
+
+# Writing.
+
+
 def append_batch(log: DataFrame, root: str, batch_id: int) -> None:
     """Append one batch; the same batch again replaces itself."""
-    path = version_path(root, current_version(log.sparkSession, root))
-    _write(log.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path)
+    newest_folder = current_version(log.sparkSession, root)[1][-1][0]
+    _write(log, f"{root}/{newest_folder}", batch_id)
 
 
 def append_once(log: DataFrame, root: str, batch_id: int) -> None:
@@ -73,9 +133,10 @@ def append_once(log: DataFrame, root: str, batch_id: int) -> None:
     append_batch(fresh.join(stored, "event_key", "left_anti"), root, batch_id)
 
 
-def _write(log: DataFrame, path: str) -> None:
+def _write(log: DataFrame, path: str, batch_id: int) -> None:
     (
         log.withColumn("commit_date", F.col("commit_timestamp").cast("date"))
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
@@ -83,77 +144,96 @@ def _write(log: DataFrame, path: str) -> None:
     )
 
 
-def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The current version with its partition columns; empty before any write."""
-    path = version_path(root, current_version(spark, root))
-    return read_or_empty(spark, path, f"{schema}, commit_date date, batch_id bigint")
-
-
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
-
-
-def read_hot(spark: SparkSession, root: str) -> DataFrame:
-    return read_batches(spark, root, HOT_LOG).drop("batch_id")
-
-
-def read_cold(spark: SparkSession, root: str) -> DataFrame:
-    return read_batches(spark, root, COLD_LOG).drop("batch_id")
-
-
-def rewrite(log: DataFrame, root: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Write a log as the next version of a store and publish it.
+def _write_laid_out(log: DataFrame, path: str, target_bytes: int) -> None:
+    """Write few large files, sorted by commit time for row-group skipping.
 
     Rows are rebalanced by partition, which splits a partition above the
-    target size over several tasks and files and merges small ones, and are
-    sorted by commit time inside each file for row-group skipping.
+    target size over several tasks and files and merges small ones.
     """
     spark = log.sparkSession
-    version = current_version(spark, root) + 1
-    laid_out = (
+    order = (*PARTITIONS[:2], "commit_timestamp")
+    rows = (
         log.withColumn("commit_date", F.col("commit_timestamp").cast("date"))
-        .withColumn("batch_id", F.lit(REWRITTEN).cast("bigint"))
-        .hint("rebalance", "commit_date", "source_table")
-        .sortWithinPartitions("commit_date", "source_table", "batch_id", "commit_timestamp")
+        .hint("rebalance", *PARTITIONS[:2])
+        .sortWithinPartitions(*order)
     )
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     previous = spark.conf.get(setting)
     spark.conf.set(setting, str(target_bytes))
     try:
-        _write(laid_out, version_path(root, version))
+        _write(rows, path, REWRITTEN)
     finally:
         spark.conf.set(setting, previous)
-    publish(spark, root, version)
-    return version
 
 
-def compact(spark: SparkSession, root: str, schema: str, target_bytes: int = TARGET_FILE_BYTES):
-    """Merge the small files of many batches; rows and snapshot ids stay."""
-    return rewrite(
-        read_batches(spark, root, schema).drop("batch_id", "commit_date"), root, target_bytes
-    )
+def drop_before(
+    log: DataFrame, root: str, cutoff: datetime, target_bytes: int = TARGET_FILE_BYTES
+) -> None:
+    """Publish the store without events committed before ``cutoff``.
+
+    ``log`` is the store as read. Only its rows of the cutoff's day are
+    written anew.
+    """
+    spark = log.sparkSession
+    version, parts = current_version(spark, root)
+    day = cutoff.date().isoformat()
+    boundary = log.where(F.col("commit_date") == F.lit(day).cast("date"))
+    boundary = boundary.where(F.col("commit_timestamp") >= ts(cutoff)).drop("commit_date")
+    folder = f"v{version + 1}"
+    _write_laid_out(boundary, f"{root}/{folder}", target_bytes)
+    newer = [
+        (name, max(after or day, day))
+        for name, after in parts
+        if any(d > max(after or day, day) for d in _commit_dates(spark, f"{root}/{name}"))
+    ]
+    publish(spark, root, version + 1, [*newer, (folder, None)])
+
 
+def compact(
+    spark: SparkSession, root: str, schema: str, target_bytes: int = TARGET_FILE_BYTES
+) -> None:
+    """Merge the small files of many batches into one new folder.
 
-def reclaim(spark: SparkSession, root: str, keep: int = 1) -> list[int]:
-    """Delete the folders of all but the ``keep`` newest versions."""
-    newest = current_version(spark, root)
+    Rows and their snapshot ids stay as they are.
+    """
+    version = current_version(spark, root)[0] + 1
+    rows = read_batches(spark, root, schema).drop("batch_id", "commit_date")
+    _write_laid_out(rows, f"{root}/v{version}", target_bytes)
+    publish(spark, root, version, [(f"v{version}", None)])
+
+
+def reclaim(spark: SparkSession, root: str) -> list[str]:
+    """Delete what the current version no longer reads: whole folders, and
+    partitions a prune dropped. Run it when no older reader is left."""
+    version, parts = current_version(spark, root)
+    kept = dict(parts)
+    doomed = []
+    for name in (f"v{n}" for n in range(version)):
+        if name not in kept:
+            doomed.append(name)
+        elif kept[name] is not None:
+            dates = _commit_dates(spark, f"{root}/{name}")
+            doomed += [f"{name}/commit_date={d}" for d in dates if d <= kept[name]]
     removed = []
-    for version in range(0, newest - keep + 1):
-        folder, files = _file_system(spark, version_path(root, version))
+    for name in doomed:
+        folder, files = _file_system(spark, f"{root}/{name}")
         if files.delete(folder, True):
-            removed.append(version)
+            removed.append(name)
     return removed
 
 
+# Catalog.
+
+
 def register_table(spark: SparkSession, name: str, root: str, schema: str) -> None:
-    """A catalog table over the current version, with its partitions."""
-    path = version_path(root, current_version(spark, root))
+    """A catalog table over a store of one folder, with its partitions."""
+    parts = current_version(spark, root)[1]
+    if len(parts) > 1:
+        raise ValueError("compact the store first: a table has one location")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
         f"CREATE TABLE {name} ({schema}, commit_date date, batch_id bigint) USING parquet"
-        f" PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{path}'"
+        f" PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{root}/{parts[0][0]}'"
     )
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
