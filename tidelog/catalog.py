@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import payload as P
 from tidelog.operators import envelope, tiering
-from tidelog.operators.state import current_state, live_rows, state_as_of
+from tidelog.operators.joins import left_join
+from tidelog.operators.state import create_views, current_state, live_rows, state_as_of
 from tidelog.operators.unify import unified_log
 from tidelog.plans import business, health, lifecycle, timetravel
-from tidelog.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, TableSpec
+from tidelog.schemas import COLD_LOG, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, TableSpec
 from tidelog.session import scratch_dir
 from tidelog.sources import bindings as B
 from tidelog.sources import snapshots, store
@@ -303,7 +304,7 @@ def customers_left_join(spark, sf_dir):
     customers = _state(spark, sf_dir, CUSTOMERS).select("customer_id", "country")
     shipped = _state(spark, sf_dir, ORDERS).where("status = 'shipped'")
     shipped = shipped.select("order_id", "customer_id", "total_cents")
-    return customers.join(shipped, "customer_id", "left")
+    return left_join(customers, shipped, "customer_id")
 
 
 def distinct_counts(spark, sf_dir):
@@ -329,6 +330,46 @@ def share_by_country(spark, sf_dir):
     return business.with_share(grouped, F.col("orders"), "pct_of_total")
 
 
+def funnel_by_sql(spark, sf_dir):
+    """The funnel asked in SQL of the registered views."""
+    create_views(B.star_log(spark, sf_dir, ORDERS.source_table), [ORDERS])
+    return spark.sql(
+        f"""
+        SELECT status, COUNT(*) AS orders, CAST(SUM(total_cents) AS DOUBLE) / 100 AS dollars,
+               CAST(ROUND(100.0 * COUNT(*) / SUM(COUNT(*)) OVER (), 2) AS DOUBLE) AS pct_of_total
+        FROM orders_current
+        WHERE last_change_at >= TIMESTAMP_NTZ'{STAR}' - INTERVAL '720' DAY
+        GROUP BY status
+        ORDER BY orders DESC, status
+        """
+    )
+
+
+# Retention and maintenance jobs on stored logs.
+
+
+def pruned_store(spark, sf_dir):
+    """What a stored hot log holds after a prune behind the strict gate."""
+    root = scratch_dir(spark, "hot")
+    store.bulk_load(B.event_log(spark, sf_dir), root)
+    archive = B.event_archive(spark, sf_dir)
+    tiering.prune(spark, root, archive, EVENTS, RETENTION, gate="strict")
+    return _users(store.read_hot(spark, root))
+
+
+def compacted_archive(spark, sf_dir):
+    """Rows per snapshot of a stored archive after compaction."""
+    root = scratch_dir(spark, "cold")
+    archive = B.event_archive(spark, sf_dir)
+    batch = F.pmod(F.xxhash64("event_key"), F.lit(2))
+    for number in range(2):
+        store.append_batch(archive.where(batch == number), root, number)
+    store.compact(spark, root, COLD_LOG)
+    return store.read_cold(spark, root).groupBy("snapshot_id").agg(
+        F.count(F.lit(1)).alias("events")
+    )
+
+
 # Streams, run over what is there and then read back.
 
 ONCE = {"availableNow": True}
@@ -470,6 +511,9 @@ QUERIES: dict[str, Query] = {
     "distinct_counts": distinct_counts,
     "countries_per_status": countries_per_status,
     "share_by_country": share_by_country,
+    "funnel_by_sql": funnel_by_sql,
+    "pruned_store": pruned_store,
+    "compacted_archive": compacted_archive,
     "streamed_hot_log": streamed_hot_log,
     "streamed_archive": streamed_archive,
     "streamed_quarantine": streamed_quarantine,

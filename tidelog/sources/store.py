@@ -28,6 +28,7 @@ from tidelog.schemas import COLD_LOG, HOT_LOG
 PARTITIONS = ("commit_date", "source_table", "batch_id")
 REWRITTEN = -1
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+BATCH_FILE_BYTES = 64 * 1024 * 1024
 
 VERSIONS = "version bigint, parts array<struct<folder string, after string>>"
 FIRST_VERSION = (0, [("v0", None)])
@@ -109,10 +110,20 @@ def read_cold(spark: SparkSession, root: str) -> DataFrame:
 # Writing.
 
 
-def append_batch(log: DataFrame, root: str, batch_id: int) -> None:
+def append_batch(
+    log: DataFrame, root: str, batch_id: int, target_bytes: int = BATCH_FILE_BYTES
+) -> None:
     """Append one batch; the same batch again replaces itself."""
     newest_folder = current_version(log.sparkSession, root)[1][-1][0]
-    _write(log, f"{root}/{newest_folder}", batch_id)
+    _write(log, f"{root}/{newest_folder}", batch_id, target_bytes)
+
+
+def bulk_load(log: DataFrame, root: str, target_bytes: int = TARGET_FILE_BYTES) -> None:
+    """Add a large log at once, such as history from elsewhere, in large files.
+
+    Loading again replaces the days and tables loaded before.
+    """
+    append_batch(log, root, REWRITTEN, target_bytes)
 
 
 def append_once(log: DataFrame, root: str, batch_id: int) -> None:
@@ -133,35 +144,31 @@ def append_once(log: DataFrame, root: str, batch_id: int) -> None:
     append_batch(fresh.join(stored, "event_key", "left_anti"), root, batch_id)
 
 
-def _write(log: DataFrame, path: str, batch_id: int) -> None:
-    (
-        log.withColumn("commit_date", F.col("commit_timestamp").cast("date"))
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
-
+def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
+    """Write leaf partitions in few files, each sorted by commit time.
 
-def _write_laid_out(log: DataFrame, path: str, target_bytes: int) -> None:
-    """Write few large files, sorted by commit time for row-group skipping.
-
-    Rows are rebalanced by partition, which splits a partition above the
-    target size over several tasks and files and merges small ones.
+    Rows are rebalanced by day and table. Adaptive execution sizes the tasks:
+    it merges small partitions and splits one above the target size, so the
+    newest day of the busiest table, most of a batch, is written by many tasks.
+    Without it every task writes the rows it has, as a plain shuffle would
+    gather that day in one task.
     """
     spark = log.sparkSession
-    order = (*PARTITIONS[:2], "commit_timestamp")
-    rows = (
-        log.withColumn("commit_date", F.col("commit_timestamp").cast("date"))
-        .hint("rebalance", *PARTITIONS[:2])
-        .sortWithinPartitions(*order)
-    )
+    rows = log.withColumn("commit_date", F.col("commit_timestamp").cast("date"))
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        rows = rows.hint("rebalance", "commit_date", "source_table")
+    rows = rows.sortWithinPartitions("commit_date", "source_table", "commit_timestamp")
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     previous = spark.conf.get(setting)
     spark.conf.set(setting, str(target_bytes))
     try:
-        _write(rows, path, REWRITTEN)
+        (
+            rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*PARTITIONS)
+            .parquet(path)
+        )
     finally:
         spark.conf.set(setting, previous)
 
@@ -180,7 +187,7 @@ def drop_before(
     boundary = log.where(F.col("commit_date") == F.lit(day).cast("date"))
     boundary = boundary.where(F.col("commit_timestamp") >= ts(cutoff)).drop("commit_date")
     folder = f"v{version + 1}"
-    _write_laid_out(boundary, f"{root}/{folder}", target_bytes)
+    _write(boundary, f"{root}/{folder}", REWRITTEN, target_bytes)
     newer = [
         (name, max(after or day, day))
         for name, after in parts
@@ -198,7 +205,7 @@ def compact(
     """
     version = current_version(spark, root)[0] + 1
     rows = read_batches(spark, root, schema).drop("batch_id", "commit_date")
-    _write_laid_out(rows, f"{root}/v{version}", target_bytes)
+    _write(rows, f"{root}/v{version}", REWRITTEN, target_bytes)
     publish(spark, root, version, [(f"v{version}", None)])
 
 
