@@ -430,10 +430,15 @@ def _live(spark, sf_dir, start) -> str:
     log = B.event_log(spark, sf_dir)
     source, path = _as_files(log, "log"), scratch_dir(spark, "live")
     stream = _stream(spark, source, log)
-    start(stream, path, scratch_dir(spark, "checkpoint"), ONCE).awaitTermination()
+    checkpoint = scratch_dir(spark, "checkpoint")
+    start(stream, path, checkpoint, ONCE, _state_tasks(spark)).awaitTermination()
     return path
 
 
+def _state_tasks(spark) -> int:
+    return min(spark.sparkContext.defaultParallelism, 64)
+
+
 def streamed_state(spark, sf_dir):
     path = _live(spark, sf_dir, live.start_state)
     state = live_rows(live.read_state_log(spark, path))
@@ -453,9 +458,8 @@ def streamed_latency(spark, sf_dir):
 def streamed_sales_velocity(spark, sf_dir):
     log = B.star_log(spark, sf_dir, ORDERS.source_table)
     source, path = _as_files(log, "log"), scratch_dir(spark, "live")
-    live.start_state(
-        _stream(spark, source, log), path, scratch_dir(spark, "checkpoint"), ONCE
-    ).awaitTermination()
+    stream, checkpoint = _stream(spark, source, log), scratch_dir(spark, "checkpoint")
+    live.start_state(stream, path, checkpoint, ONCE, _state_tasks(spark)).awaitTermination()
     orders = current_state(live.read_state_log(spark, path), ORDERS, STAR - DAYS_30)
     return business.sales_velocity(orders, STAR, DAYS_30)
 

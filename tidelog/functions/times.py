@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,7 +69,3 @@ def minutes_between(start: Column, end: Column) -> Column:
 
 def millis_between(start: Column, end: Column) -> Column:
     return epoch_ms(end) - epoch_ms(start)
-
-
-def hours(span: timedelta) -> float:
-    return span.total_seconds() / 3600

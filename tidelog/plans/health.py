@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.numbers import ratio
-from tidelog.functions.times import day, floor_to, millis_between, ts
+from tidelog.functions.times import floor_to, millis_between, ts
 
 
 def _ingested_since(log: DataFrame, moment: datetime) -> DataFrame:

@@ -65,35 +65,40 @@ def _log(rows: DataFrame, number: Column, record: Column, changes: Column, row:
         .where(F.col("change").isNotNull())
         .where(F.col("change.at") <= ts(STAR_AS_OF))
     )
-    key_only = F.struct(F.col("record_id").alias("id"))
-    # members in name order, as canonical text has them
+    # members in name order, as canonical text has them; computed once, used
+    # for the text behind the event key and for the payload
     members = {"id": F.col("record_id"), "created_at": _iso(F.col("first_at")), **row}
-    full = F.struct(*(members[name].alias(name) for name in sorted(members)))
-    deleted = F.col("change.operation") == "d"
-    options = {"ignoreNullFields": "false"}
-    text = F.when(deleted, F.to_json(key_only)).otherwise(F.to_json(full, options))
-    source_table, operation = F.col("change.source_table"), F.col("change.operation")
     number = F.col("number")
-    copies = F.explode(F.when(number % 31 == 3, F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0))))
-    return exploded.select(
-        P.event_key(source_table, operation, F.col("record_id"), F.col("change.at"), text).alias(
-            "event_key"
-        ),
-        source_table.alias("source_table"),
-        operation.alias("operation"),
+    copies = F.when(number % 31 == 3, F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0)))
+    computed = exploded.select(
+        F.col("change.source_table").alias("source_table"),
+        F.col("change.operation").alias("operation"),
         "record_id",
-        F.when(deleted, F.to_variant_object(key_only))
-        .otherwise(F.to_variant_object(full))
-        .alias("event_data"),
         F.col("change.at").alias("commit_timestamp"),
         plus(F.col("change.at"), number % 7919, "millisecond").alias("arrived"),
-        copies.alias("resent"),
-    ).select(
-        "event_key",
+        *(members[name].alias(f"member_{name}") for name in sorted(members)),
+        F.explode(copies).alias("resent"),
+    )
+    key_only = F.struct(F.col("record_id").alias("id"))
+    full = F.struct(*(F.col(f"member_{name}").alias(name) for name in sorted(members)))
+    deleted = F.col("operation") == "d"
+    options = {"ignoreNullFields": "false"}
+    text = F.when(deleted, F.to_json(key_only)).otherwise(F.to_json(full, options))
+    key = P.event_key(
+        F.col("source_table"),
+        F.col("operation"),
+        F.col("record_id"),
+        F.col("commit_timestamp"),
+        text,
+    )
+    return computed.select(
+        key.alias("event_key"),
         "source_table",
         "operation",
         "record_id",
-        "event_data",
+        F.when(deleted, F.to_variant_object(key_only))
+        .otherwise(F.to_variant_object(full))
+        .alias("event_data"),
         "commit_timestamp",
         plus(F.col("arrived"), F.col("resent"), "second").alias("ingested_at"),
     )

@@ -16,20 +16,39 @@ from tidelog.plans.health import latency_ms
 NEWEST = ("commit_timestamp", "operation", "event_key", "event_data", "ingested_at")
 
 
-def _start(updates: DataFrame, path: str, checkpoint: str, trigger: dict):
+def _start(
+    updates: DataFrame, path: str, checkpoint: str, trigger: dict, partitions: int | None
+):
+    """Start a query that writes each batch's changed keys to a folder of its own.
+
+    ``partitions`` is the number of state partitions, fixed by a query's first
+    start; a few per core suits most clusters. By default it is the session's
+    ``spark.sql.shuffle.partitions``.
+    """
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return (
-        updates.writeStream.outputMode("update")
-        .foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    spark = updates.sparkSession
+    setting = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(setting)
+    if partitions is not None:
+        spark.conf.set(setting, str(partitions))
+    try:
+        return (
+            updates.writeStream.outputMode("update")
+            .foreachBatch(sink)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .start()
+        )
+    finally:
+        spark.conf.set(setting, previous)
 
 
-def start_state(log: DataFrame, path: str, checkpoint: str, trigger: dict):
+def start_state(
+    log: DataFrame, path: str, checkpoint: str, trigger: dict, partitions: int | None = None
+):
     """Keep the latest event of every key of a log stream.
 
     No watermark: an event late by any time still finds its key. The state
@@ -41,7 +60,7 @@ def start_state(log: DataFrame, path: str, checkpoint: str, trigger: dict):
         .agg(F.max(F.struct(*NEWEST)).alias("newest"))
         .select("source_table", "record_id", "newest.*")
     )
-    return _start(newest, path, checkpoint, trigger)
+    return _start(newest, path, checkpoint, trigger, partitions)
 
 
 def read_state_log(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +69,14 @@ def read_state_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
-def start_volume(log: DataFrame, path: str, checkpoint: str, trigger: dict, late: str | None = None):
+def start_volume(
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict,
+    partitions: int | None = None,
+    late: str | None = None,
+):
     """Events per ingest minute and source table."""
     counted = (
         _watermarked(log, late)
@@ -60,10 +86,17 @@ def start_volume(log: DataFrame, path: str, checkpoint: str, trigger: dict, late
             F.col("window.start").cast("timestamp_ntz").alias("minute"), "source_table", "events"
         )
     )
-    return _start(counted, path, checkpoint, trigger)
+    return _start(counted, path, checkpoint, trigger, partitions)
 
 
-def start_latency(log: DataFrame, path: str, checkpoint: str, trigger: dict, late: str | None = None):
+def start_latency(
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict,
+    partitions: int | None = None,
+    late: str | None = None,
+):
     """Commit-to-ingest latency per ingest minute and source table."""
     delay = latency_ms()
     measured = (
@@ -82,7 +115,7 @@ def start_latency(log: DataFrame, path: str, checkpoint: str, trigger: dict, lat
             "max_latency_ms",
         )
     )
-    return _start(measured, path, checkpoint, trigger)
+    return _start(measured, path, checkpoint, trigger, partitions)
 
 
 def _watermarked(log: DataFrame, late: str | None) -> DataFrame:
