@@ -101,7 +101,7 @@ def test_arrival_and_tiering_do_not_change_state(spark, events, seed):
     hot = [e for e in again if rng.random() < 0.6] or again[:1]
     cold = [e for e in again if e not in hot] + again[:2]
     both = unified_log(
-        log(spark, *hot), log(spark, *cold, text=True), at(9), mode="full", payload="text"
+        log(spark, *hot), log(spark, *cold, text=True), at(9), mode="full", payload="stored"
     )
     assert states(current_state(both, ORDERS)) == plain
 

@@ -45,7 +45,7 @@ def _unified(spec: TableSpec) -> Query:
     def run(spark, sf_dir):
         log = B.star_log(spark, sf_dir, spec.source_table)
         archive = log.withColumn("event_data", F.to_json("event_data"))
-        both = unified_log(log, archive, STAR, DAYS_720, payload="text")
+        both = unified_log(log, archive, STAR, DAYS_720, payload="stored")
         return current_state(both, spec, carry=("source_store",))
 
     return run
@@ -186,13 +186,13 @@ def users_current(spark, sf_dir):
 
 def users_unified(spark, sf_dir):
     hot, cold = _stores(spark, sf_dir)
-    log = unified_log(hot, cold, EVENTS, RETENTION, mode="full", payload="text", copies=True)
+    log = unified_log(hot, cold, EVENTS, RETENTION, mode="full", payload="stored", copies=True)
     return _users(live_rows(log)).drop("operation", "ingested_at", "source_store")
 
 
 def events_by_store(spark, sf_dir):
     hot, cold = _stores(spark, sf_dir)
-    return health.events_by_store(unified_log(hot, cold, EVENTS, RETENTION, payload="text"))
+    return health.events_by_store(unified_log(hot, cold, EVENTS, RETENTION, payload="stored"))
 
 
 def store_extents(spark, sf_dir):

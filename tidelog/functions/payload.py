@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from tidelog.functions.times import epoch_us
 
+# Where a log over both stores keeps the archive's text beside hot VARIANTs.
+TEXT_BESIDE = "event_text"
+
 
 def is_text(df: DataFrame, name: str = "event_data") -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
@@ -19,7 +22,16 @@ def field(payload: Column, name: str, type_: str) -> Column:
 
 
 def as_variant(df: DataFrame, name: str = "event_data") -> Column:
-    return F.try_parse_json(F.col(name)) if is_text(df, name) else F.col(name)
+    """The payload as VARIANT, from wherever the rows hold it."""
+    if is_text(df, name):
+        return F.try_parse_json(F.col(name))
+    if TEXT_BESIDE in df.columns:
+        return F.coalesce(F.col(name), F.try_parse_json(F.col(TEXT_BESIDE)))
+    return F.col(name)
+
+
+def needs_parsing(df: DataFrame, name: str = "event_data") -> bool:
+    return is_text(df, name) or TEXT_BESIDE in df.columns
 
 
 def as_text(df: DataFrame, name: str = "event_data") -> Column:

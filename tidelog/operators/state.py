@@ -98,7 +98,9 @@ def current_state(
         F.col("commit_timestamp").alias("last_change_at"),
         *carry,
     ]
-    live = P.computed_once(live, *columns) if P.is_text(live) else live.select(*columns)
+    live = (
+        P.computed_once(live, *columns) if P.needs_parsing(live) else live.select(*columns)
+    )
     return live.select(
         spec.key,
         *(P.field(F.col("event_data"), name, type_).alias(name) for name, type_ in spec.fields),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import payload as P
@@ -29,28 +29,41 @@ def unified_log(
     ``mode="full"`` takes everything from both stores, and merges the copies of
     an event unless ``copies`` is set.
 
-    ``payload="text"`` leaves the payload as canonical text. State built on it
-    parses only the rows that survive the ranking.
+    ``payload="stored"`` leaves archived payloads as text in a column of their
+    own. State built on it parses only the rows that survive the ranking.
     """
     if mode not in ("split", "full"):
         raise ValueError(f"unknown mode: {mode}")
     if mode == "split":
         boundary = as_of - retention
         hot, cold = since(hot, boundary), before(cold, boundary)
-    shape = P.as_text if payload == "text" else P.as_variant
+    shape = _as_stored if payload == "stored" else _as_variant
     both = _tagged(hot, shape(hot), "hot").unionByName(_tagged(cold, shape(cold), "cold"))
     if mode == "full" and not copies:
         return one_copy(both)
     return both
 
 
-def _tagged(log: DataFrame, payload, store: str) -> DataFrame:
+def _as_variant(log: DataFrame) -> list[Column]:
+    return [P.as_variant(log).alias("event_data")]
+
+
+def _as_stored(log: DataFrame) -> list[Column]:
+    value, text = F.lit(None).cast("variant"), F.lit(None).cast("string")
+    if P.is_text(log):
+        text = F.col("event_data")
+    else:
+        value = F.col("event_data")
+    return [value.alias("event_data"), text.alias(P.TEXT_BESIDE)]
+
+
+def _tagged(log: DataFrame, payload: list[Column], store: str) -> DataFrame:
     return log.select(
         "event_key",
         "source_table",
         "operation",
         "record_id",
-        payload.alias("event_data"),
+        *payload,
         "commit_timestamp",
         "ingested_at",
         F.lit(store).alias("source_store"),

@@ -32,5 +32,5 @@ def register_views(
     cold.createOrReplaceTempView("cdc_events_archive")
     now = utc_now() if as_of is None else as_of
     unified_log(hot, cold, now, retention, mode).createOrReplaceTempView("cdc_events_all")
-    text = unified_log(hot, cold, now, retention, mode, payload="text", copies=True)
+    text = unified_log(hot, cold, now, retention, mode, payload="stored", copies=True)
     create_views(text, STATE_SPECS, "unified", carry=("source_store",))
