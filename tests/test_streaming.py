@@ -41,7 +41,7 @@ def places(tmp_path):
 
 
 def run(spark, places):
-    stream = ingest.envelope_stream(spark, places["in"], max_files=1)
+    stream = ingest.envelope_stream(spark, places["in"], max_bytes=1000)
     hot = ingest.start_hot(stream, places["hot"], places["ck-hot"], trigger=ONCE)
     cold = ingest.start_cold(
         stream, places["cold"], places["bad"], places["ck-cold"], trigger=ONCE

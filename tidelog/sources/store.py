@@ -16,12 +16,13 @@ at a time: prune and compact between micro-batches.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.times import ts
+from tidelog.functions.times import ts, utc_now
 from tidelog.operators.unify import one_copy
 from tidelog.schemas import COLD_LOG, HOT_LOG
 
@@ -30,12 +31,26 @@ REWRITTEN = -1
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 BATCH_FILE_BYTES = 64 * 1024 * 1024
 
-VERSIONS = "version bigint, parts array<struct<folder string, after string>>"
-FIRST_VERSION = (0, [("v0", None)])
+# Fixed value: how long what a newer version replaced stays readable.
+KEEP_NONCURRENT = timedelta(days=10)
+
+VERSIONS = (
+    "version bigint, published_at timestamp_ntz,"
+    " parts array<struct<folder string, after string>>"
+)
 
 Parts = list[tuple[str, str | None]]
 
 
+class Version(NamedTuple):
+    number: int
+    published_at: datetime
+    parts: Parts
+
+
+FIRST_VERSION = Version(0, datetime.min, [("v0", None)])
+
+
 def _file_system(spark: SparkSession, path: str):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -62,19 +77,24 @@ def _commit_dates(spark: SparkSession, path: str) -> list[str]:
 # Versions.
 
 
-def current_version(spark: SparkSession, root: str) -> tuple[int, Parts]:
-    """The newest published version: its number and its folders."""
-    if not path_exists(spark, f"{root}/versions"):
-        return FIRST_VERSION
-    versions = spark.read.schema(VERSIONS).json(f"{root}/versions")
-    newest = versions.orderBy(F.desc("version")).first()
-    if newest is None:
-        return FIRST_VERSION
-    return newest.version, [(part.folder, part.after) for part in newest.parts]
+def versions(spark: SparkSession, root: str) -> list[Version]:
+    """Every version, oldest first: one for each prune or compaction."""
+    published = []
+    if path_exists(spark, f"{root}/versions"):
+        rows = spark.read.schema(VERSIONS).json(f"{root}/versions").orderBy("version").collect()
+        published = [
+            Version(r.version, r.published_at, [(p.folder, p.after) for p in r.parts])
+            for r in rows
+        ]
+    return [FIRST_VERSION, *published]
+
+
+def current_version(spark: SparkSession, root: str) -> Version:
+    return versions(spark, root)[-1]
 
 
-def publish(spark: SparkSession, root: str, version: int, parts: Parts) -> None:
-    row = spark.createDataFrame([(version, parts)], VERSIONS)
+def publish(spark: SparkSession, root: str, number: int, parts: Parts) -> None:
+    row = spark.createDataFrame([(number, utc_now(), parts)], VERSIONS)
     row.coalesce(1).write.mode("append").json(f"{root}/versions")
 
 
@@ -91,7 +111,7 @@ def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """The current version with its partition columns; empty before any write."""
     columns = f"{schema}, commit_date date, batch_id bigint"
     log = None
-    for folder, after in current_version(spark, root)[1]:
+    for folder, after in current_version(spark, root).parts:
         part = read_or_empty(spark, f"{root}/{folder}", columns)
         if after is not None:
             part = part.where(F.col("commit_date") > F.lit(after).cast("date"))
@@ -114,7 +134,7 @@ def append_batch(
     log: DataFrame, root: str, batch_id: int, target_bytes: int = BATCH_FILE_BYTES
 ) -> None:
     """Append one batch; the same batch again replaces itself."""
-    newest_folder = current_version(log.sparkSession, root)[1][-1][0]
+    newest_folder = current_version(log.sparkSession, root).parts[-1][0]
     _write(log, f"{root}/{newest_folder}", batch_id, target_bytes)
 
 
@@ -182,7 +202,7 @@ def drop_before(
     written anew.
     """
     spark = log.sparkSession
-    version, parts = current_version(spark, root)
+    version, _, parts = current_version(spark, root)
     day = cutoff.date().isoformat()
     boundary = log.where(F.col("commit_date") == F.lit(day).cast("date"))
     boundary = boundary.where(F.col("commit_timestamp") >= ts(cutoff)).drop("commit_date")
@@ -203,19 +223,31 @@ def compact(
 
     Rows and their snapshot ids stay as they are.
     """
-    version = current_version(spark, root)[0] + 1
+    version = current_version(spark, root).number + 1
     rows = read_batches(spark, root, schema).drop("batch_id", "commit_date")
     _write(rows, f"{root}/v{version}", REWRITTEN, target_bytes)
     publish(spark, root, version, [(f"v{version}", None)])
 
 
-def reclaim(spark: SparkSession, root: str) -> list[str]:
-    """Delete what the current version no longer reads: whole folders, and
-    partitions a prune dropped. Run it when no older reader is left."""
-    version, parts = current_version(spark, root)
-    kept = dict(parts)
+def reclaim(
+    spark: SparkSession,
+    root: str,
+    as_of: datetime | None = None,
+    keep: timedelta = KEEP_NONCURRENT,
+) -> list[str]:
+    """Delete what no version current within ``keep`` reads: whole folders, and
+    the partitions a prune dropped from the folders that stay."""
+    history = versions(spark, root)
+    horizon = (as_of or utc_now()) - keep
+    published = [v for v in history if v.published_at <= horizon]
+    readable = [published[-1], *(v for v in history if v.published_at > horizon)]
+    kept: dict[str, str | None] = {}
+    for version in readable:
+        for folder, after in version.parts:
+            earlier = kept.get(folder, after)
+            kept[folder] = None if None in (earlier, after) else min(earlier, after)
     doomed = []
-    for name in (f"v{n}" for n in range(version)):
+    for name in (f"v{v.number}" for v in history[:-1]):
         if name not in kept:
             doomed.append(name)
         elif kept[name] is not None:
@@ -234,7 +266,7 @@ def reclaim(spark: SparkSession, root: str) -> list[str]:
 
 def register_table(spark: SparkSession, name: str, root: str, schema: str) -> None:
     """A catalog table over a store of one folder, with its partitions."""
-    parts = current_version(spark, root)[1]
+    parts = current_version(spark, root).parts
     if len(parts) > 1:
         raise ValueError("compact the store first: a table has one location")
     spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -33,12 +33,18 @@ def envelope_stream(
     format: str = "parquet",
     schema: str = ENVELOPES,
     max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Envelopes arriving as files. Any other stream with a payload column will
-    do instead, such as a Kafka topic read with ``startingOffsets=latest``."""
+    """Envelopes arriving as files, at most so many files or bytes a batch.
+
+    Any other stream with a payload column will do instead, such as a Kafka
+    topic read with ``startingOffsets=latest`` and ``maxOffsetsPerTrigger``.
+    """
     reader = spark.readStream.format(format).schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path)
 
 
