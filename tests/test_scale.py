@@ -1,12 +1,14 @@
 """Plans and skew: what must hold when the data is a thousand times larger."""
 
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.compare import DATA
 from tests.logs import log
+from tests.test_queries import LAZY
 from tidelog.catalog import QUERIES
 from tidelog.operators.state import current_state
 from tidelog.operators.unify import one_copy
@@ -16,7 +18,6 @@ from tidelog.schemas import ORDER_ITEMS, ORDERS
 from tidelog.session import scratch_dir
 
 SF_DIR = f"{DATA}/sf0.001"
-BATCH = [n for n in QUERIES if not n.startswith("streamed")]
 
 
 def plan(df) -> str:
@@ -33,7 +34,7 @@ def large(spark):
     spark.conf.set(key, before)
 
 
-@pytest.mark.parametrize("name", BATCH)
+@pytest.mark.parametrize("name", LAZY)
 def test_no_python_no_pair_joins_no_unchecked_broadcast(large, name):
     text = plan(QUERIES[name](large, SF_DIR))
     for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -129,8 +130,6 @@ def test_a_hot_order_is_split_in_the_join(large, tmp_path):
             F.concat(F.lit("p"), F.col("id")).alias("name"),
             F.lit("c").alias("category"),
         )
-        from datetime import datetime
-
         sold = top_products(
             current_state(items, ORDER_ITEMS),
             products,

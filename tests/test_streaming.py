@@ -101,6 +101,30 @@ def test_replayed_commit_does_not_count_twice(spark, tmp_path):
     assert [r.total_records for r in rows] == [10, 15]
 
 
+def test_a_batch_that_failed_halfway_is_replayed_without_copies(spark, places, monkeypatch):
+    send(spark, places["in"], messages(0, 30))
+    commit, calls = ingest.commit_snapshot, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == 2:  # the second batch's rows are written, its snapshot is not
+            raise OSError("lost")
+        commit(*args)
+
+    monkeypatch.setattr(ingest, "commit_snapshot", failing)
+    stream = ingest.envelope_stream(spark, places["in"], max_files=1)
+    places_of_cold = places["cold"], places["bad"], places["ck-cold"]
+    with pytest.raises(Exception, match="lost"):
+        ingest.start_cold(stream, *places_of_cold, trigger=ONCE).awaitTermination()
+    assert store.read_cold(spark, places["cold"]).count() < 30
+    ingest.start_cold(stream, *places_of_cold, trigger=ONCE).awaitTermination()
+    expected = E.accepted(E.decode(spark.read.parquet(places["in"])))
+    assert events(store.read_cold(spark, places["cold"])) == events(expected)
+    history = timetravel.snapshots(ingest.read_snapshots(spark, places["cold"])).collect()
+    assert history[-1].total_records == 30
+    assert ingest.read_quarantine(spark, places["bad"]).count() == 2
+
+
 def test_redelivered_events_are_stored_once(spark, places):
     made = messages(0, 30)
     send(spark, places["in"], made + made[:20])

@@ -27,42 +27,43 @@ def status_steps(
 ) -> DataFrame:
     """Each status change with the status before it, redelivered copies merged.
 
-    A key's history is split by time bucket: the step inside a bucket comes
-    from a window over (key, bucket), the step into a bucket from a window
-    over one row per (key, bucket). A key with very many events is thereby
+    A key's history is split by time bucket: inside a bucket a step is known
+    from the rows of (key, bucket); only the first row of each bucket goes on
+    to a window over the whole key. A key with very many events is thereby
     spread over as many tasks as it has buckets.
     """
     rows = log.where(F.col("source_table") == source_table)
+    payload_status = P.field(P.as_variant(rows), "status", "string")
     status = F.when(F.col("operation") == "d", "deleted").otherwise(
-        P.field(P.as_variant(rows), "status", "string")
+        F.coalesce(payload_status, F.lit("unknown"))
     )
     changes = (
         rows.select("record_id", "commit_timestamp", "operation", status.alias("to_status"))
         .distinct()
         .withColumn("bucket", floor_to(bucket, F.col("commit_timestamp")))
     )
-    order = ["commit_timestamp", "operation", "to_status"]
-    per_bucket = changes.groupBy("record_id", "bucket").agg(
-        F.max(F.struct(*order))["to_status"].alias("last_status")
-    )
-    carried = per_bucket.select(
+    per_bucket = Window.partitionBy("record_id", "bucket")
+    ordered = per_bucket.orderBy("commit_timestamp", "operation", "to_status")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = changes.select(
         "record_id",
         "bucket",
-        F.lag("last_status")
-        .over(Window.partitionBy("record_id").orderBy("bucket"))
-        .alias("carried"),
+        "commit_timestamp",
+        "to_status",
+        F.lag("to_status").over(ordered).alias("from_status"),
+        F.last("to_status").over(whole).alias("last_status"),
     )
-    inside = Window.partitionBy("record_id", "bucket").orderBy(*order)
-    return (
-        changes.withColumn("previous", F.lag("to_status").over(inside))
-        .join(carried, ["record_id", "bucket"])
-        .select(
-            "record_id",
-            "commit_timestamp",
-            F.coalesce("previous", "carried", F.lit("new")).alias("from_status"),
-            "to_status",
-        )
+    # a status is never NULL, so only a bucket's first row has none before it
+    inside = placed.where(F.col("from_status").isNotNull())
+    first = placed.where(F.col("from_status").isNull()).withColumn(
+        "from_status",
+        F.coalesce(
+            F.lag("last_status").over(Window.partitionBy("record_id").orderBy("bucket")),
+            F.lit("new"),
+        ),
     )
+    columns = ["record_id", "commit_timestamp", "from_status", "to_status"]
+    return inside.select(*columns).union(first.select(*columns))
 
 
 def lifecycle_audit(log: DataFrame) -> DataFrame:

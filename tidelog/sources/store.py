@@ -154,14 +154,18 @@ def append_once(log: DataFrame, root: str, batch_id: int) -> None:
     """
     spark = log.sparkSession
     fresh = one_copy(log).withColumn("commit_date", F.col("commit_timestamp").cast("date"))
-    # one value per calendar day of the batch
-    days = [r[0] for r in fresh.select("commit_date").distinct().collect()]
-    stored = (
-        read_batches(spark, root, HOT_LOG)
-        .where(F.col("commit_date").isin(days) & (F.col("batch_id") < batch_id))
-        .select("event_key")
-    )
-    append_batch(fresh.join(stored, "event_key", "left_anti"), root, batch_id)
+    fresh.persist()
+    try:
+        # one value per calendar day of the batch
+        days = [r[0] for r in fresh.select("commit_date").distinct().collect()]
+        stored = (
+            read_batches(spark, root, HOT_LOG)
+            .where(F.col("commit_date").isin(days) & (F.col("batch_id") < batch_id))
+            .select("event_key")
+        )
+        append_batch(fresh.join(stored, "event_key", "left_anti"), root, batch_id)
+    finally:
+        fresh.unpersist()
 
 
 def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
