@@ -105,7 +105,9 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "first_run_value": round(sum(times[0] for times in timed.values()), 3),
-                "prune": prune_rate(spark, sf_dir),
+                "prune": min(
+                    (prune_rate(spark, sf_dir) for _ in range(runs)), key=lambda r: r["seconds"]
+                ),
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
             }
         )

@@ -63,7 +63,7 @@ def golden(spark):
 
 @pytest.mark.parametrize("n", range(len(GOLDEN)))
 def test_golden(golden, n):
-    payload, reason, record_id, table, operation, commit = GOLDEN[n]
+    _, reason, record_id, table, operation, commit = GOLDEN[n]
     row = golden[n]
     assert row.reason == reason
     if reason is None:
