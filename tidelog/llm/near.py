@@ -8,17 +8,20 @@ confirm them, and confirmed links are joined into components.
 
 Documents with equal sets are one class from the start. In a bucket, every
 class is compared with the bucket's first class, so a bucket of m classes
-proposes m - 1 pairs. Once these links are joined, the classes of a bucket
-outside its largest component are compared with those of other components.
+proposes m - 1 pairs. Once these links are joined, buckets that still hold
+several components are compared block by block inside tasks, which return
+links, not pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +33,8 @@ SLICE_BYTES = 4 << 20
 PLACES, COORDINATES = 1 << 18, 252
 #: Chance to miss a pair of exactly the wanted similarity.
 MAX_MISS = 1e-6
+#: Classes of a bucket in a block.
+BLOCK = 512
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
@@ -293,8 +298,7 @@ def components(
     sets = stored(_sets(rows.join(nodes, "doc_id", "left_semi"), words), "sets")
     links = stored(_confirmed(stars, sets, percent).union(_same_id(usable, classes)), "links")
     placed = connected(links)
-    apart = stored(_apart(members, placed, stars, percent), "apart")
-    more = stored(_confirmed(apart, sets, percent), "links")
+    more = stored(_links_apart(members, placed, sets, percent, n_bands, band_rows), "links")
     if not more.isEmpty():
         placed = connected(links.union(more))
     return _result(found, classes, placed)
@@ -316,39 +320,81 @@ def _same_id(usable: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _apart(members: DataFrame, placed: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of one bucket that are in different components and
-    were not compared yet. Buckets of one component, which is what copies of
-    one text make, propose none."""
+def _links_within(group: pd.DataFrame, percent: int, n_bands: int, rows: int) -> list[tuple]:
+    """Links between the members of two blocks of one bucket (or of one block)
+    that are in different components.
+
+    A pair is looked at in the first band that it shares. Where the signatures
+    agree in so few coordinates that a link has a chance of ``MAX_MISS``, the
+    sets are not compared.
+    """
+    band, first_block = int(group["band"].iloc[0]), int(group["i"].iloc[0])
+    two = int(group["j"].iloc[0]) != first_block
+    nodes, sizes = group["node"].to_numpy(), group["n"].to_numpy()
+    sets = [np.asarray(s).view(np.uint64) for s in group["shingles"]]
+    signs = np.stack([signature(s) for s in sets])
+    banded = signs[:, : n_bands * rows].reshape(len(signs), n_bands, rows)
+    side = group["block"].to_numpy() == first_block
+    _, root = np.unique(group["component"].to_numpy(), return_inverse=True)
+    wanted = percent / 100
+    spread = math.sqrt(wanted * (1 - wanted) / COORDINATES)
+    least = COORDINATES * (wanted - 4.8 * spread)
+    links = []
+    for x in np.flatnonzero(side) if two else range(len(nodes)):
+        others = ~side if two else np.arange(len(nodes)) > x
+        fit = 100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])
+        near = np.flatnonzero(others & fit & (root != root[x]))
+        near = near[(signs[near] == signs[x]).sum(axis=1) >= least]
+        shared = (banded[near] == banded[x]).all(axis=2)
+        near = near[shared.any(axis=1) & (shared.argmax(axis=1) == band)]
+        for y in near:
+            if root[y] != root[x]:
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
+                    links.append((nodes[x], nodes[y]))
+                    root[root == root[y]] = root[x]
+    return links
+
+
+def _links_apart(
+    members: DataFrame, placed: DataFrame, sets: DataFrame, percent: int, n_bands: int, rows: int
+) -> DataFrame:
+    """Links (a, b) of classes of one bucket that are in different components.
+
+    Buckets of one component, which is what copies of one text make, are done.
+    Others are cut into blocks of about ``BLOCK`` classes, and a task compares
+    two blocks at a time; it returns the links that it has confirmed.
+    """
     labelled = members.join(placed, "node", "left").select(
         "band", "key", "node", "n", F.coalesce("component", "node").alias("component")
     )
-    shares = labelled.groupBy("band", "key", "component").agg(F.count("*").alias("m"))
-    mixed_buckets = (
-        shares.groupBy("band", "key")
-        .agg(F.max(F.struct("m", "component")).alias("most"), F.sum("m").alias("held"))
-        .filter("most.m < held and held > 2")
-        .select("band", "key", F.col("most.component").alias("main"))
+    several = (
+        labelled.groupBy("band", "key")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count("*").alias("held"),
+        )
+        .filter("low <> high and held > 2")  # two were compared before
+        .select("band", "key", F.ceil(F.col("held") / BLOCK).cast("long").alias("blocks"))
     )
-    rest = stored(labelled.join(mixed_buckets, ["band", "key"]), "mixed")
-    side = ("node", "n", "component")
-    left = rest.filter("component <> main").select(
-        "band", "key", "main", *(F.col(c).alias(f"{c}_a") for c in side)
+    compared = (
+        labelled.join(several, ["band", "key"])
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .join(sets, "node")
     )
-    right = rest.select("band", "key", *(F.col(c).alias(f"{c}_b") for c in side))
-    once = (F.col("component_b") == F.col("main")) | (F.col("node_a") < F.col("node_b"))
+    kind = members.schema["node"].dataType.simpleString()
+
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_links_within(group, percent, n_bands, rows), columns=["a", "b"])
+
     return (
-        left.join(right, ["band", "key"])
-        .filter(
-            once
-            & (F.col("component_a") != F.col("component_b"))
-            & _sizes_fit(percent, F.col("n_a"), F.col("n_b"))
-        )
-        .select(
-            F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
-        )
+        compared.groupBy("band", "key", "i", "j")
+        .applyInPandas(links, f"a {kind}, b {kind}")
         .distinct()
-        .join(stars, ["a", "b"], "left_anti")
     )
 
 
