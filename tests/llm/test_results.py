@@ -1,0 +1,342 @@
+"""Operators against brute force, other libraries, SQL and held-out labels."""
+
+import base64
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+import tests.compare as compare
+from tidelog.llm import bpe, near, packing, quality, repeats, suffixes, toxicity, urls
+from tidelog.llm.queries import QUERIES, SQL, URL_RULES
+
+SF_DIR = f"{compare.DATA}/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    return {r.doc_id: r.text or "" for r in rows}
+
+
+def _run(spark, name):
+    return QUERIES[name](spark, SF_DIR).collect()
+
+
+@pytest.mark.parametrize("name", SQL)
+def test_sql(spark, monkeypatch, name):
+    monkeypatch.setattr(compare, "QUERIES", QUERIES)
+    monkeypatch.setattr(compare, "SQL", SQL)
+    assert compare.differences(spark, compare.duck(SF_DIR), SF_DIR, name) == []
+
+
+def _tiktoken(name):
+    with open(public_tokenizers.path(name), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe(spark, texts):
+    reference = _tiktoken("byte_bpe_multi_50k.tiktoken")
+    odd = ["a   b", " a ", "   ", "a\n\n b", "x" * 3000, "ab" * 999, "é€𐍈" * 50, "<|endoftext|>", "it's  we'll\x1c x"]
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = spark.createDataFrame(list(enumerate(odd)), "doc_id int, text string")
+    for r in bpe.decode(bpe.encode(rows, ranks), ranks).collect():
+        assert r.ids == reference.encode_ordinary(odd[r.doc_id])
+        assert bytes(r.decoded) == odd[r.doc_id].encode()
+    for r in _run(spark, "op1_bpe"):
+        ids = reference.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.decoded_sha256) == (len(ids), hashlib.sha256(texts[r.doc_id].encode()).hexdigest())
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+def _rules(text):
+    words = text.encode().split()
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    seen, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if seen[w] > 1:
+            covered |= set(range(i, i + 8))
+    kept = [x for x in text.encode().split(b"\n") if x.split()]
+    joined = b"".join(words)
+    return (
+        len(words),
+        len(joined.decode()),
+        sum(joined.count(c) for c in (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")),
+        len(kept) - len(set(kept)),
+        len(covered),
+    )
+
+
+def test_quality(spark, texts):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    kept = defaultdict(list)
+    for r in _run(spark, "op2_quality"):
+        counts = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert counts == _rules(texts[r.doc_id])
+        assert r.base_failed == (counts[0] < 20 or 100 * counts[4] > 30 * counts[0])
+        assert not (r.kept and r.base_failed)
+        if not r.base_failed and r.doc_id in labels:
+            kept[labels[r.doc_id]].append(r.kept)
+    assert np.mean(kept[1]) > 0.98 and np.mean(kept[0]) < 0.2
+
+
+def test_repeated_windows():
+    random.seed(2)
+    made = [" ".join(random.choice("abc") for _ in range(random.randrange(60))) for _ in range(200)]
+    assert [tuple(r[:5]) for r in quality.measure([t.encode() for t in made]).tolist()] == [_rules(t) for t in made]
+
+
+def test_forest_isolates_what_is_rare():
+    rng = np.random.default_rng(0)
+    usual, odd = rng.normal(0, 1, (2000, 2)), rng.normal(9, 0.5, (20, 2))
+    forest = quality.fit_forest(np.concatenate([usual, odd]))
+    assert forest.scores(odd).min() > np.percentile(forest.scores(usual), 99)
+
+
+def test_toxicity_held_out(spark):
+    sf_dir = f"{compare.DATA}/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = [r for r in QUERIES["op3_toxicity"](spark, sf_dir).collect()]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id in labels]
+    bad = np.array([labels[r.doc_id] == 1 for r in held])
+    score = np.array([r.score for r in held])
+    assert (score[bad][:, None] > score[~bad][None, :]).mean() > 0.95
+    assert (score[~bad] >= 0.3).mean() < 0.02 and (score[bad] >= 0.3).mean() > 0.85
+
+
+def test_counterfactuals_reduce_false_positives():
+    random.seed(5)
+    filler = ["the", "day", "was", "long", "and", "we", "ate", "soup", "near", "town"]
+    made, toxic = [], []
+    for i in range(600):
+        words = random.sample(filler, 6)
+        bad = i % 3 == 0
+        if bad:
+            words += [random.choice(["idiot", "scum"])]
+        if random.random() < (0.8 if bad else 0.1):
+            words += ["muslim"]  # mentioned more often in toxic texts
+        made.append(" ".join(words) + ".")
+        toxic.append(bad)
+    neutral = "we ate soup near the muslim town."
+    plain = toxicity.train(made, np.array(toxic), pair_weight=0.0)
+    fair = toxicity.train(made, np.array(toxic), pair_weight=20.0)
+    base = "we ate soup near the town."
+    assert plain.margin(neutral) - plain.margin(base) > 1
+    assert abs(fair.margin(neutral) - fair.margin(base)) < 0.5
+    assert fair.margin("idiot soup") > 0 > fair.margin(neutral)
+
+
+def test_suffix_arrays():
+    rng = np.random.default_rng(1)
+    made = [rng.integers(0, a, n).astype(np.uint8) for n in (1, 60, 400) for a in (1, 2, 5, 256)]
+    made += [np.frombuffer((b"abcabd" * 40 + b"\xff") * 3, np.uint8)]
+    for text in made:
+        data = text.tobytes()
+        order = suffixes.suffix_array(text)
+        assert order.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
+        shared = suffixes.permuted_common_prefixes(text, order)
+        for a, b in zip(order, order[1:], strict=False):
+            n = int(shared[b])
+            assert data[a : a + n] == data[b : b + n]
+            assert data[a + n : a + n + 1] != data[b + n : b + n + 1]
+
+
+def _without_repeats(made, length):
+    seen = Counter(t[i : i + length] for t in made for i in range(len(t) - length + 1))
+    out = []
+    for t in made:
+        gone = set()
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone |= set(range(i, i + length))
+        out.append(bytes(b for i, b in enumerate(t) if i not in gone))
+    return out
+
+
+@pytest.mark.parametrize(("anchor", "max_segments"), [(32, 4000), (60, 1)])
+def test_repeats(spark, anchor, max_segments):
+    random.seed(4)
+    base = ["".join(random.choice("abcdé ") for _ in range(400)) for _ in range(5)]
+    made = []
+    for _ in range(40):
+        text = "".join(random.choice("abcdé ") for _ in range(random.choice([0, 50])))
+        for _ in range(random.choice([0, 1, 2])):
+            at = random.randrange(200)
+            text += random.choice(base)[at : at + random.choice([40, 60, 61, 200])] + random.choice(["", "z"])
+        made.append(text)
+    made += ["a" * 300, "ab" * 100, "a" * 60, "xyz" * 70, ""]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id int, text string")
+    found = repeats.remove(docs, length=60, anchor=anchor, max_segments=max_segments).collect()
+    expected = _without_repeats([t.encode() for t in made], 60)
+    assert {r.doc_id: bytes(r.kept) for r in found} == dict(enumerate(expected))
+
+
+def test_repeats_of_documents(spark, texts):
+    ids = sorted(texts)
+    expected = dict(zip(ids, _without_repeats([texts[i].encode() for i in ids], 400), strict=True))
+    for r in _run(spark, "op4_repeats"):
+        kept = expected[r.doc_id]
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+        assert r.n_removed == len(texts[r.doc_id].encode()) - len(kept)
+
+
+def test_whole_characters_stay():
+    assert repeats._to_characters("aéb".encode(), [(2, 4)]) == [(3, 4)]
+    assert repeats._to_characters("aéb".encode(), [(0, 2)]) == [(0, 1)]
+
+
+def _check_packing(pieces, texts, size=2048):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    ids = {d: tokenizer.encode(t, add_special_tokens=False).ids + [1] for d, t in texts.items()}
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        own = ids[p.doc_id]
+        part = np.array(own[p.start : p.start + p.length], "<u4")
+        assert p.doc_tokens == len(own) and p.ids_crc32 == zlib.crc32(part.tobytes())
+        by_doc[p.doc_id].append((p.start, p.length))
+        by_sequence[p.sequence_id].append((p.offset, p.length))
+    for doc, own in ids.items():
+        at = 0
+        for start, length in sorted(by_doc[doc]):
+            assert start == at
+            at += length
+        assert at == len(own)
+    fills = []
+    for held in by_sequence.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= size
+        fills.append(at)
+    return fills
+
+
+def test_packing(spark, texts):
+    fills = _check_packing(_run(spark, "op5_packing"), texts)
+    assert sum(f < 2048 for f in fills) <= 8  # one of each task
+
+
+def test_packing_places_to_lessen_the_sum_of_squares():
+    packer = packing.Packer(10)
+    for n in (4, 4, 6):
+        list(packer.place(n, b"\0" * 4 * n))
+    # two 4s apart would make 4, one window of 8 makes 1
+    assert np.flatnonzero(packer.level).tolist() == [6, 8]
+    few = packing.Packer(10, max_open=2)
+    out = [w for n in (7, 7, 7, 7) for w in few.place(n, b"\0" * 4 * n)] + list(few.close())
+    assert sum(w.fill for w in out) == 28 and [w.fill for w in out].count(10) == 2
+
+
+def _components(texts, words, percent):
+    sets = {}
+    for d, t in texts.items():
+        w = t.encode().lower().split()
+        sets[d] = {tuple(w[i : i + words]) for i in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(d for d in sets if sets[d])
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+@pytest.mark.parametrize(("words", "percent", "block"), [(3, 85, 512), (5, 80, 3)])
+def test_near(spark, texts, monkeypatch, words, percent, block):
+    random.seed(8)
+    monkeypatch.setattr(near, "BLOCK", block)
+    made = dict(texts)
+    base = [f"w{random.randrange(500)}" for _ in range(150)]
+    for i in range(60):  # a group of near copies, some further away than others
+        copy = list(base)
+        for _ in range(random.choice([1, 2, 4, 8])):
+            copy[random.randrange(150)] = f"x{random.randrange(9999)}"
+        made[10_000 + i] = " ".join(copy)
+    docs = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    found = near.components(docs, words, percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == _components(made, words, percent)
+
+
+def test_near_bands_miss_little():
+    for percent in (70, 80, 85, 95):
+        n, rows = near.bands(percent)
+        assert n * rows <= near.COORDINATES and (1 - (percent / 100) ** rows) ** n <= near.MAX_MISS
+
+
+def test_connected(spark):
+    chain = [(i, i + 1) for i in range(1, 40)] + [(100, 99), (99, 98), (7, 3)]
+    found = near.connected(spark.createDataFrame(chain, "a long, b long"))
+    assert {r.node: r.component for r in found.collect()} == {
+        **{i: 1 for i in range(1, 41)}, 98: 98, 99: 98, 100: 98
+    }
+
+
+def test_urls(spark):
+    given = {
+        "https://A.Example.ORG/es/x?q=1": ("a.example.org", "/es/x", "example.org/es/", "block"),
+        "http://example.org/en/12#top": ("example.org", "/en/12", "example.org/en/1", "block"),
+        "http://example.org/en/2": ("example.org", "/en/2", "org/", "allow"),
+        "http://x.com/de/1": ("x.com", "/de/1", "com/de/", "block"),
+        "http://xcom/de/1": ("xcom", "/de/1", None, "allow"),
+        "http://b.org": ("b.org", "", None, "allow"),
+        "no url": ("", "", None, "allow"),
+        None: ("", "", None, "allow"),
+    }
+    pages = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    none = spark.createDataFrame([], "id long, bad int")
+    rows = urls.judge(pages, none, URL_RULES).collect()
+    assert [(r.host, r.path, r.rule, r.verdict) for r in sorted(rows)] == list(given.values())
+
+
+def test_bad_templates_are_rejected(spark):
+    pages = [(i, f"http://h.net/{'ads' if i % 2 else 'news'}/item{i}x/p") for i in range(400)]
+    labels = [(i, i % 2) for i in range(0, 400)]
+    found = urls.judge(
+        spark.createDataFrame(pages, "page_id long, url string"),
+        spark.createDataFrame(labels, "id long, bad int").filter("id < 300"),
+        {},
+    ).collect()
+    assert {(r.template, r.verdict) for r in found} == {("/ads/item*x/p", "block"), ("/news/item*x/p", "allow")}
+
+
+def test_pipeline(spark, texts):
+    pieces = corpus_pipeline.run(spark, SF_DIR).collect()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for (name, stage), key in zip(corpus_pipeline.STAGES[:3], ("quality", "exact", "near"), strict=True):
+        before = {r.doc_id: r for r in docs.collect()}
+        docs = spark.createDataFrame(stage(spark, docs, SF_DIR).collect(), docs.schema)
+        after = {r.doc_id: r for r in docs.collect()}
+        assert all(before[i] == r for i, r in after.items())
+        if key == "exact":
+            best = {}
+            for i, r in before.items():
+                low = "".join(c.lower() if c.isascii() else c for c in r.text or "")
+                best[low] = max(i, best.get(low, i))
+            assert set(after) == set(best.values())
+        if key == "near":
+            place = _components({i: r.text or "" for i, r in before.items()}, 5, 80)
+            assert set(after) == {i for i, (_, c) in place.items() if c == i}
+    cut = {r.doc_id: r.text for r in corpus_pipeline.repeat_removal(spark, docs, SF_DIR).collect()}
+    ids = sorted(after)
+    expected = _without_repeats([after[i].text.encode() for i in ids], 400)
+    assert all(cut[i].encode() == e or not e.isascii() for i, e in zip(ids, expected, strict=True))
+    _check_packing(pieces, cut)

@@ -39,7 +39,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back: cuts the lineage
     and survives the loss of any executor."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

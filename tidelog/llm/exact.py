@@ -23,6 +23,9 @@ BUCKET_CAPACITY = 100_000
 #: The directory has at most 2 ** MAX_DEPTH pointers; buckets at that depth
 #: take any number of hashes.
 MAX_DEPTH = 16
+#: Parts into which the entries of each hash are dealt when collisions are
+#: looked up.
+SALTS = 16
 
 
 def _prefix(depth: int) -> Column:
@@ -94,10 +97,20 @@ def groups(
         .repartition("bucket"),
         "exact-index",
     )
-    collided = index.filter("n > 1").select("bucket", "hash")
+    salted = entries.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    collided = index.filter("n > 1").select(
+        "bucket", "hash", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    )
+    suspects = (
+        salted.join(collided, ["hash", "salt"])
+        .select("bucket", F.col("hash").alias("suspect"), F.col("doc_id").alias("id"))
+        .distinct()
+    )
+    # fetched by id, so copies of one text come from evenly filled tasks
+    own = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("suspect"))
     chains = (
         rows.withColumn("hash", F.xxhash64("body"))
-        .join(collided, "hash")
+        .join(suspects, own)
         .groupBy("bucket", "hash", "body")
         .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
         .select(

@@ -295,7 +295,7 @@ def fit(
     )
     sample = _measured(rows, "id", "text", ["good"]).select("doc_id", "good", "stats")
     found = sample.orderBy("doc_id").limit(2 * max_labelled).collect()
-    stats = np.array([r.stats for r in found], np.int64).reshape(len(found), -1)
+    stats = np.array([r.stats for r in found], np.int64).reshape(len(found), len(COUNTS + MORE))
     good = np.array([r.good for r in found], bool)
     if len(found):
         passed = ~base_failed(stats, min_words, max_repeat)

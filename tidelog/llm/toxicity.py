@@ -1,6 +1,6 @@
 """Toxicity classifier with counterfactual regularisation (operator 3).
 
-A logistic regression over the words of a text. For labelled sentences that
+A logistic regression over the words of a text and their beginnings. For labelled sentences that
 name a group of people, copies name other groups instead; the training loss
 adds the squared change of the score between a sentence and its copies, so
 that neutral mentions of a group do not count as toxic. Fitted on a bounded
@@ -10,8 +10,7 @@ sample of labelled rows; every whole text is scored.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +38,8 @@ IDENTITY_TERMS = (
     ("femme", "homme"),
     ("mujer", "hombre"),
 )
+#: Lengths of the beginnings of words that are features.
+STEMS = (4, 5, 6)
 _words = re.compile(r"\w+").findall
 _SENTENCE = re.compile(r"(?<=[.!?\n])\s*")
 
@@ -47,6 +48,12 @@ def words(text: str) -> list[str]:
     return _words(text.lower())
 
 
+def features(own: Iterable[str]) -> set[str]:
+    """Words and their beginnings, which stand for inflected forms."""
+    found = set(own)
+    return found.union(*({f"{w[:n]}-" for w in found if len(w) > n} for n in STEMS))
+
+
 def counterfactuals(
     text: str, groups=IDENTITY_TERMS, max_copies: int = 4
 ) -> list[tuple[list[str], list[str]]]:
@@ -73,32 +80,33 @@ def counterfactuals(
 
 @dataclass
 class Model:
-    """Weights of words; the score is of the bias and the distinct words' sum."""
+    """Weights of features; the score is that of the bias and the sum of a
+    text's features, each counted once."""
 
     weight: dict[str, float]
     bias: float
 
     def margin(self, text: str) -> float:
-        return self.bias + sum(map(self.weight.get, self.weight.keys() & set(words(text))))
-
-
-def _vocabulary(texts: list[set[str]], toxic: np.ndarray, min_texts: int, size: int) -> list[str]:
-    """The words whose presence tells most about the label, by G statistic."""
-    seen, seen_toxic = Counter(), Counter()
-    for own, bad in zip(texts, toxic, strict=True):
-        seen.update(own)
-        if bad:
-            seen_toxic.update(own)
-    rate = toxic.mean()
-    known = [w for w, n in seen.items() if n >= min_texts]
-    n = np.array([seen[w] for w in known], float)
-    k = np.array([seen_toxic[w] for w in known], float)
+        return self.bias + sum(map(self.weight.get, self.weight.keys() & features(words(text))))
+
+
+def _vocabulary(
+    names: list[str], rows: list[np.ndarray], toxic: np.ndarray, min_texts: int, size: int
+) -> list[str]:
+    """The features whose presence tells most about the label, by G statistic;
+    ``rows`` has each text's features as places in ``names``."""
+    n = np.bincount(np.concatenate(rows), minlength=len(names))
+    k = np.bincount(
+        np.concatenate([r for r, bad in zip(rows, toxic, strict=True) if bad]), minlength=len(names)
+    )
+    known = np.flatnonzero(n >= min_texts)
+    n, k, rate = n[known], k[known], toxic.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
         g = np.nan_to_num(k * np.log(k / (n * rate))) + np.nan_to_num(
             (n - k) * np.log((n - k) / (n * (1 - rate)))
         )
-    best = sorted(range(len(known)), key=lambda i: (-g[i], known[i]))[:size]
-    return [known[i] for i in best]
+    best = sorted(range(len(known)), key=lambda i: (-g[i], names[known[i]]))[:size]
+    return [names[known[i]] for i in best]
 
 
 def train(
@@ -117,19 +125,28 @@ def train(
     bias = float(np.log(rate / (1 - rate)))
     if not len(toxic) or toxic.all() or not toxic.any():
         return Model({}, bias)
-    own = [set(words(t)) for t in texts]
-    terms = _vocabulary(own, toxic, min_texts, vocabulary)
+    place: dict[str, int] = {}
+    own = [
+        np.array([place.setdefault(f, len(place)) for f in features(words(t))], np.int32)
+        for t in texts
+    ]
+    terms = _vocabulary(list(place), own, toxic, min_texts, vocabulary)
     index = {w: i for i, w in enumerate(terms)}
 
-    def matrix(rows: list) -> np.ndarray:
+    def matrix(rows: list[set[str]]) -> np.ndarray:
         out = np.zeros((len(rows), len(terms)), np.float32)
         for r, row in enumerate(rows):
-            out[r, [index[w] for w in set(row) & index.keys()]] = 1
+            out[r, [index[w] for w in row & index.keys()]] = 1
         return out
 
-    x, y = matrix(own), toxic.astype(np.float32)
+    column = np.full(len(place) + 1, -1)
+    column[[place[w] for w in terms]] = np.arange(len(terms))
+    x, y = np.zeros((len(own), len(terms)), np.float32), toxic.astype(np.float32)
+    for r, found in enumerate(own):
+        known = column[found]
+        x[r, known[known >= 0]] = 1
     pairs = [p for t in texts for p in counterfactuals(t, groups)]
-    change = matrix([p[0] for p in pairs]) - matrix([p[1] for p in pairs])
+    change = matrix([features(p[0]) for p in pairs]) - matrix([features(p[1]) for p in pairs])
     change = change[np.abs(change).any(axis=1)]
     weight, speed = np.zeros(len(terms), np.float32), np.zeros(len(terms) + 1, np.float32)
     square = np.zeros(len(terms) + 1, np.float32)

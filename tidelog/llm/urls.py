@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import ascii_lower
+from tidelog.llm.common import ascii_lower, stored
 
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -98,13 +98,18 @@ def _merged(templates: DataFrame) -> DataFrame:
     similar = (
         masked.join(total, ["host", "family"])
         .groupBy("host", "family")
-        .agg(F.sum(spread).alias("chi2"), F.sum(F.signum("labelled")).alias("k"))
+        .agg(
+            F.sum(spread).alias("chi2"),
+            F.sum(F.signum("labelled")).alias("k"),
+            F.count("*").alias("siblings"),
+        )
+        .withColumn("free", F.greatest(F.col("k") - 1, F.lit(1)))
         .select(
             "host",
             "family",
             (
-                F.col("chi2") <= F.greatest(F.col("k") - 1, F.lit(1))
-                + 2 * F.sqrt(2 * F.greatest(F.col("k") - 1, F.lit(1)))
+                (F.col("siblings") > 1)
+                & (F.col("chi2") <= F.col("free") + 2 * F.sqrt(2 * F.col("free")))
             ).alias("alike"),
         )
     )
@@ -142,12 +147,13 @@ def judge(
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     urls = urls.withColumn("shape", F.regexp_replace("path", "[0-9]+", "*"))
     marks = labels.groupBy("id").agg(F.max("bad").alias("bad")).filter("bad is not null")
-    shapes = (
+    shapes = stored(
         urls.join(marks, urls.page_id == marks.id, "left")
         .groupBy("host", "shape")
-        .agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+        .agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")),
+        "url-shapes",
     )
-    templates = _with_wildcards(shapes, max_children)
+    templates = stored(_with_wildcards(shapes, max_children), "url-templates")
     counted = (
         shapes.join(templates, ["host", "shape"])
         .groupBy("host", "template")
