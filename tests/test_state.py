@@ -24,6 +24,7 @@ CASES = {
     "duplicate": ([("c", "a", 1, "paid"), ("c", "a", 1, "paid", 9)], {"a": "paid"}),
     "same instant": ([("c", "a", 5, "paid", 6), ("d", "a", 5, None, 5)], {}),
     "same instant, other order": ([("c", "a", 5, "paid", 5), ("d", "a", 5, None, 6)], {}),
+    "same instant as an update": ([("d", "a", 5, None, 5), ("u", "a", 5, "paid", 6)], {}),
     "same instant, redelivered": (
         [("c", "a", 5, "paid", 5), ("d", "a", 5, None, 6), ("c", "a", 5, "paid", 9)],
         {},

@@ -9,7 +9,7 @@ from tests.logs import log
 from tidelog.operators import envelope as E
 from tidelog.operators.state import current_state
 from tidelog.plans import timetravel
-from tidelog.schemas import ORDERS
+from tidelog.schemas import HOT_LOG, ORDERS
 from tidelog.sources import store
 from tidelog.streaming import ingest, live
 
@@ -182,3 +182,40 @@ def test_live_volume_counts_rows_arriving_in_later_batches(spark, tmp_path):
     live.start_volume(stream, path, ck, ONCE).awaitTermination()
     counts = live.read_newest(spark, path, "minute", "source_table").collect()
     assert sorted(r.events for r in counts) == [8] * 5
+
+
+def test_a_batch_of_refused_records_does_not_stop_the_archive(spark, tmp_path):
+    source, places = f"{tmp_path}/in", [f"{tmp_path}/{n}" for n in ("cold", "refused", "check")]
+    good = '{"op":"c","after":{"id":"a"},"source":{"table":"orders"},"ts_ms":1}'
+
+    def send(text):
+        rows = spark.createDataFrame([(text,)], "data string")
+        rows.selectExpr("base64(encode(data, 'UTF-8')) AS data").write.mode("append").json(source)
+        stream = spark.readStream.schema("data string").json(source)
+        ingest.start_cold(stream, *places, trigger=ONCE).awaitTermination()
+
+    send("{bad")
+    assert store.read_cold(spark, places[0]).count() == 0
+    assert ingest.read_quarantine(spark, places[1]).count() == 1
+    send(good)
+    assert store.read_cold(spark, places[0]).count() == 1
+
+
+def test_two_streams_share_a_hot_log(spark, tmp_path):
+    root = f"{tmp_path}/hot"
+    for name in ("x", "y"):
+        text = f'{{"op":"c","after":{{"id":"{name}"}},"source":{{"table":"orders"}},"ts_ms":1}}'
+        rows = spark.createDataFrame([(text,)], "data string")
+        rows.selectExpr("base64(encode(data, 'UTF-8')) AS data").write.json(f"{tmp_path}/{name}")
+        stream = spark.readStream.schema("data string").json(f"{tmp_path}/{name}")
+        ingest.start_hot(stream, root, f"{tmp_path}/check-{name}", trigger=ONCE).awaitTermination()
+    assert {r.record_id for r in store.read_hot(spark, root).collect()} == {"x", "y"}
+
+
+def test_loads_replace_nothing(spark, tmp_path):
+    events = log(spark, ("c", "a", 1, "paid")), log(spark, ("c", "b", 1, "paid"))
+    for rows in events:
+        store.bulk_load(rows, f"{tmp_path}/hot")
+    store.compact(spark, f"{tmp_path}/hot", HOT_LOG)
+    store.bulk_load(log(spark, ("c", "d", 1, "paid")), f"{tmp_path}/hot")
+    assert store.read_hot(spark, f"{tmp_path}/hot").count() == 3

@@ -158,7 +158,7 @@ def event_volume(spark, sf_dir):
 
 
 def gap_filled_volume(spark, sf_dir):
-    return health.gap_filled_volume(B.event_log(spark, sf_dir), EVENTS, DAY)
+    return health.gap_filled_volume(B.event_log(spark, sf_dir), EVENTS, DAY, tables=("users",))
 
 
 def events_by_table(spark, sf_dir):
@@ -431,14 +431,10 @@ def _live(spark, sf_dir, start) -> str:
     source, path = _as_files(log, "log"), scratch_dir(spark, "live")
     stream = _stream(spark, source, log)
     checkpoint = scratch_dir(spark, "checkpoint")
-    start(stream, path, checkpoint, ONCE, _state_tasks(spark)).awaitTermination()
+    start(stream, path, checkpoint, ONCE).awaitTermination()
     return path
 
 
-def _state_tasks(spark) -> int:
-    return min(spark.sparkContext.defaultParallelism, 64)
-
-
 def streamed_state(spark, sf_dir):
     path = _live(spark, sf_dir, live.start_state)
     state = live_rows(live.read_state_log(spark, path))
@@ -459,7 +455,7 @@ def streamed_sales_velocity(spark, sf_dir):
     log = B.star_log(spark, sf_dir, ORDERS.source_table)
     source, path = _as_files(log, "log"), scratch_dir(spark, "live")
     stream, checkpoint = _stream(spark, source, log), scratch_dir(spark, "checkpoint")
-    live.start_state(stream, path, checkpoint, ONCE, _state_tasks(spark)).awaitTermination()
+    live.start_state(stream, path, checkpoint, ONCE).awaitTermination()
     orders = current_state(live.read_state_log(spark, path), ORDERS, STAR - DAYS_30)
     return business.sales_velocity(orders, STAR, DAYS_30)
 

@@ -44,7 +44,7 @@ def until(log: DataFrame, moment: datetime) -> DataFrame:
 
 
 def latest_first(log: DataFrame) -> list[Column]:
-    """A total order: content decides before arrival, a delete before an upsert.
+    """A total order: content decides before arrival, a delete before any upsert.
 
     Between different rows of one commit time and operation the content hash
     decides. Arrival columns only choose among identical copies, so redelivery
@@ -54,6 +54,7 @@ def latest_first(log: DataFrame) -> list[Column]:
     """
     order = [
         F.desc("commit_timestamp"),
+        (F.col("operation") == "d").desc(),
         F.desc("operation"),
         F.desc("event_key"),
         F.desc("ingested_at"),

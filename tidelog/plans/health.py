@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.numbers import ratio
 from tidelog.functions.times import floor_to, millis_between, ts
+from tidelog.schemas import STATE_SPECS
 
 
 def _ingested_since(log: DataFrame, moment: datetime) -> DataFrame:
@@ -53,18 +54,23 @@ def _per_minute(log: DataFrame) -> DataFrame:
 
 
 def gap_filled_volume(
-    log: DataFrame, as_of: datetime, lookback: timedelta = timedelta(hours=1)
+    log: DataFrame,
+    as_of: datetime,
+    lookback: timedelta = timedelta(hours=1),
+    tables: tuple[str, ...] = tuple(spec.source_table for spec in STATE_SPECS),
 ) -> DataFrame:
     """``event_volume`` with a zero row for every minute a table was silent.
 
-    Minutes come from the window's bounds and tables from the counted rows, so
-    the calendar has as many rows as the answer and no log row is copied.
+    Minutes come from the window's bounds, tables from the argument and the
+    counted rows, so a table silent all the time has its rows too. The
+    calendar has as many rows as the answer and no log row is copied.
     """
     counted = _per_minute(_ingested_since(log, as_of - lookback))
     first = floor_to("minute", ts(as_of - lookback))
     last = floor_to("minute", ts(as_of))
     minutes = F.explode(F.sequence(first, last, F.expr("interval 1 minute")))
-    calendar = counted.select("source_table").distinct().select(
+    expected = log.sparkSession.createDataFrame([(t,) for t in tables], "source_table string")
+    calendar = counted.select("source_table").union(expected).distinct().select(
         "source_table", minutes.alias("minute")
     )
     return (

@@ -43,7 +43,9 @@ def status_steps(
         .withColumn("bucket", floor_to(bucket, F.col("commit_timestamp")))
     )
     per_bucket = Window.partitionBy("record_id", "bucket")
-    ordered = per_bucket.orderBy("commit_timestamp", "operation", "to_status")
+    ordered = per_bucket.orderBy(
+        "commit_timestamp", F.col("operation") == "d", "operation", "to_status"
+    )
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = changes.select(
         "record_id",

@@ -22,22 +22,11 @@ FIRST_CUSTOMER = datetime(1995, 1, 1)
 PAYMENT_METHODS = ("card", "paypal", "applepay", "googlepay")
 NATIONS = 25
 
-MOST_SPREAD_TASKS = 64
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Share out the rows of input too small to be split over the cores.
-
-    Input with at least as many splits as that stays as it was read.
-    """
-    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, MOST_SPREAD_TASKS)
-    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
-
-
 def cents(amount: Column) -> Column:
     return F.round(amount * 100).cast("bigint")
 
@@ -110,8 +99,7 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = plus(ts(FIRST_CUSTOMER), (key * 37) % 2400, "day")
     rows = (
         table(spark, sf_dir, "customer")
-        # nation is a fixed list of 25 countries
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             "c_custkey",
             "c_name",
@@ -172,15 +160,11 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     key = F.col("o_orderkey")
     rows = (
-        spread(
-            table(spark, sf_dir, "orders").select(
-                "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
-            )
-        )
+        table(spark, sf_dir, "orders")
+        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        # nation is a fixed list of 25 countries
         .join(
-            F.broadcast(nation),
+            nation,
             (F.col("c_nationkey") + key % 3) % NATIONS == F.col("n_nationkey"),
         )
         .withColumn("first_at", order_time(F.col("o_orderdate"), key))
@@ -232,15 +216,13 @@ def order_item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     key = F.col("l_orderkey")
     rows = (
-        spread(
-            table(spark, sf_dir, "lineitem").select(
-                "l_orderkey",
-                "l_linenumber",
-                "l_partkey",
-                "l_suppkey",
-                "l_quantity",
-                "l_extendedprice",
-            )
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "l_suppkey",
+            "l_quantity",
+            "l_extendedprice",
         )
         .join(orders, key == F.col("o_orderkey"))
         .withColumn("first_at", order_time(F.col("o_orderdate"), key))
@@ -284,7 +266,7 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "props",
     )
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         "event_id",
         F.lit("users").alias("source_table"),
         F.when(F.col("event_type") == "error", "d").otherwise("c").alias("operation"),
@@ -369,8 +351,3 @@ def event_envelopes(spark: SparkSession, sf_dir: str, faults: bool = False) -> D
             .otherwise(data)
         )
     return rows.select(F.col("event_id").cast("string").alias("arrival_id"), data.alias("data"))
-
-
-def commit_ms(moment: Column) -> Column:
-    """A commit time as an envelope carries it: whole milliseconds."""
-    return from_epoch_ms(epoch_ms(moment))

@@ -16,6 +16,7 @@ at a time: prune and compact between micro-batches.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 from typing import NamedTuple
 
@@ -130,6 +131,15 @@ def read_cold(spark: SparkSession, root: str) -> DataFrame:
 # Writing.
 
 
+def leaf_of(batch: DataFrame, batch_id: int) -> int:
+    """A micro-batch's own leaf: its number and the stream it belongs to, so
+    that streams with checkpoints of their own may share a store."""
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if stream is None:
+        return batch_id
+    return (uuid.UUID(stream).int % (1 << 31)) << 32 | batch_id
+
+
 def append_batch(
     log: DataFrame, root: str, batch_id: int, target_bytes: int = BATCH_FILE_BYTES
 ) -> None:
@@ -141,9 +151,10 @@ def append_batch(
 def bulk_load(log: DataFrame, root: str, target_bytes: int = TARGET_FILE_BYTES) -> None:
     """Add a large log at once, such as history from elsewhere, in large files.
 
-    Loading again replaces the days and tables loaded before.
+    Every load has a leaf of its own, so it replaces nothing; a load that
+    failed half way leaves its rows, and has to be removed by hand.
     """
-    append_batch(log, root, REWRITTEN, target_bytes)
+    append_batch(log, root, -2 - uuid.uuid4().int % (1 << 62), target_bytes)
 
 
 def append_once(log: DataFrame, root: str, batch_id: int) -> None:
@@ -160,7 +171,7 @@ def append_once(log: DataFrame, root: str, batch_id: int) -> None:
         days = [r[0] for r in fresh.select("commit_date").distinct().collect()]
         stored = (
             read_batches(spark, root, HOT_LOG)
-            .where(F.col("commit_date").isin(days) & (F.col("batch_id") < batch_id))
+            .where(F.col("commit_date").isin(days) & (F.col("batch_id") != batch_id))
             .select("event_key")
         )
         append_batch(fresh.join(stored, "event_key", "left_anti"), root, batch_id)
@@ -174,13 +185,13 @@ def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
     Rows are rebalanced by day and table. Adaptive execution sizes the tasks:
     it merges small partitions and splits one above the target size, so the
     newest day of the busiest table, most of a batch, is written by many tasks.
-    Without it every task writes the rows it has, as a plain shuffle would
-    gather that day in one task.
+    It has to be on.
     """
     spark = log.sparkSession
     rows = log.withColumn("commit_date", F.col("commit_timestamp").cast("date"))
-    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        rows = rows.hint("rebalance", "commit_date", "source_table")
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise RuntimeError("set spark.sql.adaptive.enabled: without it a busy day is one task")
+    rows = rows.hint("rebalance", "commit_date", "source_table")
     rows = rows.sortWithinPartitions("commit_date", "source_table", "commit_timestamp")
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     previous = spark.conf.get(setting)

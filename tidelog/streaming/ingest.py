@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.times import ts, utc_now
@@ -65,7 +65,7 @@ def start_hot(
     write = store.append_once if once_per_event else store.append_batch
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write(E.accepted(batch), root, batch_id)
+        write(E.accepted(batch), root, store.leaf_of(batch, batch_id))
 
     decoded = E.decode(envelopes, data).observe("ingest", *E.counters())
     return (
@@ -90,14 +90,13 @@ def start_cold(
         snapshot_id = batch_id + 1
         batch.persist()
         try:
-            seen = Observation()
+            leaf = store.leaf_of(batch, batch_id)
+            write_quarantine(batch, quarantine, leaf)
             rows = E.archived(E.accepted(batch)).withColumn(
                 "snapshot_id", F.lit(snapshot_id).cast("bigint")
             )
-            counted = rows.observe(seen, F.count(F.lit(1)).alias("added"))
-            store.append_batch(counted, root, batch_id)
-            commit_snapshot(batch.sparkSession, root, snapshot_id, seen.get["added"])
-            write_quarantine(batch, quarantine, batch_id)
+            store.append_batch(rows, root, leaf)
+            commit_snapshot(batch.sparkSession, root, snapshot_id, rows.count())
         finally:
             batch.unpersist()
 

@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 from tidelog.functions import payload as P
 from tidelog.plans.health import latency_ms
 
-NEWEST = ("commit_timestamp", "operation", "event_key", "event_data", "ingested_at")
+NEWEST = (
+    "commit_timestamp",
+    "is_delete",
+    "operation",
+    "event_key",
+    "event_data",
+    "ingested_at",
+)
 
 
 def _start(
@@ -54,11 +61,14 @@ def start_state(
     No watermark: an event late by any time still finds its key. The state
     grows with the number of keys, tombstones included.
     """
-    rows = log.withColumn("event_data", P.as_text(log))
+    rows = log.withColumn("event_data", P.as_text(log)).withColumn(
+        "is_delete", F.col("operation") == "d"
+    )
     newest = (
         rows.groupBy("source_table", "record_id")
         .agg(F.max(F.struct(*NEWEST)).alias("newest"))
         .select("source_table", "record_id", "newest.*")
+        .drop("is_delete")
     )
     return _start(newest, path, checkpoint, trigger, partitions)
 
