@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 import tests.compare as compare
-from tidelog.llm import bpe, near, packing, quality, repeats, suffixes, toxicity, urls
+from tidelog.llm import bpe, near, packing, preferences, quality, repeats, suffixes, toxicity, urls
 from tidelog.llm.queries import QUERIES, SQL, URL_RULES
 
 SF_DIR = f"{compare.DATA}/sf0.001"
@@ -340,3 +340,25 @@ def test_pipeline(spark, texts):
     expected = _without_repeats([after[i].text.encode() for i in ids], 400)
     assert all(cut[i].encode() == e or not e.isascii() for i, e in zip(ids, expected, strict=True))
     _check_packing(pieces, cut)
+
+
+def test_preferences(spark):
+    shared = [(0, "user", "hi"), (1, "assistant", "hello")]
+    rows = [(1, "chosen", *t) for t in [*shared, (2, "user", "a"), (3, "assistant", "yes")]]
+    rows += [(1, "rejected", *t) for t in [*shared, (2, "user", "a"), (3, "assistant", "no")]]
+    rows += [(2, "chosen", *shared[0]), (3, "chosen", *shared[0]), (3, "rejected", *shared[0])]
+    rows += [(None, "chosen", 0, "user", "x"), (4, "rejected", None, None, None)]
+    rows += [(5, "chosen", 0, "user", "x")] * 2 + [(5, "rejected", 0, "user", "x")]
+    turns = spark.createDataFrame(rows, "pair_id long, side string, turn int, role string, text string")
+    found = [tuple(r) for r in preferences.format_pairs(turns.withColumn("pair", turns.turn)).collect()]
+    of = {p: sorted((r[1] or "", r[2], r[4], r[5]) for r in found if r[0] == p) for p in (None, 1, 2, 3, 4, 5)}
+    assert [x[:2] for x in of[1]] == [
+        ("chosen", 3), ("prompt", 0), ("prompt", 1), ("prompt", 2), ("rejected", 3)
+    ]
+    assert [x[3] for x in of[1]] == [True, False, False, False, True]
+    assert of[1][4][2] == "<|assistant|>\nno<|end|>\n"
+    assert [x[0] for x in of[2]] == ["chosen"] and [x[0] for x in of[3]] == ["prompt"]
+    assert of[4] == [("rejected", -1, "<||>\n<|end|>\n", False)]
+    assert [x[0] for x in of[5]] == ["chosen", "chosen", "rejected"]
+    assert [x[0] for x in of[None]] == [""]
+    assert preferences.format_pairs(turns.limit(0)).count() == 0

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, exact, lines, near, packing, quality, repeats, toxicity, urls
+from tidelog.llm import bpe, exact, lines, near, packing, preferences, quality, repeats, toxicity, urls
 from tidelog.llm.common import table
 
 #: The rules of the url filter.
@@ -83,6 +83,20 @@ def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
 
 
+def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k and 2k + 1 are a pair, the even one chosen: the table
+    marks no preferences."""
+    side = F.when(F.col("conv_id") % 2 == 0, F.lit("chosen")).otherwise(F.lit("rejected"))
+    turns = table(spark, sf_dir, "conversations").select(
+        F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"),
+        side.alias("side"),
+        "turn",
+        "role",
+        "text",
+    )
+    return preferences.format_pairs(turns)
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.components(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -107,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_repeats": op4_repeats,
     "op5_packing": op5_packing,
     "op6_url_templates": op6_url_templates,
+    "op7_preferences": op7_preferences,
     "op8_minhash": op8_minhash,
     "op9_lines": op9_lines,
     "op10_exact": op10_exact,
@@ -118,6 +133,27 @@ _NORMAL = (
 _TRIMMED = "regexp_replace(regexp_replace({0}, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+$', '')"
 
 SQL = {
+    "op7_preferences": """
+        WITH t AS (
+            SELECT conv_id // 2 AS pair_id,
+                   CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side,
+                   coalesce(turn, -1) AS turn, coalesce(role, '') AS role,
+                   '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '')
+                       || '<|end|>' || chr(10) AS rendered
+            FROM conversations),
+        s AS (
+            SELECT pair_id, turn, list_sort(list(role || rendered) FILTER (side = 'chosen')) AS c,
+                   list_sort(list(role || rendered) FILTER (side = 'rejected')) AS r
+            FROM t GROUP BY ALL),
+        e AS (
+            SELECT pair_id, min(turn) FILTER (c IS DISTINCT FROM r) AS stop
+            FROM s GROUP BY pair_id),
+        p AS (
+            SELECT t.*, CASE WHEN stop IS NULL OR turn < stop THEN 'prompt' ELSE side END AS part
+            FROM t JOIN e USING (pair_id))
+        SELECT pair_id, part, turn, role, rendered,
+               part <> 'prompt' AND role = 'assistant' AS trained
+        FROM p WHERE NOT (part = 'prompt' AND side = 'rejected')""",
     "op9_lines": f"""
         WITH l AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
