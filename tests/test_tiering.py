@@ -132,21 +132,21 @@ def test_a_prune_writes_only_the_day_of_the_cutoff(spark, tmp_path):
         kept = store.read_hot(spark, root)
         assert kept.count() == report.rows_after == expected
         assert kept.agg(F.min("commit_timestamp")).first()[0] == as_of
-    version, _, parts = store.current_version(spark, root)
-    assert (version, parts) == (3, [("v0", "2024-01-07"), ("v3", None)])
-    assert [p.name for p in sorted(pathlib.Path(f"{root}/v3").glob("commit*"))] == [
+    version, _, parts, _ = store.current_version(spark, root)
+    assert (version, parts) == (6, [("v0", "2024-01-07"), ("v6", None), ("v5", None)])
+    assert [p.name for p in sorted(pathlib.Path(f"{root}/v6").glob("commit*"))] == [
         "commit_date=2024-01-07"
     ]
     # a late event of a pruned day stays visible until the next prune
     store.append_batch(log(spark, ("c", "late", 5, "paid")), root, 9)
     assert store.read_hot(spark, root).count() == 67
     removed = store.reclaim(spark, root, keep=NOW)
-    assert {"v1", "v2", "v0/commit_date=2024-01-01"} <= set(removed)
+    assert {"v2", "v4", "v0/commit_date=2024-01-01"} <= set(removed)
     assert "v0/commit_date=2024-01-08" not in removed
     assert store.read_hot(spark, root).count() == 67
     store.compact(spark, root, HOT_LOG)
     assert store.read_hot(spark, root).count() == 67
-    assert store.reclaim(spark, root, keep=NOW) == ["v0", "v3"]
+    assert store.reclaim(spark, root, keep=NOW) == ["v0", "v5", "v6"]
     assert store.read_hot(spark, root).count() == 67
 
 
@@ -166,6 +166,88 @@ def test_compaction_merges_files_and_keeps_snapshots(spark, tmp_path):
     assert pinned.first().rows_at_snapshot == 12
 
 
+def arriving(monkeypatch, spark, root):
+    """A batch of five events before and after every switch of the store's version."""
+    publish, numbers = store.publish, iter(range(1, 99))
+
+    def batch():
+        n = next(numbers)
+        events = [("c", f"b{n}-{i}", 60 * 24 + 10 * n + i, "paid") for i in range(5)]
+        store.append_batch(log(spark, *events), root, n)
+
+    def beside(*args):
+        batch()
+        publish(*args)
+        batch()
+
+    monkeypatch.setattr(store, "publish", beside)
+    return lambda: 5 * (next(numbers) - 1)
+
+
+def test_a_prune_keeps_what_arrives_meanwhile(spark, hot_root, monkeypatch):
+    added = arriving(monkeypatch, spark, hot_root)
+    tiering.prune(spark, hot_root, archive(spark), AS_OF, DAY, gate="strict")
+    kept = store.read_hot(spark, hot_root)
+    assert kept.count() == kept.select("event_key").distinct().count() == 10 + added() == 30
+
+
+def test_compaction_keeps_what_arrives_meanwhile(spark, hot_root, monkeypatch):
+    added = arriving(monkeypatch, spark, hot_root)
+    store.compact(spark, hot_root, HOT_LOG)
+    log_now = store.read_hot(spark, hot_root)
+    assert log_now.count() == log_now.select("event_key").distinct().count() == 30 + added() == 50
+
+
+def test_a_write_that_spans_a_compaction_is_kept_once(spark, hot_root, monkeypatch):
+    late, write = log(spark, ("c", "late", 7, "paid"), ("c", "late", 1999, "paid")), store._write
+
+    def slow(rows, path, batch_id, target):
+        if batch_id == 1 and path.endswith("v0"):
+            monkeypatch.setattr(store, "_write", write)
+            store.compact(spark, hot_root, HOT_LOG)
+        write(rows, path, batch_id, target)
+
+    monkeypatch.setattr(store, "_write", slow)
+    store.append_batch(late, hot_root, 1)
+    assert store.read_hot(spark, hot_root).count() == 32
+
+
+@pytest.mark.parametrize("rewrite", ["compact", "prune"])
+def test_the_newest_batch_again_after_a_rewrite_adds_nothing(spark, hot_root, rewrite):
+    newest = log(spark, *[("c", f"z{n}", 60 * 24 + 700 * n, "paid") for n in range(4)])
+    store.append_batch(newest, hot_root, 1)
+    if rewrite == "compact":
+        store.compact(spark, hot_root, HOT_LOG)
+    else:
+        tiering.prune(spark, hot_root, archive(spark), AS_OF, DAY, gate="strict")
+    before = sorted(r.event_key for r in store.read_hot(spark, hot_root).collect())
+    for _ in range(2):
+        store.append_batch(newest, hot_root, 1)
+    assert sorted(r.event_key for r in store.read_hot(spark, hot_root).collect()) == before
+    store.append_batch(log(spark, ("c", "next", 1999, "paid")), hot_root, 2)
+    assert store.read_hot(spark, hot_root).count() == len(before) + 1
+
+
+def test_a_bulk_load_replaces_no_rewritten_rows(spark, hot_root):
+    store.compact(spark, hot_root, HOT_LOG)
+    store.bulk_load(log(spark, *[("c", f"l{n}", n, "paid") for n in range(5)]), hot_root)
+    assert store.read_hot(spark, hot_root).count() == 35
+
+
+def test_statistics_of_a_pruned_table(spark, tmp_path):
+    root = str(tmp_path / "hot")
+    events = [("c", f"k{n}", 60 * n, "paid") for n in range(24 * 4)]
+    store.append_batch(log(spark, *events), root, 0)
+    tiering.prune(spark, root, log(spark, *events, text=True), at(60 * 36), NOW, gate="strict")
+    store.append_batch(log(spark, ("c", "more", 60 * 50, "paid"), table="it's/odd"), root, 1)
+    store.register_table(spark, "pruned_events", root, HOT_LOG)
+    store.refresh_statistics(spark, "pruned_events")
+    described = spark.sql("DESCRIBE EXTENDED pruned_events").collect()
+    assert any(r.col_name == "Statistics" and "61 rows" in r.data_type for r in described)
+    assert spark.table("pruned_events").where("source_table = 'it''s/odd'").count() == 1
+    spark.sql("DROP TABLE pruned_events")
+
+
 def test_statistics_of_a_registered_table(spark, hot_root):
     store.register_table(spark, "hot_events", hot_root, HOT_LOG)
     store.refresh_statistics(spark, "hot_events")

@@ -18,7 +18,15 @@ from tidelog.operators.joins import left_join
 from tidelog.operators.state import create_views, current_state, live_rows, state_as_of
 from tidelog.operators.unify import unified_log
 from tidelog.plans import business, health, lifecycle, timetravel
-from tidelog.schemas import COLD_LOG, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, TableSpec
+from tidelog.schemas import (
+    COLD_LOG,
+    CUSTOMERS,
+    HOT_LOG,
+    ORDER_ITEMS,
+    ORDERS,
+    PRODUCTS,
+    TableSpec,
+)
 from tidelog.session import scratch_dir
 from tidelog.sources import bindings as B
 from tidelog.sources import snapshots, store
@@ -130,9 +138,10 @@ DAY = timedelta(days=1)
 CUTOFF = tiering.cutoff_at(EVENTS, RETENTION)
 VERSION = 12
 MOMENT = datetime(2024, 1, 18, 6, 30)
-# what a hot store pruned at the cutoff still holds, and an archive with gaps
+# a pruned hot store, an archive with gaps, and one with gaps only where hot has the event
 HOT_ONLY = "commit_timestamp >= timestamp_ntz'2024-01-12'"
-ARCHIVED = "event_id % 11 <> 0"
+PARTIAL = "event_id % 11 <> 0"
+ARCHIVED = f"commit_timestamp < timestamp_ntz'2024-01-12' or {PARTIAL}"
 
 
 def _users(live: DataFrame) -> DataFrame:
@@ -238,12 +247,12 @@ def prune_report(spark, sf_dir):
 
 
 def archived_before_cutoff(spark, sf_dir):
-    return tiering.archived_before(B.event_archive(spark, sf_dir, ARCHIVED), CUTOFF)
+    return tiering.archived_before(B.event_archive(spark, sf_dir, PARTIAL), CUTOFF)
 
 
 def uncovered_rows(spark, sf_dir):
     hot = B.event_log(spark, sf_dir)
-    return _users(tiering.uncovered_rows(hot, B.event_archive(spark, sf_dir, ARCHIVED), CUTOFF))
+    return _users(tiering.uncovered_rows(hot, B.event_archive(spark, sf_dir, PARTIAL), CUTOFF))
 
 
 def expired_snapshots(spark, sf_dir):
@@ -330,17 +339,17 @@ def share_by_country(spark, sf_dir):
     return business.with_share(grouped, F.col("orders"), "pct_of_total")
 
 
-def funnel_by_sql(spark, sf_dir):
-    """The funnel asked in SQL of the registered views."""
+def payments_by_sql(spark, sf_dir):
+    """Buyers and largest order by payment method and year, asked in SQL of a view."""
     create_views(B.star_log(spark, sf_dir, ORDERS.source_table), [ORDERS])
     return spark.sql(
-        f"""
-        SELECT status, COUNT(*) AS orders, CAST(SUM(total_cents) AS DOUBLE) / 100 AS dollars,
-               CAST(ROUND(100.0 * COUNT(*) / SUM(COUNT(*)) OVER (), 2) AS DOUBLE) AS pct_of_total
+        """
+        SELECT ifnull(payment_method, 'none') AS method,
+               bigint(year(last_change_at)) AS year,
+               count(DISTINCT customer_id) AS buyers,
+               max(total_cents) AS largest_cents
         FROM orders_current
-        WHERE last_change_at >= TIMESTAMP_NTZ'{STAR}' - INTERVAL '720' DAY
-        GROUP BY status
-        ORDER BY orders DESC, status
+        GROUP BY ALL
         """
     )
 
@@ -370,6 +379,59 @@ def compacted_archive(spark, sf_dir):
     )
 
 
+def _halves(spark, sf_dir):
+    """The event log as two batches."""
+    log = B.event_log(spark, sf_dir)
+    first = F.pmod(F.xxhash64("event_key"), F.lit(2)) == 0
+    return log.where(first), log.where(~first)
+
+
+def prune_beside_stream(spark, sf_dir):
+    """A batch arrives after the prune turned appends aside, and stays."""
+    root = scratch_dir(spark, "hot")
+    early, late = _halves(spark, sf_dir)
+    store.append_batch(early, root, 0)
+    archive = B.event_archive(spark, sf_dir)
+    hot = store.read_hot(spark, root)
+    tiering.check_archive(hot, archive, CUTOFF, "strict")
+    store.turn_aside(spark, root)
+    store.append_batch(tiering.kept_rows(late, CUTOFF), root, 1)
+    store.drop_before(hot, root, CUTOFF)
+    return _users(store.read_hot(spark, root))
+
+
+def compact_beside_stream(spark, sf_dir):
+    """A batch arrives while the rows before it are compacted, and stays."""
+    root = scratch_dir(spark, "hot")
+    early, late = _halves(spark, sf_dir)
+    store.append_batch(early, root, 0)
+    store.turn_aside(spark, root)
+    store.append_batch(late, root, 1)
+    store.compact(spark, root, HOT_LOG)
+    return _users(store.read_hot(spark, root))
+
+
+def load_after_compact(spark, sf_dir):
+    """A bulk load beside compacted rows replaces none of them."""
+    root = scratch_dir(spark, "hot")
+    early, late = _halves(spark, sf_dir)
+    store.append_batch(early, root, 0)
+    store.compact(spark, root, HOT_LOG)
+    store.bulk_load(late, root)
+    return _users(store.read_hot(spark, root))
+
+
+def replay_after_compact(spark, sf_dir):
+    """The newest batch is sent again after its rows were compacted."""
+    root = scratch_dir(spark, "hot")
+    early, late = _halves(spark, sf_dir)
+    store.append_batch(early, root, 0)
+    store.append_batch(late, root, 1)
+    store.compact(spark, root, HOT_LOG)
+    store.append_batch(late, root, 1)
+    return _users(store.read_hot(spark, root))
+
+
 # Streams, run over what is there and then read back.
 
 ONCE = {"availableNow": True}
@@ -511,9 +573,13 @@ QUERIES: dict[str, Query] = {
     "distinct_counts": distinct_counts,
     "countries_per_status": countries_per_status,
     "share_by_country": share_by_country,
-    "funnel_by_sql": funnel_by_sql,
+    "payments_by_sql": payments_by_sql,
     "pruned_store": pruned_store,
     "compacted_archive": compacted_archive,
+    "prune_beside_stream": prune_beside_stream,
+    "compact_beside_stream": compact_beside_stream,
+    "load_after_compact": load_after_compact,
+    "replay_after_compact": replay_after_compact,
     "streamed_hot_log": streamed_hot_log,
     "streamed_archive": streamed_archive,
     "streamed_quarantine": streamed_quarantine,

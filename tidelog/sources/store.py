@@ -4,14 +4,17 @@
     <root>/versions/       one small JSON row per published version
 
 A version lists the folders that make up the log and, for each, the commit
-date after which its partitions count. Pruning writes only the kept rows of
-the cutoff's own day to a new folder and raises that date for the others:
-older partitions drop out whole, newer ones are neither read nor written.
-No folder is overwritten while it is read.
+date after which its partitions count; the last one takes the appends. Pruning
+writes only the kept rows of the cutoff's own day to a new folder and raises
+that date for the others: older partitions drop out whole, newer ones are
+neither read nor written. No folder is overwritten while it is read.
 
 Every batch writes its own leaf partitions and overwrites only those, so
-writing a batch again after a failure changes nothing. A store has one writer
-at a time: prune and compact between micro-batches.
+writing a batch again after a failure changes nothing. Streams may go on while
+one prune or compaction runs: it first turns appends aside to a fresh folder,
+rewrites only the folders before it, and carries over what was still written
+to those meanwhile. A stream's newest batch sent again after that adds only
+the events that are not stored. Run one such job at a time.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timedelta
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +31,8 @@ from tidelog.functions.times import ts, utc_now
 from tidelog.operators.unify import one_copy
 from tidelog.schemas import COLD_LOG, HOT_LOG
 
+KEYS = "event_key string, source_table string"
 PARTITIONS = ("commit_date", "source_table", "batch_id")
-REWRITTEN = -1
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 BATCH_FILE_BYTES = 64 * 1024 * 1024
 
@@ -37,7 +41,7 @@ KEEP_NONCURRENT = timedelta(days=10)
 
 VERSIONS = (
     "version bigint, published_at timestamp_ntz,"
-    " parts array<struct<folder string, after string>>"
+    " parts array<struct<folder string, after string>>, batches array<bigint>"
 )
 
 Parts = list[tuple[str, str | None]]
@@ -47,9 +51,10 @@ class Version(NamedTuple):
     number: int
     published_at: datetime
     parts: Parts
+    batches: list[int]  # the newest of each stream when appends were turned aside
 
 
-FIRST_VERSION = Version(0, datetime.min, [("v0", None)])
+FIRST_VERSION = Version(0, datetime.min, [("v0", None)], [])
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -79,12 +84,14 @@ def _commit_dates(spark: SparkSession, path: str) -> list[str]:
 
 
 def versions(spark: SparkSession, root: str) -> list[Version]:
-    """Every version, oldest first: one for each prune or compaction."""
+    """Every version, oldest first: two for each prune or compaction."""
     published = []
     if path_exists(spark, f"{root}/versions"):
         rows = spark.read.schema(VERSIONS).json(f"{root}/versions").orderBy("version").collect()
         published = [
-            Version(r.version, r.published_at, [(p.folder, p.after) for p in r.parts])
+            Version(
+                r.version, r.published_at, [(p.folder, p.after) for p in r.parts], r.batches or []
+            )
             for r in rows
         ]
     return [FIRST_VERSION, *published]
@@ -94,8 +101,10 @@ def current_version(spark: SparkSession, root: str) -> Version:
     return versions(spark, root)[-1]
 
 
-def publish(spark: SparkSession, root: str, number: int, parts: Parts) -> None:
-    row = spark.createDataFrame([(number, utc_now(), parts)], VERSIONS)
+def publish(
+    spark: SparkSession, root: str, number: int, parts: Parts, batches: list[int]
+) -> None:
+    row = spark.createDataFrame([(number, utc_now(), parts, batches)], VERSIONS)
     row.coalesce(1).write.mode("append").json(f"{root}/versions")
 
 
@@ -110,9 +119,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """The current version with its partition columns; empty before any write."""
+    return _read_parts(spark, root, current_version(spark, root).parts, schema)
+
+
+def _read_parts(spark: SparkSession, root: str, parts: Parts, schema: str) -> DataFrame:
     columns = f"{schema}, commit_date date, batch_id bigint"
     log = None
-    for folder, after in current_version(spark, root).parts:
+    for folder, after in parts:
         part = read_or_empty(spark, f"{root}/{folder}", columns)
         if after is not None:
             part = part.where(F.col("commit_date") > F.lit(after).cast("date"))
@@ -143,9 +156,24 @@ def leaf_of(batch: DataFrame, batch_id: int) -> int:
 def append_batch(
     log: DataFrame, root: str, batch_id: int, target_bytes: int = BATCH_FILE_BYTES
 ) -> None:
-    """Append one batch; the same batch again replaces itself."""
-    newest_folder = current_version(log.sparkSession, root).parts[-1][0]
-    _write(log, f"{root}/{newest_folder}", batch_id, target_bytes)
+    """Append one batch; the same batch again replaces itself.
+
+    If its folder is rewritten meanwhile, the batch moves to the newest one.
+    """
+    spark = log.sparkSession
+    version = current_version(spark, root)
+    if batch_id in version.batches:
+        log, batch_id = _not_stored(log, read_batches(spark, root, KEYS)), _load_id()
+    while True:
+        folder = version.parts[-1][0]
+        _write(log, f"{root}/{folder}", batch_id, target_bytes)
+        version = current_version(spark, root)
+        if folder in (name for name, _ in version.parts):
+            return
+
+
+def _load_id() -> int:
+    return -(uuid.uuid4().int % (1 << 62)) - (1 << 62)
 
 
 def bulk_load(log: DataFrame, root: str, target_bytes: int = TARGET_FILE_BYTES) -> None:
@@ -154,31 +182,43 @@ def bulk_load(log: DataFrame, root: str, target_bytes: int = TARGET_FILE_BYTES)
     Every load has a leaf of its own, so it replaces nothing; a load that
     failed half way leaves its rows, and has to be removed by hand.
     """
-    append_batch(log, root, -2 - uuid.uuid4().int % (1 << 62), target_bytes)
+    append_batch(log, root, _load_id(), target_bytes)
 
 
 def append_once(log: DataFrame, root: str, batch_id: int) -> None:
     """Append a batch without the events the store already holds.
 
-    Copies of an event share its commit time, so only the stored partitions of
-    the batch's own commit dates are looked at: exact for any delay.
+    Copies of an event share its commit time, so only the stored partitions
+    between the batch's oldest and newest commit date are looked at, for any
+    delay. Events that a prune took out are not held any more.
     """
-    spark = log.sparkSession
-    fresh = one_copy(log).withColumn("commit_date", F.col("commit_timestamp").cast("date"))
-    fresh.persist()
+    fresh = one_copy(log).persist()
     try:
-        # one value per calendar day of the batch
-        days = [r[0] for r in fresh.select("commit_date").distinct().collect()]
-        stored = (
-            read_batches(spark, root, HOT_LOG)
-            .where(F.col("commit_date").isin(days) & (F.col("batch_id") != batch_id))
-            .select("event_key")
-        )
-        append_batch(fresh.join(stored, "event_key", "left_anti"), root, batch_id)
+        stored = read_batches(log.sparkSession, root, KEYS).where(F.col("batch_id") != batch_id)
+        append_batch(_not_stored(fresh, stored), root, batch_id)
     finally:
         fresh.unpersist()
 
 
+def _not_stored(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The batch's rows whose event is not among the stored ones.
+
+    Stored keys are first cut to those the batch has, so that the batch, not
+    the store, is the side that may be broadcast.
+    """
+    committed = F.col("commit_timestamp").cast("date")
+    oldest, newest = batch.agg(F.min(committed), F.max(committed)).first()
+    if oldest is None:
+        return batch
+    held = (
+        stored.where(F.col("commit_date").between(F.lit(oldest), F.lit(newest)))
+        .select("event_key")
+        .join(batch.select("event_key"), "event_key", "left_semi")
+        .distinct()
+    )
+    return batch.join(held, "event_key", "left_anti")
+
+
 def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
     """Write leaf partitions in few files, each sorted by commit time.
 
@@ -208,27 +248,56 @@ def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
         spark.conf.set(setting, previous)
 
 
+class Leaf(NamedTuple):
+    path: str
+    date: str
+    table: str
+    batch: int
+
+
+def _leaves(files: list[str]) -> set[Leaf]:
+    """The leaf partitions that hold the given files."""
+    found = set()
+    for path in {unquote(file).rsplit("/", 1)[0] for file in files}:
+        values = [unquote(level.split("=", 1)[1]) for level in path.split("/")[-3:]]
+        found.add(Leaf(path, values[0], values[1], int(values[2])))
+    return found
+
+
+def turn_aside(spark: SparkSession, root: str) -> Version:
+    """Let later appends go to a fresh folder, which takes rows of any date."""
+    number, _, parts, known = current_version(spark, root)
+    leaves = _leaves(read_batches(spark, root, KEYS).inputFiles())
+    newest: dict[int, int] = {}
+    for batch in sorted({*known, *(leaf.batch for leaf in leaves if leaf.batch >= 0)}):
+        newest[batch >> 32] = batch  # one for each stream
+    number += 1
+    publish(spark, root, number, [*parts, (f"v{number}", None)], sorted(newest.values()))
+    return current_version(spark, root)
+
+
 def drop_before(
     log: DataFrame, root: str, cutoff: datetime, target_bytes: int = TARGET_FILE_BYTES
 ) -> None:
-    """Publish the store without events committed before ``cutoff``.
+    """Publish the store without the events of ``log`` committed before ``cutoff``.
 
     ``log`` is the store as read. Only its rows of the cutoff's day are
-    written anew.
+    written anew; what arrived since it was read stays.
     """
     spark = log.sparkSession
-    version, _, parts = current_version(spark, root)
+    version, _, parts, batches = turn_aside(spark, root)
     day = cutoff.date().isoformat()
     boundary = log.where(F.col("commit_date") == F.lit(day).cast("date"))
     boundary = boundary.where(F.col("commit_timestamp") >= ts(cutoff)).drop("commit_date")
-    folder = f"v{version + 1}"
-    _write(boundary, f"{root}/{folder}", REWRITTEN, target_bytes)
+    number = version + 1
+    _write(boundary, f"{root}/v{number}", -number, target_bytes)
     newer = [
         (name, max(after or day, day))
-        for name, after in parts
+        for name, after in parts[:-1]
         if any(d > max(after or day, day) for d in _commit_dates(spark, f"{root}/{name}"))
     ]
-    publish(spark, root, version + 1, [*newer, (folder, None)])
+    publish(spark, root, number, [*newer, (f"v{number}", None), parts[-1]], batches)
+    _carry_over(log, root, parts[:-1], day)
 
 
 def compact(
@@ -238,10 +307,34 @@ def compact(
 
     Rows and their snapshot ids stay as they are.
     """
-    version = current_version(spark, root).number + 1
-    rows = read_batches(spark, root, schema).drop("batch_id", "commit_date")
-    _write(rows, f"{root}/v{version}", REWRITTEN, target_bytes)
-    publish(spark, root, version, [(f"v{version}", None)])
+    version, _, parts, batches = turn_aside(spark, root)
+    number = version + 1
+    log = _read_parts(spark, root, parts[:-1], schema).drop("batch_id")
+    _write(log.drop("commit_date"), f"{root}/v{number}", -number, target_bytes)
+    publish(spark, root, number, [(f"v{number}", None), parts[-1]], batches)
+    _carry_over(log, root, parts[:-1])
+
+
+def _carry_over(log: DataFrame, root: str, parts: Parts, until: str | None = None) -> None:
+    """Copy leaves that ``log`` did not see, of days up to ``until``, from
+    folders that no longer count there. A copy is a leaf of the same batch, so
+    it and the batch's own second attempt overwrite each other."""
+    spark = log.sparkSession
+    schema = log.schema.add("batch_id", "long")
+    seen = {leaf[1:] + (leaf.path.split("/")[-4],) for leaf in _leaves(log.inputFiles())}
+    for folder, after in parts:
+        path = f"{root}/{folder}"
+        if not path_exists(spark, path):
+            continue
+        late: dict[int, list[str]] = {}
+        for leaf in _leaves(spark.read.schema(schema).parquet(path).inputFiles()):
+            hidden = after is not None and leaf.date <= after
+            counts = until is not None and leaf.date > until
+            if not hidden and not counts and leaf[1:] + (folder,) not in seen:
+                late.setdefault(leaf.batch, []).append(leaf.path)
+        for batch, paths in late.items():
+            rows = spark.read.schema(schema).option("basePath", path).parquet(*paths)
+            append_batch(rows.drop("commit_date", "batch_id"), root, batch)
 
 
 def reclaim(
@@ -280,16 +373,36 @@ def reclaim(
 
 
 def register_table(spark: SparkSession, name: str, root: str, schema: str) -> None:
-    """A catalog table over a store of one folder, with its partitions."""
+    """A catalog table over the current version, with its partitions.
+
+    A table has one location, so a store of several folders names the place of
+    each partition.
+    """
     parts = current_version(spark, root).parts
-    if len(parts) > 1:
-        raise ValueError("compact the store first: a table has one location")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
         f"CREATE TABLE {name} ({schema}, commit_date date, batch_id bigint) USING parquet"
-        f" PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{root}/{parts[0][0]}'"
+        f" PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{root}/{parts[-1][0]}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    if len(parts) == 1:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        return
+    places = []
+    for folder, after in parts:
+        files = read_or_empty(spark, f"{root}/{folder}", KEYS).inputFiles()
+        places += [leaf for leaf in sorted(_leaves(files)) if after is None or leaf.date > after]
+    for first in range(0, len(places), 500):
+        added = " ".join(
+            f"PARTITION (commit_date = DATE'{leaf.date}', source_table = {_text(leaf.table)},"
+            f" batch_id = {leaf.batch}) LOCATION {_text(leaf.path)}"
+            for leaf in places[first : first + 500]
+        )
+        spark.sql(f"ALTER TABLE {name} ADD {added}")
+
+
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def refresh_statistics(spark: SparkSession, name: str) -> None:
