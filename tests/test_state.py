@@ -6,7 +6,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tests.logs import at, log
-from tidelog.operators.state import create_views, current_state, live_rows, state_as_of
+from tidelog.operators.state import (
+    create_views,
+    current_state,
+    live_rows,
+    naming,
+    state_as_of,
+)
 from tidelog.operators.unify import one_copy, unified_log
 from tidelog.plans.business import conversion_funnel
 from tidelog.schemas import CUSTOMERS, ORDERS
@@ -172,3 +178,22 @@ def test_live_rows_of_every_table_in_one_ranking(spark):
         log(spark, ("d", "a", 2, None), table="customers")
     )
     assert [(r.source_table, r.record_id) for r in live_rows(mixed).collect()] == [("orders", "a")]
+
+
+def test_keys_of_wanted_values_keep_their_whole_history(spark):
+    """An item that moved to or from a wanted order is ranked, a deleted one goes."""
+    rows = [
+        ("c", "stays", 1, "w"), ("c", "moves-in", 1, "x"), ("c", "moves-in", 2, "w"),
+        ("c", "moves-out", 1, "w"), ("c", "moves-out", 2, "x"),
+        ("c", "gone", 1, "w"), ("d", "gone", 2, None), ("c", "other", 1, "x"),
+    ]
+    events = log(spark, *rows)
+    wanted = spark.createDataFrame([("w",)], "status string")
+    found = current_state(naming(events, ORDERS, "status", wanted), ORDERS)
+    assert {r.order_id: r.status for r in found.collect()} == {
+        "stays": "w",
+        "moves-in": "w",
+        "moves-out": "x",
+    }
+    full = current_state(events, ORDERS).where("status = 'w'").collect()
+    assert sorted(found.where("status = 'w'").collect()) == sorted(full)

@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from tidelog.functions import payload as P
 from tidelog.operators import envelope, tiering
 from tidelog.operators.joins import left_join
-from tidelog.operators.state import create_views, current_state, live_rows, state_as_of
+from tidelog.operators.state import (
+    create_views,
+    current_state,
+    live_rows,
+    naming,
+    state_as_of,
+)
 from tidelog.operators.unify import unified_log
 from tidelog.plans import business, health, lifecycle, timetravel
 from tidelog.schemas import (
@@ -59,15 +65,23 @@ def _unified(spec: TableSpec) -> Query:
     return run
 
 
+def _items_sold(spark, sf_dir, orders: DataFrame, lookback: timedelta) -> DataFrame:
+    """Current items, of the orders a question is about only."""
+    sold = business.sold_since(orders, STAR - lookback)
+    log = B.star_log(spark, sf_dir, ORDER_ITEMS.source_table)
+    return current_state(naming(log, ORDER_ITEMS, "order_id", sold), ORDER_ITEMS)
+
+
 def sales_velocity(spark, sf_dir):
     return business.sales_velocity(_state(spark, sf_dir, ORDERS, DAYS_30), STAR, DAYS_30)
 
 
 def top_products(spark, sf_dir):
+    orders = _state(spark, sf_dir, ORDERS, DAYS_30)
     return business.top_products(
-        _state(spark, sf_dir, ORDER_ITEMS),
+        _items_sold(spark, sf_dir, orders, DAYS_30),
         _state(spark, sf_dir, PRODUCTS),
-        _state(spark, sf_dir, ORDERS, DAYS_30),
+        orders,
         STAR,
         lookback=DAYS_30,
     )
@@ -94,9 +108,10 @@ def order_bursts(spark, sf_dir):
 
 
 def demand_surge(spark, sf_dir):
+    orders = _state(spark, sf_dir, ORDERS, DAYS_30 + DAYS_720)
     return business.demand_surge(
-        _state(spark, sf_dir, ORDER_ITEMS),
-        _state(spark, sf_dir, ORDERS, DAYS_30 + DAYS_720),
+        _items_sold(spark, sf_dir, orders, DAYS_30 + DAYS_720),
+        orders,
         _state(spark, sf_dir, PRODUCTS),
         STAR,
         lookback=DAYS_30,
@@ -105,9 +120,10 @@ def demand_surge(spark, sf_dir):
 
 
 def low_stock(spark, sf_dir):
+    orders = _state(spark, sf_dir, ORDERS, DAYS_30)
     return business.low_stock(
-        _state(spark, sf_dir, ORDER_ITEMS),
-        _state(spark, sf_dir, ORDERS, DAYS_30),
+        _items_sold(spark, sf_dir, orders, DAYS_30),
+        orders,
         _state(spark, sf_dir, PRODUCTS),
         STAR,
         lookback=DAYS_30,
@@ -313,7 +329,7 @@ def customers_left_join(spark, sf_dir):
     customers = _state(spark, sf_dir, CUSTOMERS).select("customer_id", "country")
     shipped = _state(spark, sf_dir, ORDERS).where("status = 'shipped'")
     shipped = shipped.select("order_id", "customer_id", "total_cents")
-    return left_join(customers, shipped, "customer_id")
+    return left_join(customers, shipped, "customer_id", hot_right=True)
 
 
 def distinct_counts(spark, sf_dir):
@@ -435,6 +451,7 @@ def replay_after_compact(spark, sf_dir):
 # Streams, run over what is there and then read back.
 
 ONCE = {"availableNow": True}
+BATCH_BYTES = 4 << 30
 
 
 def _as_files(df: DataFrame, name: str) -> str:
@@ -444,12 +461,13 @@ def _as_files(df: DataFrame, name: str) -> str:
 
 
 def _stream(spark, path: str, log: DataFrame) -> DataFrame:
-    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 3).parquet(path)
+    reader = spark.readStream.schema(log.schema).option("maxBytesPerTrigger", BATCH_BYTES)
+    return reader.parquet(path)
 
 
 def _ingested(spark, sf_dir, start, *places: str, **options):
     source = _as_files(B.event_envelopes(spark, sf_dir, faults=True), "envelopes")
-    stream = ingest.envelope_stream(spark, source, max_files=3)
+    stream = ingest.envelope_stream(spark, source, max_bytes=BATCH_BYTES)
     checkpoint = scratch_dir(spark, "checkpoint")
     start(stream, *places, checkpoint, trigger=ONCE, **options).awaitTermination()
 
@@ -479,7 +497,7 @@ def streamed_once(spark, sf_dir):
     source = _as_files(envelopes.union(envelopes), "envelopes")
     root = scratch_dir(spark, "hot")
     ingest.start_hot(
-        ingest.envelope_stream(spark, source, max_files=3),
+        ingest.envelope_stream(spark, source, max_bytes=BATCH_BYTES),
         root,
         scratch_dir(spark, "checkpoint"),
         trigger=ONCE,

@@ -39,11 +39,6 @@ def as_text(df: DataFrame, name: str = "event_data") -> Column:
     return F.col(name) if is_text(df, name) else F.to_json(F.col(name))
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of JSON text that some other writer produced."""
-    return F.to_json(F.try_parse_json(text))
-
-
 def event_key(table: Column, operation: Column, record: Column, commit: Column, text: Column):
     """Content hash of an event: equal for every redelivered copy.
 

@@ -33,18 +33,6 @@ DECODED = (
     "ingested_at",
 )
 
-REASONS = (
-    "undecodable",
-    "not_object",
-    "unknown_op",
-    "empty_row",
-    "row_not_object",
-    "missing_id",
-    "missing_ts",
-    "bad_ts",
-)
-
-
 def decode(
     records: DataFrame,
     data: str = "data",

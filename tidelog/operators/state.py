@@ -110,6 +110,26 @@ def current_state(
     )
 
 
+def naming(log: DataFrame, spec: TableSpec, field: str, wanted: DataFrame) -> DataFrame:
+    """The events of keys that any event gives one of the ``wanted`` values.
+
+    ``wanted`` has one column, named like the payload's field. A key whose
+    current value is wanted has such an event, so current state built on this
+    holds every row that a join on the field needs, and only the events of
+    those keys are ranked, their deletes among them.
+    """
+    events = log.where(F.col("source_table") == spec.source_table)
+    value = P.field(P.as_variant(events), field, dict(spec.fields)[field])
+    keys = (
+        events.where(F.col("operation") != "d")
+        .select("record_id", value.alias(field))
+        .join(wanted, field, "left_semi")
+        .select("record_id")
+        .distinct()
+    )
+    return events.join(keys, "record_id", "left_semi")
+
+
 def state_as_of(
     log: DataFrame, spec: TableSpec, moment: datetime, carry: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -32,6 +32,11 @@ def _changed_since(state: DataFrame, moment: datetime) -> DataFrame:
     return state.where(F.col("last_change_at") >= ts(moment))
 
 
+def sold_since(orders: DataFrame, moment: datetime) -> DataFrame:
+    """Ids of sold orders changed since a moment; ``state.naming`` finds their items."""
+    return _changed_since(_sold(orders), moment).select("order_id")
+
+
 def sales_velocity(orders: DataFrame, as_of: datetime, lookback: timedelta = HOUR) -> DataFrame:
     """Sold orders and revenue per minute of their last change, newest first."""
     return (

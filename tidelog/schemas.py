@@ -43,7 +43,6 @@ SNAPSHOT_LOG = (
     "snapshot_id bigint, committed_at timestamp_ntz, operation string, summary map<string,string>"
 )
 
-ORDER_LIFECYCLE = ("pending", "paid", "shipped", "delivered", "cancelled")
 SOLD = ("paid", "shipped", "delivered")
 
 
