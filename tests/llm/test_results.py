@@ -57,6 +57,25 @@ def test_bpe(spark, texts):
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_spaces_inside_runs_of_white_space():
+    """Both vocabularies against their libraries, whatever stands beside a single space."""
+    odd = ["a \u00a0 \u00a0 b", "\u00a0 \u00a0", "\n \n", "\t \t", "x \u00a0 \u00a0", "a\n b", "a \nb", "x\n ", " \n x"]
+    random.seed(12)
+    for _ in range(3000):
+        odd.append("".join(random.choice("   \n\t\u00a0\u2003\u0085\x1cab1.") for _ in range(random.randrange(1, 9))))
+    multi = "byte_bpe_multi_50k.tiktoken"
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    references = {
+        bpe._encoder(public_tokenizers.path(multi), public_tokenizers.PATTERN): _tiktoken(multi).encode_ordinary,
+        packing._encoder(public_tokenizers.path("byte_bpe_50k.json")): lambda text: tokenizer.encode(
+            text, add_special_tokens=False
+        ).ids,
+    }
+    for encoder, expected in references.items():
+        for text in odd * 2:  # new and remembered
+            assert np.frombuffer(encoder.encode(text), "<i4").tolist() == expected(text), text
+
+
 def _rules(text):
     words = text.encode().split()
     windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]

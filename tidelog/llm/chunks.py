@@ -1,9 +1,10 @@
 """Byte-level BPE over whole texts with a bounded memory of text chunks.
 
-A single space between two other characters always starts a new match of the
-split pattern, so the parts between single spaces can be encoded, and
-remembered, one by one. Texts with two spaces in a row are split by the
-pattern itself.
+A single space starts a new match of the split pattern unless it stands inside
+or at the end of a run of white space: after white space, and before white
+space or the end of the text. So the parts between single spaces can be
+encoded, and remembered, one by one. Texts with a space of the other kind, or
+with two spaces in a row, are split by the pattern itself.
 """
 
 from __future__ import annotations
@@ -31,7 +32,10 @@ class ChunkEncoder:
     ):
         self._matches = regex.compile(pattern).findall
         self._encode_match = encode_match
+        self._white = regex.compile(r"\s").match
         self._known: dict[str, bytes] = {}
+        #: Empty chunks and those that start with white space.
+        self._led: dict[str, bytes] = {}
         self._max_entries = max_entries
         self._max_chars = max_chars
 
@@ -50,15 +54,18 @@ class ChunkEncoder:
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
-                    found[i] = self._spaced(chunks[i])
+                    chunk = chunks[i]
+                    if (not chunk or self._white(chunk)) and self._white(chunks[i - 1][-1:]):
+                        return b"".join(map(self._match, self._matches(text)))
+                    found[i] = self._spaced(chunk)
         return b"".join(found)
 
     def _spaced(self, chunk: str) -> bytes:
         """A chunk with the space before it; remembered under its own text."""
-        ids = self._known.get(chunk)
+        ids = self._recall(chunk)
         if ids is None:
             first, *rest = self._matches(" " + chunk)
-            ids = self._known.get(first[1:]) if rest else None
+            ids = self._recall(first[1:]) if rest else None
             if ids is None:
                 ids = self._match(first)
                 self._remember(first[1:], ids)
@@ -73,6 +80,13 @@ class ChunkEncoder:
     def _match(self, match: str) -> bytes:
         return np.array(self._encode_match(match.encode()), "<i4").tobytes()
 
+    def _memory(self, chunk: str) -> dict[str, bytes]:
+        return self._known if chunk and not self._white(chunk) else self._led
+
+    def _recall(self, chunk: str) -> bytes | None:
+        return self._memory(chunk).get(chunk)
+
     def _remember(self, chunk: str, ids: bytes) -> None:
-        if len(chunk) <= self._max_chars and len(self._known) < self._max_entries:
-            self._known[chunk] = ids
+        held = len(self._known) + len(self._led)
+        if len(chunk) <= self._max_chars and held < self._max_entries:
+            self._memory(chunk)[chunk] = ids
