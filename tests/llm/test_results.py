@@ -246,6 +246,19 @@ def test_packing(spark, texts):
     assert sum(f < 2048 for f in fills) <= 8  # one of each task
 
 
+def test_packing_takes_added_tokens(spark):
+    """The tokenizer as loaded: its added token is one id."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    odd = [f"x {end} y", end, end * 2, f" {end}  {end} \n", f"a{end}b c", f"don{end}'t", "<|endoftext|", f"<{end}>", "none"]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id int, text string")
+    pieces = {r.doc_id: r for r in packing.pack(docs.coalesce(1), public_tokenizers.path("byte_bpe_50k.json")).collect()}
+    assert tokenizer.encode(odd[0], add_special_tokens=False).ids == [87, 220, 50256, 331]
+    for i, text in enumerate(odd):
+        own = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [1], "<u4")
+        assert (pieces[i].doc_tokens, pieces[i].ids_crc32) == (len(own), zlib.crc32(own.tobytes())), text
+
+
 def test_packing_places_to_lessen_the_sum_of_squares():
     packer = packing.Packer(10)
     for n in (4, 4, 6):

@@ -18,9 +18,11 @@ import regex
 class ChunkEncoder:
     """Texts to token ids (little-endian 32-bit, as bytes).
 
-    ``encode_match`` gives the ids of one match of ``pattern``. At most
-    ``max_entries`` chunks of up to ``max_chars`` characters are remembered;
-    all others are encoded anew each time.
+    ``encode_match`` gives the ids of one match of ``pattern``. The texts of
+    ``added`` are one id each, the longest of several at a place; what stands
+    between them is encoded by itself. At most ``max_entries`` chunks of up to
+    ``max_chars`` characters are remembered; all others are encoded anew each
+    time.
     """
 
     def __init__(
@@ -29,9 +31,13 @@ class ChunkEncoder:
         encode_match: Callable[[bytes], list[int]],
         max_entries: int = 400_000,
         max_chars: int = 40,
+        added: dict[str, int] | None = None,
     ):
         self._matches = regex.compile(pattern).findall
         self._encode_match = encode_match
+        self._added = {text: np.array([i], "<i4").tobytes() for text, i in (added or {}).items()}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._parts = regex.compile(f"({'|'.join(map(regex.escape, longest_first))})").split
         self._white = regex.compile(r"\s").match
         self._known: dict[str, bytes] = {}
         #: Empty chunks and those that start with white space.
@@ -40,6 +46,13 @@ class ChunkEncoder:
         self._max_chars = max_chars
 
     def encode(self, text: str) -> bytes:
+        added = self._added
+        if any(token in text for token in added):
+            parts = enumerate(self._parts(text))  # every second one is an added token
+            return b"".join(added[p] if i % 2 else self._plain(p) for i, p in parts)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         chunks = text.split(" ")

@@ -127,9 +127,16 @@ class Packer:
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> ChunkEncoder:
-    """Ids of a byte-level tokenizer file, whose ids rank its merges."""
+    """Ids of a byte-level tokenizer file, whose ids rank its merges.
+
+    Its added tokens are one id each wherever a text has them.
+    """
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
+        content = json.load(file)
+    vocabulary = content["model"]["vocab"]
+    added = {token["content"]: token["id"] for token in content["added_tokens"]}
+    if any(t[flag] for t in content["added_tokens"] for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{path}: added tokens that depend on what stands beside them")
     # the file writes a byte that is no visible character as 256 and up
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in set(visible)]
@@ -137,13 +144,13 @@ def _encoder(path: str) -> ChunkEncoder:
     ranks = {
         bytes(byte_of[c] for c in token): i
         for token, i in vocabulary.items()
-        if all(c in byte_of for c in token) and token != "<|endoftext|>"
+        if all(c in byte_of for c in token) and token not in added
     }
     match = tiktoken.Encoding(
         path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
     return ChunkEncoder(
-        public_tokenizers.PATTERN, match._encode_single_piece, max_entries=400_000
+        public_tokenizers.PATTERN, match._encode_single_piece, max_entries=400_000, added=added
     )
 
 
