@@ -1,9 +1,8 @@
 """A corpus from raw documents: filtered, deduplicated, packed.
 
 Every stage takes all documents that its predecessor kept and, but for the
-last, returns their columns. Stages keep or drop by ``doc_id``; rows that share
-an id are one document, kept if one of its rows is, and null is an id like
-others.
+last, returns their columns. Every row is a document of its own and kept or
+dropped by itself, also when ids repeat or are null.
 """
 
 from __future__ import annotations
@@ -20,25 +19,51 @@ from tidelog.llm.queries import quality_labels
 ORACLE_SQL = None
 
 
-def _kept(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    ids = judged.filter("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+#: The column of a row's own key.
+KEY = "row key"
+
+
+def _keyed(docs: DataFrame, null_first: bool = False) -> DataFrame:
+    """``docs`` and a key for each row, ordered as the ids are.
+
+    Ids that are all different and not null are the keys. Otherwise the rows
+    are sorted and numbered once, in files, so that every reader sees the same
+    keys.
+    """
+    per_id = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if per_id.filter("n > 1 OR doc_id IS NULL").isEmpty():
+        return docs.withColumn(KEY, F.col("doc_id"))
+    id_order = F.asc_nulls_first("doc_id") if null_first else F.asc_nulls_last("doc_id")
+    ordered = docs.orderBy(id_order, F.xxhash64("text"), F.col("text"))
+    return stored(ordered.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
+
+
+def _kept(keyed: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` that ``judged``, whose ids are their keys, keeps."""
+    keys = judged.filter("kept").select(F.col("doc_id").alias("kept key"))
+    return keyed.join(keys, keyed[KEY] == keys["kept key"], "left_semi").drop(KEY)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the base rules or the isolation forests reject."""
-    return _kept(docs, quality.judge(docs, quality.fit(docs, quality_labels(spark, sf_dir))))
+    model = quality.fit(docs, quality_labels(spark, sf_dir))
+    keyed = _keyed(docs)
+    return _kept(keyed, quality.judge(keyed, model, id_col=KEY))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, keeps the one with the largest id."""
-    return _kept(docs, exact.groups(docs))
+    """Of equal texts, keeps the one with the largest id, and one row of several
+    with that id; null is smaller than any id."""
+    keyed = _keyed(docs, null_first=True)
+    return _kept(keyed, exact.groups(keyed, id_col=KEY))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates (five-word shingles, similarity of
-    0.8 or more), keeps the document with the smallest id."""
-    return _kept(docs, near.components(docs))
+    0.8 or more), keeps the document with the smallest id, and one row of
+    several with that id; null comes after any id."""
+    keyed = _keyed(docs)
+    return _kept(keyed, near.components(keyed, id_col=KEY))
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

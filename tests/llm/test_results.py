@@ -374,6 +374,40 @@ def test_pipeline(spark, texts):
     _check_packing(pieces, cut)
 
 
+def test_pipeline_judges_rows_of_shared_and_null_ids(spark):
+    """Rows given twice leave one whole copy; null ids do not vouch for each other."""
+    random.seed(9)
+
+    def made(n):
+        return " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    clean = next(iter(corpus_pipeline.quality_rules(spark, docs, SF_DIR).orderBy("doc_id").collect()))
+    blank = dict.fromkeys(docs.columns)
+
+    def rows(*given):
+        return spark.createDataFrame([tuple((blank | {"doc_id": i, "text": t}).values()) for i, t in given], docs.schema)
+
+    mixed = docs.unionByName(rows((None, clean.text), (None, "too short"), (clean.doc_id, "short too")))
+    left = corpus_pipeline.quality_rules(spark, mixed, SF_DIR).collect()
+    assert [r.text for r in left if r.doc_id is None] == [clean.text]
+    assert [r.text for r in left if r.doc_id == clean.doc_id] == [clean.text]
+
+    twice, none, other, close = made(120), made(120), made(120), made(120)
+    given = [(7, twice), (7, twice), (None, none), (None, none), (None, none.upper()), (3, other), (None, other)]
+    given += [(8, close), (8, close + " more"), (None, "even " + close)]
+    kept = corpus_pipeline.exact_dedup(spark, rows(*given), SF_DIR)
+    found = sorted((r.doc_id or 0, r.text.lower()) for r in kept.collect())
+    assert found == sorted([(7, twice), (0, none), (3, other), (8, close), (8, close + " more"), (0, "even " + close)])
+    kept = corpus_pipeline.near_dedup(spark, rows(*given), SF_DIR)
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 7, 8]
+    whole = rows(*given)
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        whole = spark.createDataFrame(stage(spark, whole, SF_DIR).collect(), docs.schema)
+    left = {r.doc_id or 0: r.text.lower() for r in whole.collect()}
+    assert left.pop(8) in (close, close + " more") and left == {7: twice, 0: none, 3: other}
+
+
 def test_preferences(spark):
     shared = [(0, "user", "hi"), (1, "assistant", "hello")]
     rows = [(1, "chosen", *t) for t in [*shared, (2, "user", "a"), (3, "assistant", "yes")]]
