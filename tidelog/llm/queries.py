@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, exact, lines, near, packing, preferences, quality, repeats, toxicity, urls
+from tidelog.llm import (
+    bpe,
+    exact,
+    lines,
+    near,
+    packing,
+    preferences,
+    quality,
+    repair,
+    repeats,
+    runs,
+    simhash,
+    toxicity,
+    urls,
+)
 from tidelog.llm.common import table
 
 #: The rules of the url filter.
@@ -114,6 +128,46 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations without a row after the damage have an empty repair."""
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damaged(rows))
+    every = rows.select(F.col("conv_id").alias("original")).distinct()
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return every.join(found, F.col("original").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("original").alias("conv_id"),
+        *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in repair.COUNTS),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", empty).alias("repaired_sha256"),
+    )
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.detect(table(spark, sf_dir, "documents"), change=runs.planted)
+
+    def line(run):
+        numbers = (run[name].cast("string") for name in ("start", "length", "period"))
+        return F.concat(F.concat_ws(",", *numbers), F.lit("\n"))
+
+    every = F.concat_ws("", F.transform("runs", line)).cast("binary")
+    length, period = F.col("best.length"), F.col("best.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(every, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -125,6 +179,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_lines": op9_lines,
     "op10_exact": op10_exact,
+    "op11_repair": op11_repair,
+    "op12_simhash": op12_simhash,
+    "op13_runs": op13_runs,
 }
 
 _NORMAL = (
