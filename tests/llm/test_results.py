@@ -76,6 +76,18 @@ def test_spaces_inside_runs_of_white_space():
             assert np.frombuffer(encoder.encode(text), "<i4").tolist() == expected(text), text
 
 
+def test_long_runs_of_white_space():
+    """Runs that the library's splitting cannot take are split match by match."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, whole = Tokenizer.from_file(path), packing._encoder(path)
+    short = packing.TextEncoder(whole._ranks, {"<|endoftext|>": 50256}, max_white=3)
+    for text in ("a" + " " * 40 + "b \n\n\n c", "\n" * 9 + "x<|endoftext|>    y", "it's    é\u2003\u2003\u2003 z", "   "):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(short.encode(text), "<u4").tolist() == ids, text
+    ids = np.frombuffer(whole.encode("a" + " " * 3_000_000 + "b"), "<u4")
+    assert ids[0] == whole._ranks[b"a"] and ids[-1] == whole._ranks[b" b"]
+
+
 def _rules(text):
     words = text.encode().split()
     windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]

@@ -18,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -125,8 +126,45 @@ class Packer:
                 yield rest[first]
 
 
+class TextEncoder:
+    """Whole texts to token ids (little-endian 32-bit, as bytes) by the library.
+
+    Its splitting recurses over white space, so a text with a run of
+    ``max_white`` white-space characters is split here and goes match by match.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], added: dict[str, int], max_white: int = 100_000):
+        self._ranks = ranks
+        self._ids = self._encoding(public_tokenizers.PATTERN).encode_ordinary
+        self._added = {text: np.array([i], "<u4").tobytes() for text, i in added.items()}
+        longest_first = sorted(added, key=len, reverse=True)
+        self._parts = regex.compile(f"({'|'.join(map(regex.escape, longest_first))})").split
+        self._long_white = regex.compile(r"\s{%d}" % max_white).search
+        self._max_white = max_white
+        self._by_match: ChunkEncoder | None = None
+
+    def _encoding(self, pattern: str) -> tiktoken.Encoding:
+        return tiktoken.Encoding(
+            pattern, pat_str=pattern, mergeable_ranks=self._ranks, special_tokens={}
+        )
+
+    def encode(self, text: str) -> bytes:
+        if any(token in text for token in self._added):
+            parts = enumerate(self._parts(text))  # every second one is an added token
+            return b"".join(self._added[p] if i % 2 else self._plain(p) for i, p in parts)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
+        if len(text) < self._max_white or not self._long_white(text):
+            return np.fromiter(self._ids(text), "<u4").tobytes()
+        if self._by_match is None:
+            piece = self._encoding("(?s).+").encode_ordinary
+            self._by_match = ChunkEncoder(public_tokenizers.PATTERN, lambda m: piece(m.decode()))
+        return self._by_match.encode(text)
+
+
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> ChunkEncoder:
+def _encoder(path: str) -> TextEncoder:
     """Ids of a byte-level tokenizer file, whose ids rank its merges.
 
     Its added tokens are one id each wherever a text has them.
@@ -146,12 +184,7 @@ def _encoder(path: str) -> ChunkEncoder:
         for token, i in vocabulary.items()
         if all(c in byte_of for c in token) and token not in added
     }
-    match = tiktoken.Encoding(
-        path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-    )
-    return ChunkEncoder(
-        public_tokenizers.PATTERN, match._encode_single_piece, max_entries=400_000, added=added
-    )
+    return TextEncoder(ranks, added)
 
 
 COLUMNS = {
