@@ -120,6 +120,24 @@ def test_repeats(docs):
     assert rows[1].n_bytes == 0 and rows[5].kept == ROWS[4][1].encode()
 
 
+def test_stages_take_columns_of_any_name(spark, docs, tmp_path):
+    """Names with spaces, points, dashes, quotes, and names that stages use."""
+    spark.createDataFrame(
+        [(1, 1, 0), (5, 0, 1)], "doc_id long, quality int, toxic int"
+    ).write.parquet(f"{tmp_path}/labels.parquet")
+    names = ["my col", "a.b", "a-b", "row key", "row_key", "kept key", "q`t", "carried", "spans", "2"]
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, f"{words} {i}" * (i + 1), *(f"{n}{i}" for n in names)) for i in range(3)]
+    given = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, given, str(tmp_path))
+        assert result.columns == given.columns
+        kept = result.collect()
+        assert kept
+        for r in kept:
+            assert list(r)[2:] == [f"{n}{r.doc_id}" for n in names]
+
+
 def test_stages_keep_the_columns(spark, docs, tmp_path):
     spark.createDataFrame(
         [(1, 1, 0), (3, 1, 0), (5, 0, 1)], "doc_id long, quality int, toxic int"

@@ -381,7 +381,7 @@ def test_pipeline(spark, texts):
             assert set(after) == {i for i, (_, c) in place.items() if c == i}
     cut = {r.doc_id: r.text for r in corpus_pipeline.repeat_removal(spark, docs, SF_DIR).collect()}
     ids = sorted(after)
-    expected = _without_repeats([after[i].text.encode() for i in ids], 400)
+    expected = _without_repeats([after[i].text.encode() for i in ids], corpus_pipeline.PASSAGE_BYTES)
     assert all(cut[i].encode() == e or not e.isascii() for i, e in zip(ids, expected, strict=True))
     _check_packing(pieces, cut)
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The six ASCII white-space characters.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -48,11 +49,16 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose workers find this package where the driver does,
     if it is not installed for them anyway."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

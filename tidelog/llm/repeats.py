@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.llm import suffixes
-from tidelog.llm.common import byte_slices, map_arrow, stored
+from tidelog.llm.common import byte_slices, map_arrow, quoted, stored
 
 ANCHOR = 128
 #: Bytes hashed at a time, and bytes of a shard's suffix array.
@@ -241,11 +242,12 @@ def remove(
     texts have no bytes. Rows with equal ids and texts are several documents
     that are copies of each other; null is an id like others. ``kept`` need
     not be valid UTF-8, unless ``whole_characters`` leaves characters in place
-    of which only a part would go. An empty table gives no rows.
+    of which only a part would go. An empty table gives no rows. ``carry`` takes
+    columns of any name, also of names that the result has.
     """
     anchor = min(anchor, length)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    carried = [F.struct(*carry).alias("carried")] if carry else []
+    carried = [F.struct(*map(quoted, carry)).alias("carried")] if carry else []
     full = docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(body).alias("mark"), body.alias("body"), *carried
     )
@@ -355,11 +357,8 @@ def _without(rows: DataFrame, removed: DataFrame, whole_characters: bool) -> Dat
         .join(removed.alias("r"), same, "left")
         .select("d.doc_id", "body", "spans", *extra)
     )
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    more = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in extra)
-    return map_arrow(
-        joined,
-        run,
-        f"doc_id {kind}, n_bytes bigint, spans array<struct<`from`: bigint, `to`: bigint>>, "
-        f"kept binary{more}",
-    )
+    spans = "n_bytes bigint, spans array<struct<`from`: bigint, `to`: bigint>>, kept binary"
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(spans)])
+    for name in extra:  # may hold names that no type text can
+        schema = schema.add(rows.schema[name])
+    return map_arrow(joined, run, schema)
