@@ -12,50 +12,68 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import exact, near, packing, quality, repeats
-from tidelog.llm.common import stored, table
+from tidelog.llm.common import quoted, stored, table
 from tidelog.llm.queries import quality_labels
 
 #: The stages are not expressible in SQL.
 ORACLE_SQL = None
 
 
-#: The column of a row's own key.
-KEY = "row key"
+#: Bytes of a repeated passage: one of over 50 words is hardly ever shorter
+#: (under 1 of 1,000 windows of 51 words in the given documents).
+PASSAGE_BYTES = 200
+#: Bytes whose hash stands for a passage.
+PASSAGE_ANCHOR = 64
+
+
+def _key_name(docs: DataFrame) -> str:
+    """A name for the rows' own keys that no column has."""
+    name, taken = "row_key", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def _keyed(docs: DataFrame, null_first: bool = False) -> DataFrame:
-    """``docs`` and a key for each row, ordered as the ids are.
+    """``docs`` and, as its last column, a key for each row, ordered as the ids are.
 
     Ids that are all different and not null are the keys. Otherwise the rows
     are sorted and numbered once, in files, so that every reader sees the same
     keys.
     """
+    key = _key_name(docs)
     per_id = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
     if per_id.filter("n > 1 OR doc_id IS NULL").isEmpty():
-        return docs.withColumn(KEY, F.col("doc_id"))
+        return docs.withColumn(key, F.col("doc_id"))
     id_order = F.asc_nulls_first("doc_id") if null_first else F.asc_nulls_last("doc_id")
     ordered = docs.orderBy(id_order, F.xxhash64("text"), F.col("text"))
-    return stored(ordered.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
+    return stored(ordered.withColumn(key, F.monotonically_increasing_id()), "keyed")
 
 
 def _kept(keyed: DataFrame, judged: DataFrame) -> DataFrame:
     """The rows of ``keyed`` that ``judged``, whose ids are their keys, keeps."""
-    keys = judged.filter("kept").select(F.col("doc_id").alias("kept key"))
-    return keyed.join(keys, keyed[KEY] == keys["kept key"], "left_semi").drop(KEY)
+    key = keyed.columns[-1]
+    keys = judged.filter("kept").select(F.col("doc_id").alias(key))
+    return keyed.join(keys, key, "left_semi").select(*map(quoted, keyed.columns[:-1]))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the base rules or the isolation forests reject."""
+    """Drops what the base rules or the isolation forests reject.
+
+    Null and empty texts have no words and are rejected. Repeated rows are
+    judged alike, each by itself, whatever their ids. An empty table stays
+    empty; without labels only the base rules decide.
+    """
     model = quality.fit(docs, quality_labels(spark, sf_dir))
     keyed = _keyed(docs)
-    return _kept(keyed, quality.judge(keyed, model, id_col=KEY))
+    return _kept(keyed, quality.judge(keyed, model, id_col=keyed.columns[-1]))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, keeps the one with the largest id, and one row of several
     with that id; null is smaller than any id."""
     keyed = _keyed(docs, null_first=True)
-    return _kept(keyed, exact.groups(keyed, id_col=KEY))
+    return _kept(keyed, exact.groups(keyed, id_col=keyed.columns[-1]))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,14 +81,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     0.8 or more), keeps the document with the smallest id, and one row of
     several with that id; null comes after any id."""
     keyed = _keyed(docs)
-    return _kept(keyed, near.components(keyed, id_col=KEY))
+    return _kept(keyed, near.components(keyed, id_col=keyed.columns[-1]))
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts strings of 400 bytes or more that occur twice, by whole characters."""
+    """Cuts passages of ``PASSAGE_BYTES`` bytes or more that occur twice, all
+    copies of them, by whole characters.
+
+    Texts of fewer bytes stay as they are; null texts become empty. Repeated
+    rows are copies of each other and lose their texts, which the stages before
+    leave none of. ``n_chars`` is counted anew. An empty table stays empty.
+    """
     others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    cut = repeats.remove(docs, whole_characters=True, carry=others)
-    columns = {c: F.col(f"carried.`{c}`") for c in others}
+    cut = repeats.remove(
+        docs, PASSAGE_BYTES, anchor=PASSAGE_ANCHOR, whole_characters=True, carry=others
+    )
+    columns = {c: F.col("carried").getField(c) for c in others}
     columns["text"] = F.decode("kept", "UTF-8")
     columns["n_chars"] = F.char_length(columns["text"]).cast(
         docs.schema["n_chars"].dataType if "n_chars" in docs.columns else "long"
@@ -79,7 +105,8 @@ def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2048 tokens."""
+    """Sequences of 2048 tokens. Every row is a document, also of repeated or
+    null ids; null and empty texts are one token, an empty table no sequence."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
