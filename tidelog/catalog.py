@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions import payload as P
-from tidelog.operators import envelope, tiering
+from tidelog.functions.times import from_epoch_us
+from tidelog.operators import containers, envelope, tiering
 from tidelog.operators.joins import left_join
 from tidelog.operators.state import (
     create_views,
@@ -313,6 +314,49 @@ def ingest_counters(spark, sf_dir):
     return _faulty(spark, sf_dir).agg(*envelope.counters())
 
 
+REPLY_ROW = (
+    "source_table string, operation string, record_id string, event_data string,"
+    " commit_timestamp bigint, ingested_at bigint"
+)
+
+
+def container_replies(spark, sf_dir):
+    """Containers unwrapped, decoded and answered; the replies read back."""
+    received = containers.unwrap(B.event_containers(spark, sf_dir))
+    answered = containers.answer(envelope.decode(received, ingested_at=EVENTS))
+    reply = "records array<struct<recordId: string, result: string, data: string>>"
+    records = containers.replies(answered, "container_id").select(
+        "container_id", F.posexplode(F.from_json("reply", reply)["records"]).alias("position", "r")
+    )
+    line = F.unbase64("r.data").cast("string")
+    read = records.select(
+        "container_id",
+        "position",
+        F.col("r.recordId").alias("arrival_id"),
+        F.col("r.result").alias("result"),
+        F.when(line.endswith("\n"), F.from_json(line, REPLY_ROW)).alias("row"),
+    )
+    payload = F.parse_json("row.event_data")
+    return read.select(
+        "container_id",
+        "position",
+        "arrival_id",
+        "result",
+        F.col("row.source_table").alias("source_table"),
+        F.col("row.operation").alias("operation"),
+        F.col("row.record_id").alias("record_id"),
+        P.field(payload, "status", "string").alias("status"),
+        P.field(payload, "value", "double").alias("value"),
+        P.field(payload, "props", "string").alias("props"),
+        from_epoch_us(F.col("row.commit_timestamp")).alias("commit_timestamp"),
+        from_epoch_us(F.col("row.ingested_at")).alias("ingested_at"),
+    )
+
+
+def refused_containers(spark, sf_dir):
+    return containers.refused(B.event_containers(spark, sf_dir)).drop("body")
+
+
 def drop_rate(spark, sf_dir):
     decoded = _faulty(spark, sf_dir)
     arrivals = B.table(spark, sf_dir, "events").select(
@@ -478,6 +522,16 @@ def streamed_hot_log(spark, sf_dir):
     return _users(store.read_hot(spark, root)).drop("ingested_at")
 
 
+def streamed_containers(spark, sf_dir):
+    """A stream of containers of the other form into the hot store."""
+    made = B.event_containers(spark, sf_dir, containers.STREAM)
+    source, root = _as_files(made, "containers"), scratch_dir(spark, "hot")
+    stream = containers.unwrap(_stream(spark, source, made), form=containers.STREAM)
+    checkpoint = scratch_dir(spark, "checkpoint")
+    ingest.start_hot(stream, root, checkpoint, trigger=ONCE).awaitTermination()
+    return _users(store.read_hot(spark, root)).drop("ingested_at")
+
+
 def streamed_archive(spark, sf_dir):
     root, quarantine = scratch_dir(spark, "cold"), scratch_dir(spark, "quarantine")
     _ingested(spark, sf_dir, ingest.start_cold, root, quarantine)
@@ -587,6 +641,8 @@ QUERIES: dict[str, Query] = {
     "record_dispositions": record_dispositions,
     "ingest_counters": ingest_counters,
     "drop_rate": drop_rate,
+    "container_replies": container_replies,
+    "refused_containers": refused_containers,
     "customers_left_join": customers_left_join,
     "distinct_counts": distinct_counts,
     "countries_per_status": countries_per_status,
@@ -599,6 +655,7 @@ QUERIES: dict[str, Query] = {
     "load_after_compact": load_after_compact,
     "replay_after_compact": replay_after_compact,
     "streamed_hot_log": streamed_hot_log,
+    "streamed_containers": streamed_containers,
     "streamed_archive": streamed_archive,
     "streamed_quarantine": streamed_quarantine,
     "streamed_once": streamed_once,

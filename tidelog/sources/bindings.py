@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import payload as P
 from tidelog.functions.times import epoch_ms, from_epoch_ms, plus, ts
+from tidelog.operators.containers import DELIVERY, Form
 from tidelog.session import configure
 
 # Fixed values of the bindings.
@@ -351,3 +352,43 @@ def event_envelopes(spark: SparkSession, sf_dir: str, faults: bool = False) -> D
             .otherwise(data)
         )
     return rows.select(F.col("event_id").cast("string").alias("arrival_id"), data.alias("data"))
+
+
+# Records a container holds, and which containers are damaged.
+CONTAINER_RECORDS = 100
+TORN, NO_ARRAY, NAMELESS = 5, 7, 9
+
+
+def event_containers(
+    spark: SparkSession, sf_dir: str, form: Form = DELIVERY, faults: bool = True
+) -> DataFrame:
+    """The event table's envelopes in containers ``(container_id, body)``.
+
+    With ``faults`` records are damaged as in ``event_envelopes``, and of every
+    13 containers one is torn, one holds no array and one has a record without
+    an id, where the form has ids.
+    """
+    number = F.col("arrival_id").cast("bigint")
+    container = F.floor(number / CONTAINER_RECORDS).cast("bigint")
+    nameless = (container % 13 == NAMELESS) & (number % CONTAINER_RECORDS == 50)
+    record = F.col("data")
+    for name in reversed(form.data.split(".")):
+        record = F.struct(record.alias(name))
+    if form.record_id is not None:
+        given = F.when(F.lit(faults) & nameless, None).otherwise(F.col("arrival_id"))
+        record = F.struct(given.alias(form.record_id), *(record[c] for c in form.data.split(".")[:1]))
+    grouped = (
+        event_envelopes(spark, sf_dir, faults)
+        .select(container.alias("container_id"), F.struct(number.alias("n"), record.alias("r")).alias("r"))
+        .groupBy("container_id")
+        .agg(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["r"]).alias("records"))
+    )
+    body = F.to_json(F.struct(F.col("records").alias(form.records)))
+    if faults:
+        kind = F.col("container_id") % 13
+        body = (
+            F.when(kind == TORN, F.substring(body, 1, 100))
+            .when(kind == NO_ARRAY, F.lit(f'{{"{form.records}":{{}}}}'))
+            .otherwise(body)
+        )
+    return grouped.select("container_id", body.alias("body"))
