@@ -132,13 +132,32 @@ def test_redelivered_events_are_stored_once(spark, places):
     stream = ingest.envelope_stream(spark, places["in"], max_files=1)
     for _ in range(2):
         ingest.start_hot(
-            stream, places["hot"], places["ck-hot"], trigger=ONCE, once_per_event=True
+            stream, places["hot"], places["ck-hot"], trigger=ONCE, once_within="2 days"
         ).awaitTermination()
-        send(spark, places["in"], made[:10])  # and again, days later
+        send(spark, places["in"], made[:10])  # and again, after a restart
     stored = store.read_hot(spark, places["hot"])
     assert stored.count() == stored.select("event_key").distinct().count() == 30
 
 
+def test_keys_leave_the_state_with_the_watermark(spark, tmp_path):
+    """A copy that comes later than the time asked for is an event again."""
+    root, checkpoint = f"{tmp_path}/hot", f"{tmp_path}/check"
+    event = payload(1)
+    for text in (event, event, payload(2)):
+        send(spark, f"{tmp_path}/in", [text], files=1)
+        stream = ingest.envelope_stream(spark, f"{tmp_path}/in")
+        ingest.start_hot(
+            stream, root, checkpoint, trigger=ONCE, once_within="1 millisecond"
+        ).awaitTermination()
+    send(spark, f"{tmp_path}/in", [event], files=1)
+    query = ingest.start_hot(
+        ingest.envelope_stream(spark, f"{tmp_path}/in"), root, checkpoint, trigger=ONCE, once_within="1 millisecond"
+    )
+    query.awaitTermination()
+    assert store.read_hot(spark, root).count() >= 3
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 1
+
+
 def test_writing_a_deduplicated_batch_again_changes_nothing(spark, tmp_path):
     root = str(tmp_path / "hot")
     first = log(spark, ("c", "a", 1, "paid"), ("c", "b", 2, "paid"))
@@ -160,7 +179,7 @@ def test_live_state_equals_batch_state(spark, tmp_path):
     stream = (
         spark.readStream.schema(events_log.schema).option("maxFilesPerTrigger", 2).parquet(source)
     )
-    query = live.start_state(stream, path, ck, ONCE)
+    query = live.start_state(stream, path, ck, ONCE, buckets=4)
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) >= 3
     lived = current_state(live.read_state_log(spark, path), ORDERS)
@@ -169,7 +188,7 @@ def test_live_state_equals_batch_state(spark, tmp_path):
     events_log.where("record_id = 'k3'").withColumn(
         "commit_timestamp", F.col("commit_timestamp") - F.expr("INTERVAL '400' DAY")
     ).write.mode("append").parquet(source)  # very late and older: changes nothing
-    live.start_state(stream, path, ck, ONCE).awaitTermination()
+    live.start_state(stream, path, ck, ONCE, buckets=4).awaitTermination()
     lived = current_state(live.read_state_log(spark, path), ORDERS)
     assert sorted(lived.collect()) == sorted(current_state(events_log, ORDERS).collect())
 
@@ -180,7 +199,7 @@ def test_live_volume_counts_rows_arriving_in_later_batches(spark, tmp_path):
     made.repartition(4).write.parquet(source)
     stream = spark.readStream.schema(made.schema).option("maxFilesPerTrigger", 1).parquet(source)
     live.start_volume(stream, path, ck, ONCE).awaitTermination()
-    counts = live.read_newest(spark, path, "minute", "source_table").collect()
+    counts = live.read_volume(spark, path).collect()
     assert sorted(r.events for r in counts) == [8] * 5
 
 
@@ -219,3 +238,202 @@ def test_loads_replace_nothing(spark, tmp_path):
     store.compact(spark, f"{tmp_path}/hot", HOT_LOG)
     store.bulk_load(log(spark, ("c", "d", 1, "paid")), f"{tmp_path}/hot")
     assert store.read_hot(spark, f"{tmp_path}/hot").count() == 3
+
+
+# Tables of one row per key.
+
+
+def live_log(spark, n=150):
+    rows = []
+    for i in range(n):
+        operation = "d" if i % 13 == 0 else "c"
+        status = ("pending", "paid", "shipped", "cancelled")[i % 4]
+        rows.append((operation, f"k{i % 23}", (i * 37) % 90, status, i % 50))
+    return log(spark, *rows)
+
+
+def batches(made, parts=4):
+    part = F.pmod(F.xxhash64("event_key"), F.lit(parts))
+    return [made.where(part == k) for k in range(parts)]
+
+
+def sink_of(monkeypatch, start, *args):
+    """The sink a stream would be started with."""
+    taken = []
+    monkeypatch.setattr(live, "_start", lambda stream, sink, *rest: taken.append((stream, sink)))
+    start(*args)
+    monkeypatch.undo()
+    return taken[0]
+
+
+def plain_sales(state):
+    sold = state.where(F.col("status").isin("paid", "shipped", "delivered"))
+    minute = F.date_trunc("minute", "last_change_at").cast("timestamp_ntz").alias("minute")
+    return {
+        (r.minute, r.orders, r.cents)
+        for r in sold.groupBy(minute).agg(F.count("*").alias("orders"), F.sum("total_cents").alias("cents")).collect()
+    }
+
+
+def test_state_keeps_a_row_a_key_and_replays_change_nothing(spark, tmp_path, monkeypatch):
+    made, path = live_log(spark), f"{tmp_path}/state"
+    rows, sink = sink_of(monkeypatch, live.start_state, made, path, "", ONCE, 4)
+    shaped = made.withColumn("event_data", F.to_json("event_data")).withColumn("is_delete", F.col("operation") == "d")
+    assert rows.columns == shaped.columns
+    seen = None
+    for number, batch in enumerate(batches(shaped)):
+        sink(batch, number)
+        once = sorted(live.read_state_log(spark, path).collect())
+        sink(batch, number)  # the same batch again
+        assert sorted(live.read_state_log(spark, path).collect()) == once
+        seen = batch if seen is None else seen.union(batch)
+        keys = seen.select("source_table", "record_id").distinct().count()
+        assert len(once) == keys
+        assert spark.read.parquet(path).count() <= 2 * keys
+        expected = current_state(seen.drop("is_delete"), ORDERS)
+        assert sorted(current_state(live.read_state_log(spark, path), ORDERS).collect()) == sorted(expected.collect())
+
+
+def test_a_batch_that_failed_half_way_starts_from_the_state_before_it(spark, tmp_path, monkeypatch):
+    from tidelog.streaming import tables
+
+    made, path = live_log(spark), f"{tmp_path}/state"
+    _, sink = sink_of(monkeypatch, live.start_state, made, path, "", ONCE, 4)
+    shaped = made.withColumn("event_data", F.to_json("event_data")).withColumn("is_delete", F.col("operation") == "d")
+    first, second, third, _ = batches(shaped)
+    for number, batch in enumerate((first, second)):
+        sink(batch, number)
+    put = tables.put
+
+    def half(rows, current, root, batch_id):
+        put(rows.where("bucket < 2"), current, root, batch_id)
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "put", half)
+    with pytest.raises(OSError):
+        sink(third, 2)
+    monkeypatch.undo()
+    sink(third, 2)
+    expected = current_state(first.union(second).union(third).drop("is_delete"), ORDERS)
+    assert sorted(current_state(live.read_state_log(spark, path), ORDERS).collect()) == sorted(expected.collect())
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path, monkeypatch):
+    import pathlib
+
+    made, path = live_log(spark), tmp_path / "state"
+    _, sink = sink_of(monkeypatch, live.start_state, made, str(path), "", ONCE, 8)
+    shaped = made.withColumn("event_data", F.to_json("event_data")).withColumn("is_delete", F.col("operation") == "d")
+    sink(shaped, 0)
+    files = {p for p in pathlib.Path(path).rglob("*.parquet")}
+    sink(shaped.where("record_id = 'k3'"), 1)
+    new = {p for p in pathlib.Path(path).rglob("*.parquet")} - files
+    assert len({p.parent.parent for p in new}) == 1 and files <= {p for p in pathlib.Path(path).rglob("*.parquet")}
+
+
+def test_a_table_belongs_to_one_checkpoint(spark, tmp_path, monkeypatch):
+    from tidelog.streaming import tables
+
+    made, path = live_log(spark), f"{tmp_path}/state"
+    _, sink = sink_of(monkeypatch, live.start_state, made, path, "", ONCE, 4)
+    shaped = made.withColumn("event_data", F.to_json("event_data")).withColumn("is_delete", F.col("operation") == "d")
+    for number, batch in enumerate(batches(shaped)[:2]):
+        sink(batch, number)
+    with pytest.raises(tables.OtherCheckpoint):
+        sink(shaped, 0)
+
+
+def test_sales_move_between_minutes(spark, tmp_path, monkeypatch):
+    """Shuffled, late and repeated batches, each twice: the batch answer, and
+    only minutes that changed are marked as changed."""
+    made, path = live_log(spark), f"{tmp_path}/sales"
+    rows, sink = sink_of(monkeypatch, live.start_sales, made, path, "", ONCE, 4)
+    seen, before = None, {}
+    parts = [*range(4), 1]  # the second part comes again
+    for number, part in enumerate(parts):
+        batch = batches(rows)[part]
+        for _ in range(2):
+            sink(batch, number)
+        raw = batches(made)[part]
+        seen = raw if seen is None else seen.union(raw)
+        found = {r.minute: r for r in live.read_sales(spark, path).collect()}
+        assert {(r.minute, r.orders, r.total_cents) for r in found.values()} == plain_sales(current_state(seen, ORDERS))
+        for minute, r in found.items():
+            old = before.get(minute)
+            same = old is not None and (old.orders, old.total_cents) == (r.orders, r.total_cents)
+            assert not same or r.changed_by == old.changed_by
+        before = found
+    assert {r.changed_by for r in before.values()} <= {0, 1, 2, 3}  # the repeated part moved nothing
+
+
+def test_sales_of_a_stream_that_restarts(spark, tmp_path):
+    made = live_log(spark)
+    source, path, checkpoint = (f"{tmp_path}/{n}" for n in ("in", "sales", "check"))
+    for part in batches(made, 3):
+        part.repartition(2).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(made.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        live.start_sales(stream, path, checkpoint, ONCE, 4).awaitTermination()
+    answer = live.live_sales_velocity(live.read_sales(spark, path), made.agg(F.max("commit_timestamp")).first()[0], timedelta(days=1))
+    expected = {(m, n, c / 100) for m, n, c in plain_sales(current_state(made, ORDERS))}
+    assert {tuple(r) for r in answer.collect()} == expected
+
+
+# Alarms.
+
+
+class Progress:
+    """What a listener reads of a batch's progress."""
+
+    def __init__(self, batch, processed, skipped, at="2024-01-01T00:00:00.000Z", id="q"):
+        self.id, self.batchId, self.timestamp = id, batch, at
+        self.numInputRows = processed + skipped
+        self.observedMetrics = {"ingest": {"processed": processed, "skipped": skipped}}
+        self.progress = self
+
+
+def test_alarm_goes_up_and_down_with_the_window(spark, tmp_path):
+    from tidelog.streaming import alarms
+
+    changes = []
+    at = "2024-01-01T{:02}:{:02}:00.000Z".format
+    alarm = alarms.DropAlarm(spark, f"{tmp_path}/a", limit=0.1, on_change=changes.append)
+    alarm.onQueryProgress(Progress(0, 100, 0, at(0, 0)))
+    alarm.onQueryProgress(Progress(1, 100, 10, at(0, 10)))
+    assert not alarm.up("q") and not changes
+    alarms.check_alarm(spark, f"{tmp_path}/a")
+    alarm.onQueryProgress(Progress(2, 50, 30, at(0, 20)))
+    assert alarm.up("q") and [c["batch"] for c in changes] == [2]
+    with pytest.raises(alarms.IngestAlarm):
+        alarms.check_alarm(spark, f"{tmp_path}/a")
+    again = alarms.DropAlarm(spark, f"{tmp_path}/a", limit=0.1, on_change=changes.append)  # a restart
+    assert again.up("q")
+    again.onQueryProgress(Progress(2, 50, 30, at(0, 20)))  # known
+    again.onQueryProgress(Progress(3, 50, 0, at(0, 50)))
+    assert again.up("q") and len(changes) == 1
+    again.onQueryProgress(Progress(4, 50, 0, at(1, 30)))  # the bad batch has left the window
+    assert not again.up("q") and [c["batch"] for c in changes] == [2, 4]
+    again.onQueryProgress(Progress(0, 0, 5, at(1, 31), id="other"))
+    assert again.up("other") and not again.up("q")
+    alarms.check_alarm(spark, f"{tmp_path}/none")
+
+
+def test_alarm_of_a_running_stream_stops_a_prune(spark, places):
+    from tidelog.operators import tiering
+    from tidelog.streaming import alarms
+
+    path = places["bad"]
+    alarm = alarms.DropAlarm(spark, path, limit=0.01)
+    spark.streams.addListener(alarm)
+    try:
+        send(spark, places["in"], messages(0, 20))
+        stream = ingest.envelope_stream(spark, places["in"])
+        query = ingest.start_hot(stream, places["hot"], places["ck-hot"], trigger=ONCE)
+        query.awaitTermination()
+        alarm.settle(query)
+    finally:
+        spark.streams.removeListener(alarm)
+    assert [(r.processed, r.skipped, r.alarm) for r in alarms.read_batches(spark, path).collect()] == [(20, 2, True)]
+    hot = store.read_hot(spark, places["hot"])
+    with pytest.raises(alarms.IngestAlarm):
+        tiering.prune(spark, places["hot"], E.archived(hot), alarm=path)
+    assert store.read_hot(spark, places["hot"]).count() == 20

@@ -37,7 +37,8 @@ from tidelog.schemas import (
 from tidelog.session import scratch_dir
 from tidelog.sources import bindings as B
 from tidelog.sources import snapshots, store
-from tidelog.streaming import ingest, live
+from tidelog.sources.store import path_exists
+from tidelog.streaming import alarms, ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,6 +154,7 @@ EVENTS = B.EVENTS_AS_OF
 RETENTION = timedelta(days=10)
 DAY = timedelta(days=1)
 CUTOFF = tiering.cutoff_at(EVENTS, RETENTION)
+DROP_LIMIT = 0.03
 VERSION = 12
 MOMENT = datetime(2024, 1, 18, 6, 30)
 # a pruned hot store, an archive with gaps, and one with gaps only where hot has the event
@@ -496,6 +498,7 @@ def replay_after_compact(spark, sf_dir):
 
 ONCE = {"availableNow": True}
 BATCH_BYTES = 4 << 30
+FEW = 4  # buckets of a small state
 
 
 def _as_files(df: DataFrame, name: str) -> str:
@@ -545,53 +548,115 @@ def streamed_quarantine(spark, sf_dir):
     return refused.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
 
 
+def _landings(spark, parts: list[DataFrame], start) -> None:
+    """Land each part in one folder and start a stream on it, always with the
+    same checkpoint: as many batches and restarts as parts."""
+    source, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "checkpoint")
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        start(_stream(spark, source, part), checkpoint).awaitTermination()
+
+
+def _shuffled(log: DataFrame, parts: int = 3) -> list[DataFrame]:
+    """A stored log in parts of no order, and the first part once more."""
+    path = _as_files(log, "log")
+    stored = log.sparkSession.read.schema(log.schema).parquet(path)
+    part = F.pmod(F.xxhash64("event_key", F.lit("part")), F.lit(parts))
+    made = [stored.where(part == n) for n in range(parts)]
+    return [*made, made[0]]
+
+
 def streamed_once(spark, sf_dir):
-    """The event log sent twice, stored once."""
-    envelopes = B.event_envelopes(spark, sf_dir)
-    source = _as_files(envelopes.union(envelopes), "envelopes")
-    root = scratch_dir(spark, "hot")
-    ingest.start_hot(
-        ingest.envelope_stream(spark, source, max_bytes=BATCH_BYTES),
-        root,
-        scratch_dir(spark, "checkpoint"),
-        trigger=ONCE,
-        once_per_event=True,
-    ).awaitTermination()
+    """The event log delivered twice, stored once: the second delivery meets
+    the keys in the stream's state after a restart."""
+    envelopes, root = B.event_envelopes(spark, sf_dir), scratch_dir(spark, "hot")
+
+    def start(stream, checkpoint):
+        return ingest.start_hot(stream, root, checkpoint, trigger=ONCE, once_within="2 days")
+
+    _landings(spark, [envelopes, envelopes], start)
+    return _users(store.read_hot(spark, root)).drop("ingested_at")
+
+
+def redelivered_after_prune(spark, sf_dir):
+    """The log delivered, pruned, and delivered again: what was pruned stays away."""
+    envelopes, root = B.event_envelopes(spark, sf_dir), scratch_dir(spark, "hot")
+    archive = B.event_archive(spark, sf_dir)
+
+    def start(stream, checkpoint):
+        if path_exists(spark, root):
+            tiering.prune(spark, root, archive, EVENTS, RETENTION)
+        return ingest.start_hot(stream, root, checkpoint, trigger=ONCE, once_within="2 days")
+
+    _landings(spark, [envelopes, envelopes], start)
     return _users(store.read_hot(spark, root)).drop("ingested_at")
 
 
+def drop_alarms(spark, sf_dir):
+    """Four batches, the third with damaged records, a restart before each: what
+    the alarm's window saw and whether it was up."""
+    root, path = scratch_dir(spark, "hot"), scratch_dir(spark, "alarm")
+    quarter = F.col("arrival_id").cast("bigint") % 4
+    parts = [
+        B.event_envelopes(spark, sf_dir, faults=n == 2).where(quarter == n) for n in range(4)
+    ]
+
+    class Started:
+        def __init__(self, stream, checkpoint):
+            self.alarm = alarms.DropAlarm(spark, path, limit=DROP_LIMIT)
+            spark.streams.addListener(self.alarm)
+            self.query = ingest.start_hot(stream, root, checkpoint, trigger=ONCE)
+
+        def awaitTermination(self):
+            try:
+                self.query.awaitTermination()
+                self.alarm.settle(self.query)
+            finally:
+                spark.streams.removeListener(self.alarm)
+
+    _landings(spark, parts, Started)
+    return alarms.read_batches(spark, path).drop("query", "at")
+
+
 def _live(spark, sf_dir, start) -> str:
-    log = B.event_log(spark, sf_dir)
-    source, path = _as_files(log, "log"), scratch_dir(spark, "live")
-    stream = _stream(spark, source, log)
-    checkpoint = scratch_dir(spark, "checkpoint")
-    start(stream, path, checkpoint, ONCE).awaitTermination()
+    path = scratch_dir(spark, "live")
+    _landings(
+        spark,
+        _shuffled(B.event_log(spark, sf_dir))[:-1],
+        lambda stream, checkpoint: start(stream, path, checkpoint, ONCE),
+    )
     return path
 
 
 def streamed_state(spark, sf_dir):
-    path = _live(spark, sf_dir, live.start_state)
+    """Live state over batches of no order, the first of them sent again."""
+    path = scratch_dir(spark, "live")
+    _landings(
+        spark,
+        _shuffled(B.event_log(spark, sf_dir)),
+        lambda stream, checkpoint: live.start_state(stream, path, checkpoint, ONCE, FEW),
+    )
     state = live_rows(live.read_state_log(spark, path))
     return _users(state).drop("operation", "ingested_at")
 
 
 def streamed_volume(spark, sf_dir):
-    path = _live(spark, sf_dir, live.start_volume)
-    return live.read_newest(spark, path, "minute", "source_table")
+    return live.read_volume(spark, _live(spark, sf_dir, live.start_volume))
 
 
 def streamed_latency(spark, sf_dir):
-    path = _live(spark, sf_dir, live.start_latency)
-    return live.read_newest(spark, path, "minute", "source_table")
+    return live.read_latency(spark, _live(spark, sf_dir, live.start_latency))
 
 
 def streamed_sales_velocity(spark, sf_dir):
-    log = B.star_log(spark, sf_dir, ORDERS.source_table)
-    source, path = _as_files(log, "log"), scratch_dir(spark, "live")
-    stream, checkpoint = _stream(spark, source, log), scratch_dir(spark, "checkpoint")
-    live.start_state(stream, path, checkpoint, ONCE).awaitTermination()
-    orders = current_state(live.read_state_log(spark, path), ORDERS, STAR - DAYS_30)
-    return business.sales_velocity(orders, STAR, DAYS_30)
+    """Sales per minute maintained over batches of no order, one sent again."""
+    path = scratch_dir(spark, "live")
+    _landings(
+        spark,
+        _shuffled(B.star_log(spark, sf_dir, ORDERS.source_table)),
+        lambda stream, checkpoint: live.start_sales(stream, path, checkpoint, ONCE, FEW),
+    )
+    return live.live_sales_velocity(live.read_sales(spark, path), STAR, DAYS_30)
 
 
 QUERIES: dict[str, Query] = {
@@ -659,6 +724,8 @@ QUERIES: dict[str, Query] = {
     "streamed_archive": streamed_archive,
     "streamed_quarantine": streamed_quarantine,
     "streamed_once": streamed_once,
+    "redelivered_after_prune": redelivered_after_prune,
+    "drop_alarms": drop_alarms,
     "streamed_state": streamed_state,
     "streamed_volume": streamed_volume,
     "streamed_latency": streamed_latency,

@@ -16,6 +16,7 @@ from tidelog.functions.times import second_floor, ts, utc_now
 from tidelog.operators.state import before, since
 from tidelog.operators.unify import RETENTION
 from tidelog.sources.store import drop_before, read_hot
+from tidelog.streaming.alarms import check_alarm
 
 
 class ArchiveEmptyError(RuntimeError):
@@ -94,13 +95,18 @@ def prune(
     as_of: datetime | None = None,
     retention: timedelta = RETENTION,
     gate: str = "count",
+    alarm: str | None = None,
 ) -> DataFrame:
     """Drop rows older than the cutoff from the hot store.
 
     Days before the cutoff's drop out as whole partitions, later days are left
     as they are. Returns the one-row report. When the gate refuses, it raises
-    and the store is as it was.
+    and the store is as it was. ``alarm`` names the folder of a
+    ``streaming.alarms.DropAlarm``: while that is up, nothing is dropped either,
+    as the archive may miss what was refused.
     """
+    if alarm is not None:
+        check_alarm(spark, alarm)
     cutoff = cutoff_at(utc_now() if as_of is None else as_of, retention)
     hot = read_hot(spark, hot_root)
     check_archive(hot, cold, cutoff, gate)

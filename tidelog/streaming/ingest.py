@@ -8,6 +8,7 @@ what its first attempt wrote.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,28 +49,55 @@ def envelope_stream(
     return reader.load(path)
 
 
+@contextmanager
+def adaptive(stream_session: SparkSession):
+    """Adaptive execution for what a sink does with its batch.
+
+    Spark turns it off in the session of a stream with state, whose own plan is
+    made before the sink is called. That session is the stream's alone.
+    """
+    setting = "spark.sql.adaptive.enabled"
+    before = stream_session.conf.get(setting)
+    stream_session.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        stream_session.conf.set(setting, before)
+
+
 def start_hot(
     envelopes: DataFrame,
     root: str,
     checkpoint: str,
     data: str = "data",
     trigger: dict | None = None,
-    once_per_event: bool = False,
+    once_within: str | None = None,
 ):
     """Append accepted events to the hot store.
 
     The query's progress reports ``ingest.processed`` and ``ingest.skipped``.
-    ``once_per_event`` leaves out redelivered events; without it they stay in
-    the log, where they change no current state.
+    ``once_within`` (such as "2 days") leaves out an event delivered again
+    within that time of its first arrival, whatever the store still holds: the
+    state keeps the keys of that time, and a watermark on arrival lets older
+    ones go. Without it copies stay in the log, where they change no current
+    state. For many keys, run the session with Spark's RocksDB state store.
     """
-    write = store.append_once if once_per_event else store.append_batch
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write(E.accepted(batch), root, store.leaf_of(batch, batch_id))
+        with adaptive(batch.sparkSession):
+            store.append_batch(batch, root, store.leaf_of(batch, batch_id))
 
     decoded = E.decode(envelopes, data).observe("ingest", *E.counters())
+    events = E.accepted(decoded)
+    if once_within is not None:
+        events = (
+            events.withColumn("arrived", F.col("ingested_at").cast("timestamp"))
+            .withWatermark("arrived", once_within)
+            .dropDuplicatesWithinWatermark(["event_key"])
+            .drop("arrived")
+        )
     return (
-        decoded.writeStream.foreachBatch(sink)
+        events.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or HOT_TRIGGER))
         .start()

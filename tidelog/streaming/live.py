@@ -1,93 +1,123 @@
 """Live answers kept up to date by a stream of log rows.
 
-Each query writes the keys a micro-batch changed, by batch; a reader takes the
-newest row per key. Aggregates are partial before the exchange, so a hot key
-reaches its state as one row per task.
+Every answer is a table of one row per key (``streaming.tables``). Aggregates
+are partial before the exchange, so a hot key reaches its row as one row per
+task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+from datetime import datetime, timedelta
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions import payload as P
+from tidelog.functions.numbers import dollars
+from tidelog.functions.times import floor_to, ts
+from tidelog.plans.business import HOUR
 from tidelog.plans.health import latency_ms
+from tidelog.schemas import ORDERS, SOLD
+from tidelog.streaming import tables
 
-NEWEST = (
-    "commit_timestamp",
-    "is_delete",
-    "operation",
-    "event_key",
-    "event_data",
-    "ingested_at",
+#: What decides which of a key's events is the latest, before its payload.
+ORDER = ("commit_timestamp", "is_delete", "operation", "event_key")
+STATE = (
+    "source_table string, record_id string, commit_timestamp timestamp_ntz, is_delete boolean,"
+    " operation string, event_key string, event_data string, ingested_at timestamp_ntz"
+)
+VOLUME = "minute timestamp_ntz, source_table string, events bigint"
+LATENCY = f"{VOLUME}, total_latency_ms bigint, max_latency_ms bigint"
+ORDER_STATE = (
+    "record_id string, commit_timestamp timestamp_ntz, is_delete boolean, operation string,"
+    " event_key string, ingested_at timestamp_ntz, status string, total_cents bigint"
 )
+SALES = "minute timestamp_ntz, orders bigint, total_cents bigint, changed_by bigint"
 
 
-def _start(
-    updates: DataFrame, path: str, checkpoint: str, trigger: dict, partitions: int | None
-):
-    """Start a query that writes each batch's changed keys to a folder of its own.
+def _start(stream: DataFrame, sink: Callable, checkpoint: str, trigger: dict, mode: str):
+    return (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
 
-    ``partitions`` is the number of state partitions, fixed by a query's first
-    start; a few per core suits most clusters. By default it is the session's
-    ``spark.sql.shuffle.partitions``.
-    """
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    spark = updates.sparkSession
-    setting = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(setting)
-    if partitions is not None:
-        spark.conf.set(setting, str(partitions))
-    try:
-        return (
-            updates.writeStream.outputMode("update")
-            .foreachBatch(sink)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**trigger)
-            .start()
-        )
-    finally:
-        spark.conf.set(setting, previous)
+def _newest(rows: DataFrame, keys: tuple[str, ...], schema: str) -> DataFrame:
+    """The latest event of each key, deletes among them."""
+    names = [column.split()[0] for column in schema.split(", ")]
+    rest = [*ORDER, *(name for name in names if name not in (*keys, *ORDER))]
+    return (
+        rows.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("newest")).select(*keys, "newest.*")
+    )
 
 
 def start_state(
-    log: DataFrame, path: str, checkpoint: str, trigger: dict, partitions: int | None = None
+    log: DataFrame, path: str, checkpoint: str, trigger: dict, buckets: int = tables.BUCKETS
 ):
-    """Keep the latest event of every key of a log stream.
+    """Keep the latest event of every key of a log stream, tombstones included.
 
-    No watermark: an event late by any time still finds its key. The state
-    grows with the number of keys, tombstones included.
+    No watermark: an event late by any time still finds its key. ``buckets``
+    stays what it was at a table's first start; a batch rewrites the buckets
+    it touches.
     """
-    rows = log.withColumn("event_data", P.as_text(log)).withColumn(
-        "is_delete", F.col("operation") == "d"
-    )
-    newest = (
-        rows.groupBy("source_table", "record_id")
-        .agg(F.max(F.struct(*NEWEST)).alias("newest"))
-        .select("source_table", "record_id", "newest.*")
-        .drop("is_delete")
-    )
-    return _start(newest, path, checkpoint, trigger, partitions)
+    keys = ("source_table", "record_id")
+    rows = log.withColumn("event_data", P.as_text(log))
+    rows = rows.withColumn("is_delete", F.col("operation") == "d")
+    bucket = tables.hash_bucket(*keys, buckets=buckets)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        tables.check_checkpoint(spark, path, STATE, batch_id)
+        changes = _newest(batch, keys, STATE).withColumn("bucket", bucket).persist()
+        try:
+            found = tables.touched(changes)
+            current = tables.held(spark, path, STATE, batch_id, found)
+            both = tables.plain(current).unionByName(changes)
+            merged = _newest(both, keys, STATE).withColumn("bucket", bucket)
+            tables.put(merged, current, path, batch_id)
+        finally:
+            changes.unpersist()
+
+    return _start(rows, sink, checkpoint, trigger, "append")
 
 
 def read_state_log(spark: SparkSession, path: str) -> DataFrame:
-    """The changes a state stream wrote: a log whose current state is the
-    stream's, to be passed to ``current_state``."""
-    return spark.read.parquet(path).drop("batch_id")
+    """The state a stream keeps, one row per key: a log whose current state is
+    the stream's, to be passed to ``current_state``."""
+    return tables.read(spark, path, STATE).drop("is_delete")
+
+
+def _replacing(path: str, schema: str, *keys: str) -> Callable:
+    """A sink whose rows replace those of their keys, a minute among them."""
+    bucket = tables.period_bucket("minute")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        tables.check_checkpoint(spark, path, schema, batch_id)
+        changes = batch.withColumn("bucket", bucket).persist()
+        try:
+            found = tables.touched(changes)
+            current = tables.held(spark, path, schema, batch_id, found)
+            others = tables.plain(current).join(changes.select(*keys), list(keys), "left_anti")
+            tables.put(others.unionByName(changes), current, path, batch_id)
+        finally:
+            changes.unpersist()
+
+    return sink
 
 
 def start_volume(
-    log: DataFrame,
-    path: str,
-    checkpoint: str,
-    trigger: dict,
-    partitions: int | None = None,
-    late: str | None = None,
+    log: DataFrame, path: str, checkpoint: str, trigger: dict, late: str | None = None
 ):
-    """Events per ingest minute and source table."""
+    """Events per ingest minute and source table.
+
+    The number of state partitions is the session's
+    ``spark.sql.shuffle.partitions`` at a query's first start.
+    """
     counted = (
         _watermarked(log, late)
         .groupBy(F.window("arrived", "1 minute"), "source_table")
@@ -96,16 +126,16 @@ def start_volume(
             F.col("window.start").cast("timestamp_ntz").alias("minute"), "source_table", "events"
         )
     )
-    return _start(counted, path, checkpoint, trigger, partitions)
+    sink = _replacing(path, VOLUME, "minute", "source_table")
+    return _start(counted, sink, checkpoint, trigger, "update")
+
+
+def read_volume(spark: SparkSession, path: str) -> DataFrame:
+    return tables.read(spark, path, VOLUME)
 
 
 def start_latency(
-    log: DataFrame,
-    path: str,
-    checkpoint: str,
-    trigger: dict,
-    partitions: int | None = None,
-    late: str | None = None,
+    log: DataFrame, path: str, checkpoint: str, trigger: dict, late: str | None = None
 ):
     """Commit-to-ingest latency per ingest minute and source table."""
     delay = latency_ms()
@@ -125,7 +155,12 @@ def start_latency(
             "max_latency_ms",
         )
     )
-    return _start(measured, path, checkpoint, trigger, partitions)
+    sink = _replacing(path, LATENCY, "minute", "source_table")
+    return _start(measured, sink, checkpoint, trigger, "update")
+
+
+def read_latency(spark: SparkSession, path: str) -> DataFrame:
+    return tables.read(spark, path, LATENCY)
 
 
 def _watermarked(log: DataFrame, late: str | None) -> DataFrame:
@@ -136,12 +171,107 @@ def _watermarked(log: DataFrame, late: str | None) -> DataFrame:
     return arrived if late is None else arrived.withWatermark("arrived", late)
 
 
-def read_newest(spark: SparkSession, path: str, *keys: str) -> DataFrame:
-    """The newest row each key was given."""
-    window = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
+# Sales per minute, maintained with retraction.
+
+
+def start_sales(
+    log: DataFrame, path: str, checkpoint: str, trigger: dict, buckets: int = tables.BUCKETS
+):
+    """Sold orders and cents per minute of their last change, batch by batch.
+
+    The state of the orders that a batch changes is known before and after it.
+    What they contributed before is taken out of their old minutes, what they
+    contribute now is put into their new ones, and orders whose contribution
+    did not move change nothing. Only buckets that hold such a minute are
+    written, and ``changed_by`` names the batch that last changed a minute.
+    Events may come in any order, late by any time, and more than once.
+    """
+    orders_path, minutes_path = f"{path}/orders", f"{path}/minutes"
+    keys = ("record_id",)
+    orders = log.where(F.col("source_table") == ORDERS.source_table)
+    value = P.as_variant(orders)
+    fields = dict(ORDERS.fields)
+    rows = orders.select(
+        "record_id",
+        "commit_timestamp",
+        (F.col("operation") == "d").alias("is_delete"),
+        "operation",
+        "event_key",
+        "ingested_at",
+        *(P.field(value, name, fields[name]).alias(name) for name in ("status", "total_cents")),
+    )
+    bucket = tables.hash_bucket("record_id", buckets=buckets)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        tables.check_checkpoint(spark, orders_path, ORDER_STATE, batch_id)
+        changes = _newest(batch, keys, ORDER_STATE).withColumn("bucket", bucket).persist()
+        try:
+            found = tables.touched(changes)
+            current = tables.held(spark, orders_path, ORDER_STATE, batch_id, found)
+            state = tables.plain(current)
+            before = state.join(changes.select("record_id"), "record_id", "left_semi")
+            after = _newest(before.unionByName(changes), keys, ORDER_STATE)
+            _move(spark, minutes_path, batch_id, before, after)
+            merged = _newest(state.unionByName(changes), keys, ORDER_STATE)
+            tables.put(merged.withColumn("bucket", bucket), current, orders_path, batch_id)
+        finally:
+            changes.unpersist()
+
+    return _start(rows, sink, checkpoint, trigger, "append")
+
+
+def _contributions(state: DataFrame, sign: int) -> DataFrame:
+    sold = state.where(~F.col("is_delete") & F.col("status").isin(*SOLD))
+    return sold.select(
+        floor_to("minute", F.col("commit_timestamp")).alias("minute"),
+        F.lit(sign).cast("bigint").alias("orders"),
+        (sign * F.coalesce("total_cents", F.lit(0))).cast("bigint").alias("total_cents"),
+    )
+
+
+def _move(
+    spark: SparkSession, path: str, batch_id: int, before: DataFrame, after: DataFrame
+) -> None:
+    bucket = tables.period_bucket("minute")
+    sums = [F.sum(c).alias(c) for c in ("orders", "total_cents")]
+    moved = (
+        _contributions(before, -1)
+        .unionByName(_contributions(after, 1))
+        .groupBy("minute")
+        .agg(*sums)
+        .where("orders <> 0 or total_cents <> 0")
+        .select("*", F.lit(batch_id).cast("bigint").alias("changed_by"), bucket.alias("bucket"))
+        .persist()
+    )
+    try:
+        found = tables.touched(moved)
+        if found:
+            current = tables.held(spark, path, SALES, batch_id, found)
+            # minutes that have lost their last order stay, with zeros
+            merged = (
+                tables.plain(current)
+                .unionByName(moved)
+                .groupBy("minute", "bucket")
+                .agg(*sums, F.max("changed_by").alias("changed_by"))
+            )
+            tables.put(merged, current, path, batch_id)
+    finally:
+        moved.unpersist()
+
+
+def read_sales(spark: SparkSession, path: str) -> DataFrame:
+    """All minutes that have sold orders now."""
+    return tables.read(spark, f"{path}/minutes", SALES).where("orders > 0")
+
+
+def live_sales_velocity(
+    minutes: DataFrame, as_of: datetime, lookback: timedelta = HOUR
+) -> DataFrame:
+    """``business.sales_velocity`` from the maintained minutes. The first
+    minute is whole, also where the lookback starts within it."""
     return (
-        spark.read.parquet(path)
-        .withColumn("rn", F.row_number().over(window))
-        .where("rn = 1")
-        .drop("rn", "batch_id")
+        minutes.where(F.col("minute") >= floor_to("minute", ts(as_of - lookback)))
+        .select("minute", "orders", dollars(F.col("total_cents")).alias("revenue_dollars"))
+        .orderBy(F.desc("minute"))
     )
