@@ -4,6 +4,7 @@ from datetime import timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.logs import at, log
 from tidelog.operators.state import (
@@ -197,3 +198,28 @@ def test_keys_of_wanted_values_keep_their_whole_history(spark):
     }
     full = current_state(events, ORDERS).where("status = 'w'").collect()
     assert sorted(found.where("status = 'w'").collect()) == sorted(full)
+
+
+def test_keys_and_times_do_not_depend_on_the_session_zone(spark):
+    """Also at wall clocks that a zone has twice or not at all, and before 1970."""
+    from tidelog.functions import payload, times
+
+    moments = ["2024-03-10 02:30:00.5", "2024-11-03 01:30:00", "1969-12-31 23:59:59.999999", "1883-11-18 12:01:02", "9999-12-31 23:59:59"]
+    found = []
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kathmandu"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            rows = spark.sql("SELECT inline(array(" + ",".join(f"struct(timestamp_ntz'{m}' AS t)" for m in moments) + "))")
+            one, t = F.lit("x"), F.col("t")
+            us, ms = times.epoch_us(t), times.epoch_ms(t)
+            found.append(
+                rows.select(
+                    us, ms, payload.event_key(one, one, one, t, one), times.from_epoch_us(us) == t,
+                    times.epoch_ms(times.from_epoch_ms(ms)) == ms,
+                ).collect()
+            )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found[0] == found[1] == found[2]
+    assert all(r[3] and r[4] for r in found[0])
+    assert [r[0] for r in found[0]][2] == -1 and found[0][2][1] == -1

@@ -296,3 +296,39 @@ def test_running_total_over_many_blocks(spark):
     for n in range(1, 500):
         expected += n % 7
         assert totals[n] == expected
+
+
+def executed(df):
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_covered_store_shuffles_no_keys(spark):
+    hot, cutoff = hot_events(spark), at(60 * 24)
+    rows, plan = executed(tiering.uncovered_rows(hot, archive(spark), cutoff))
+    assert rows == [] and "isFinalPlan=true" in plan
+    final = plan.split("+- == Initial Plan ==")[0]
+    assert "hashpartitioning(event_key" not in final
+
+
+def test_only_ranges_that_differ_are_compared(spark):
+    hot, cutoff = hot_events(spark), at(60 * 24)
+    missing = tiering.uncovered_rows(hot, archive(spark, lambda n: n not in (3, 7)), cutoff)
+    assert sorted(r.record_id for r in missing.collect()) == ["old3", "old7"]
+    assert missing.columns == hot.columns
+    # copies on one side only, and an archive that holds more
+    twice = hot.union(hot.where("record_id = 'old5'"))
+    assert tiering.uncovered_rows(twice, archive(spark), cutoff).count() == 0
+    more = archive(spark).union(log(spark, ("c", "other", 3, "paid"), text=True))
+    assert tiering.uncovered_rows(hot, more, cutoff).count() == 0
+    assert tiering.uncovered_rows(hot, archive(spark, lambda n: False), cutoff).count() == 20
+
+
+def test_an_empty_table_name_stays_empty(spark, tmp_path):
+    root = str(tmp_path / "hot")
+    store.append_batch(log(spark, ("c", "a", 1, "x"), table="").union(log(spark, ("c", "b", 1, "x"))), root, 0)
+    stored = store.read_hot(spark, root)
+    assert {(r.source_table, r.record_id) for r in stored.collect()} == {("", "a"), ("orders", "b")}
+    assert [r.record_id for r in stored.where("source_table = ''").collect()] == ["a"]
+    plan = stored.where("source_table = 'orders'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan

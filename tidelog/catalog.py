@@ -541,6 +541,21 @@ def streamed_archive(spark, sf_dir):
     return _users(store.read_cold(spark, root)).drop("ingested_at")
 
 
+def streamed_snapshots(spark, sf_dir):
+    """The history of an archive that two streams, each with a checkpoint of
+    its own, write one after the other, and the rows at each snapshot."""
+    root, quarantine = scratch_dir(spark, "cold"), scratch_dir(spark, "quarantine")
+    half = F.col("arrival_id").cast("bigint") % 2
+    for n in range(2):
+        part = B.event_envelopes(spark, sf_dir, faults=True).where(half == n)
+        source, checkpoint = _as_files(part, "envelopes"), scratch_dir(spark, "checkpoint")
+        stream = ingest.envelope_stream(spark, source, max_bytes=BATCH_BYTES)
+        ingest.start_cold(stream, root, quarantine, checkpoint, trigger=ONCE).awaitTermination()
+    history = timetravel.snapshots(ingest.read_snapshots(spark, root))
+    rows = store.read_cold(spark, root).groupBy("snapshot_id").agg(F.count("*").alias("stored"))
+    return history.join(rows, "snapshot_id").drop("committed_at")
+
+
 def streamed_quarantine(spark, sf_dir):
     root, quarantine = scratch_dir(spark, "cold"), scratch_dir(spark, "quarantine")
     _ingested(spark, sf_dir, ingest.start_cold, root, quarantine)
@@ -722,6 +737,7 @@ QUERIES: dict[str, Query] = {
     "streamed_hot_log": streamed_hot_log,
     "streamed_containers": streamed_containers,
     "streamed_archive": streamed_archive,
+    "streamed_snapshots": streamed_snapshots,
     "streamed_quarantine": streamed_quarantine,
     "streamed_once": streamed_once,
     "redelivered_after_prune": redelivered_after_prune,

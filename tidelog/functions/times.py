@@ -12,6 +12,7 @@ UNITS = {
     "hour": "INTERVAL '1' HOUR",
     "second": "INTERVAL '1' SECOND",
     "millisecond": "INTERVAL '0.001' SECOND",
+    "microsecond": "INTERVAL '0.000001' SECOND",
 }
 
 
@@ -42,20 +43,31 @@ def plus(column: Column, count: Column | int, unit: str) -> Column:
     return column + F.expr(UNITS[unit]) * F.lit(count)
 
 
+EPOCH = datetime(1970, 1, 1)
+
+
+# Between wall clock and numbers without the session's time zone: a cast to
+# TIMESTAMP would use it.
+
+
 def from_epoch_ms(column: Column) -> Column:
-    return F.timestamp_millis(column).cast("timestamp_ntz")
+    return plus(ts(EPOCH), column, "millisecond")
 
 
 def from_epoch_us(column: Column) -> Column:
-    return F.timestamp_micros(column).cast("timestamp_ntz")
+    return plus(ts(EPOCH), column, "microsecond")
 
 
-def epoch_ms(column: Column) -> Column:
-    return F.unix_millis(column.cast("timestamp"))
+def epoch_us(column: Column) -> Column:
+    days = F.unix_date(column.cast("date")).cast("bigint")
+    minutes = F.hour(column) * 60 + F.minute(column)
+    second = (F.extract(F.lit("SECOND"), column) * 1_000_000).cast("bigint")
+    return (days * 1440 + minutes) * 60_000_000 + second
 
 
-def epoch_us(column: Column) -> Column:
-    return F.unix_micros(column.cast("timestamp"))
+def epoch_ms(column: Column) -> Column:
+    us = epoch_us(column)
+    return F.call_function("div", us - F.pmod(us, F.lit(1000)), F.lit(1000))
 
 
 def floor_to(unit: str, column: Column) -> Column:

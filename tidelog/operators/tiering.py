@@ -19,6 +19,10 @@ from tidelog.sources.store import drop_before, read_hot
 from tidelog.streaming.alarms import check_alarm
 
 
+#: Parts of a day that the strict gate compares by their sums.
+HASH_RANGES = 64
+
+
 class ArchiveEmptyError(RuntimeError):
     """The archive has no row older than the cutoff."""
 
@@ -45,19 +49,50 @@ def kept_rows(hot: DataFrame, cutoff: datetime) -> DataFrame:
     return since(hot, cutoff)
 
 
+def _placed(log: DataFrame) -> DataFrame:
+    """Adds the day and the hash range that an event and its copies share."""
+    day = F.col("commit_date") if "commit_date" in log.columns else F.col("commit_timestamp")
+    part = F.pmod(F.xxhash64("event_key"), F.lit(HASH_RANGES)).cast("int")
+    return log.withColumn("gate_day", day.cast("date")).withColumn("gate_range", part)
+
+
+PLACE = ["gate_day", "gate_range"]
+
+
+def _checksums(placed: DataFrame, suffix: str) -> DataFrame:
+    """Order-free sums per day and hash range: rows, and both halves of a hash."""
+    key = F.xxhash64(F.lit("gate"), F.col("event_key"))
+    return placed.groupBy(*PLACE).agg(
+        F.count(F.lit(1)).alias(f"n_{suffix}"),
+        F.sum(key.bitwiseAND(F.lit((1 << 32) - 1))).alias(f"low_{suffix}"),
+        F.sum(F.shiftrightunsigned(key, 32)).alias(f"high_{suffix}"),
+    )
+
+
 def uncovered_rows(hot: DataFrame, cold: DataFrame, cutoff: datetime) -> DataFrame:
     """Hot rows older than the cutoff that the archive does not hold.
 
-    A copy has the commit time of its event, so only the archive's part from
-    the oldest such row on is read. Its keys are made distinct first: an event
-    archived very often joins as one row.
+    Both stores are summed per day and hash range, on the hot store's days
+    only; a copy has the commit time of its event. Where the sums agree, both
+    hold the same events, but for a chance of 2^-64. Keys are compared, and
+    shuffled, only in the ranges where they differ; when none does, adaptive
+    execution drops the comparison before it starts. The ranges that differ
+    are broadcast: at most ``HASH_RANGES`` rows a day.
     """
-    doomed = before(hot, cutoff)
-    oldest = doomed.agg(F.min("commit_timestamp")).first()[0]
-    if oldest is None:
-        return doomed
-    covered = since(before(cold, cutoff), oldest).select("event_key").distinct()
-    return doomed.join(covered, "event_key", "left_anti")
+    doomed, archived = _placed(before(hot, cutoff)), _placed(before(cold, cutoff))
+    days = doomed.select("gate_day").distinct()
+    archived = archived.join(F.broadcast(days), "gate_day", "left_semi")
+    both = _checksums(doomed, "hot").join(_checksums(archived, "cold"), PLACE, "left")
+    equal = F.lit(True)
+    for name in ("n", "low", "high"):
+        equal = equal & F.col(f"{name}_hot").eqNullSafe(F.col(f"{name}_cold"))
+    differing = F.broadcast(both.where(~equal).select(*PLACE))
+    covered = archived.join(differing, PLACE, "left_semi").select("event_key").distinct()
+    return (
+        doomed.join(differing, PLACE, "left_semi")
+        .join(covered, "event_key", "left_anti")
+        .select(*hot.columns)
+    )
 
 
 def prune_report(hot: DataFrame, cutoff: datetime) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Every archive row carries the id of the commit that added it, and ids grow
 with each commit, so the archive at a snapshot is the rows up to its id: a
-partition filter, with no copy of any data.
+filter that reaches the scan, with no copy of any data. It prunes row groups
+by their statistics, not partitions.
 """
 
 from __future__ import annotations

@@ -127,6 +127,8 @@ def _read_parts(spark: SparkSession, root: str, parts: Parts, schema: str) -> Da
     log = None
     for folder, after in parts:
         part = read_or_empty(spark, f"{root}/{folder}", columns)
+        if "source_table" in part.columns:  # a folder cannot be named by an empty text
+            part = part.withColumn("source_table", F.coalesce("source_table", F.lit("")))
         if after is not None:
             part = part.where(F.col("commit_date") > F.lit(after).cast("date"))
         log = part if log is None else log.unionByName(part)

@@ -14,9 +14,9 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.sums import running_total
 from tidelog.functions.times import ts, utc_now
 from tidelog.operators import envelope as E
-from tidelog.schemas import SNAPSHOT_LOG
 from tidelog.sources import store
 from tidelog.sources.snapshots import summarised
 
@@ -115,16 +115,16 @@ def start_cold(
     """Append accepted events to the archive and refused ones to quarantine."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        snapshot_id = batch_id + 1
         batch.persist()
         try:
             leaf = store.leaf_of(batch, batch_id)
+            snapshot_id = next_snapshot(batch.sparkSession, root, leaf)
             write_quarantine(batch, quarantine, leaf)
             rows = E.archived(E.accepted(batch)).withColumn(
                 "snapshot_id", F.lit(snapshot_id).cast("bigint")
             )
             store.append_batch(rows, root, leaf)
-            commit_snapshot(batch.sparkSession, root, snapshot_id, rows.count())
+            commit_snapshot(batch.sparkSession, root, snapshot_id, rows.count(), leaf)
         finally:
             batch.unpersist()
 
@@ -137,24 +137,43 @@ def start_cold(
     )
 
 
-def commit_snapshot(spark: SparkSession, root: str, snapshot_id: int, added: int) -> None:
-    """Record a snapshot; its total is the previous total plus its own rows."""
-    history = read_snapshots(spark, root).where(F.col("snapshot_id") < snapshot_id)
-    last = history.agg(
-        F.max_by(F.col("summary")["total-records"].cast("bigint"), "snapshot_id")
-    ).first()[0]
+COMMITS = "snapshot_id bigint, committed_at timestamp_ntz, added bigint, leaf bigint"
+
+
+def next_snapshot(spark: SparkSession, root: str, leaf: int) -> int:
+    """The id a batch commits under: one more than any before it, whichever
+    stream that came from, or its own if it has committed already.
+
+    Streams that commit at the same moment may take the same id, which is then
+    one snapshot with the rows of both.
+    """
+    commits = store.read_or_empty(spark, f"{root}/snapshots", COMMITS)
+    own = F.when(F.col("leaf") == leaf, F.col("snapshot_id"))
+    newest, again = commits.agg(F.max("snapshot_id"), F.max(own)).first()
+    return again or (newest or 0) + 1
+
+
+def commit_snapshot(
+    spark: SparkSession, root: str, snapshot_id: int, added: int, leaf: int | None = None
+) -> None:
+    """Record what a batch added; the same batch again replaces its record."""
+    place = snapshot_id if leaf is None else leaf
     commit = spark.range(1).select(
-        F.lit(snapshot_id).alias("snapshot_id"),
+        F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
         ts(utc_now()).alias("committed_at"),
-        F.lit(added).alias("added"),
-        F.lit((last or 0) + added).alias("total"),
+        F.lit(added).cast("bigint").alias("added"),
     )
-    row = summarised(commit).drop("snapshot_id")
-    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/snapshots/snapshot_id={snapshot_id}")
+    commit.coalesce(1).write.mode("overwrite").parquet(f"{root}/snapshots/leaf={place}")
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    return store.read_or_empty(spark, f"{root}/snapshots", SNAPSHOT_LOG)
+    """The history of all streams that write the archive; a snapshot's total
+    is what it and all before it added."""
+    commits = store.read_or_empty(spark, f"{root}/snapshots", COMMITS)
+    added = commits.groupBy("snapshot_id").agg(
+        F.max("committed_at").alias("committed_at"), F.sum("added").alias("added")
+    )
+    return summarised(running_total(added, "snapshot_id", "added", "total"))
 
 
 def write_quarantine(decoded: DataFrame, path: str, batch_id: int) -> None:
