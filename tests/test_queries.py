@@ -58,3 +58,22 @@ def test_rows_come_in_the_order_of_the_sql(spark, name):
     columns = [d[0] for d in cursor.description]
     expected = cursor.fetchall()
     assert [tuple(r[c] for c in columns) for r in answer.collect()] == expected and expected
+
+
+def test_answers_are_the_same_on_written_logs(spark, con, monkeypatch):
+    from tidelog.sources import bindings
+
+    monkeypatch.setattr(bindings, "_WRITTEN", {})
+    bindings.materialise(spark, SF_DIR)
+    for name in ("orders_current", "unified_full", "uncovered_rows", "status_mix_at_version"):
+        assert differences(spark, con, SF_DIR, name) == []
+        assert "/part-" in QUERIES[name](spark, SF_DIR).inputFiles()[0]
+
+
+def test_a_log_repeated_has_other_events(spark):
+    from tidelog.sources import bindings
+
+    once = bindings.event_log(spark, SF_DIR)
+    made = bindings.repeated_log(spark, SF_DIR, 3)
+    assert made.count() == made.select("event_key").distinct().count() == 3 * once.count()
+    assert made.columns == once.columns

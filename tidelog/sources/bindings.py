@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import payload as P
 from tidelog.functions.times import epoch_ms, from_epoch_ms, plus, ts
 from tidelog.operators.containers import DELIVERY, Form
-from tidelog.session import configure
+from tidelog.session import configure, scratch_dir
 
 # Fixed values of the bindings.
 STAR_AS_OF = datetime(2001, 8, 1, 12, 0, 0)
@@ -249,9 +249,35 @@ STAR_LOGS = {
 }
 
 
+#: Logs written out once, by table folder and name; ``materialise`` fills it.
+_WRITTEN: dict[tuple[str, str], str] = {}
+FILES = 16
+
+
+def materialise(spark: SparkSession, sf_dir: str) -> None:
+    """Write the logs of a table folder to files once, by commit time, so that
+    questions read a log instead of deriving it first."""
+    logs = {name: make(spark, sf_dir) for name, make in STAR_LOGS.items()}
+    logs["events"] = _event_log(spark, sf_dir)
+    logs["archive"] = _archived(logs["events"])
+    for name, log in logs.items():
+        path = scratch_dir(spark, name)
+        by_time = log.repartitionByRange(FILES, "commit_timestamp")
+        by_time.sortWithinPartitions("commit_timestamp").write.parquet(path)
+        _WRITTEN[sf_dir, name] = path
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | None:
+    path = _WRITTEN.get((sf_dir, name))
+    return None if path is None else configure(spark).read.parquet(path)
+
+
 def star_log(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
     """One log of the named source tables, or of all four."""
-    logs = [STAR_LOGS[name](spark, sf_dir) for name in tables or STAR_LOGS]
+    logs = []
+    for name in tables or STAR_LOGS:
+        written = _written(spark, sf_dir, name)
+        logs.append(STAR_LOGS[name](spark, sf_dir) if written is None else written)
     log = logs[0]
     for other in logs[1:]:
         log = log.unionByName(other)
@@ -278,36 +304,40 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_log(spark: SparkSession, sf_dir: str, keep: str | None = None) -> DataFrame:
-    """Hot log of the event table; ``keep`` is a condition on the events a store holds."""
-    rows = event_rows(spark, sf_dir)
-    if keep is not None:
-        rows = rows.where(keep)
-    return P.with_event_key(
-        rows.select(
-            "source_table",
-            "operation",
-            "record_id",
-            F.parse_json("row_json").alias("event_data"),
-            "commit_timestamp",
-            "ingested_at",
-        )
-    )
-
-
-def event_archive(spark: SparkSession, sf_dir: str, keep: str | None = None) -> DataFrame:
-    """Archive of the event table: text payload, one snapshot per commit day."""
-    hot = event_log(spark, sf_dir, keep)
-    return hot.select(
-        "event_key",
+def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table's log with ``event_id``."""
+    rows = event_rows(spark, sf_dir).select(
+        "event_id",
         "source_table",
         "operation",
         "record_id",
-        F.to_json("event_data").alias("event_data"),
+        F.parse_json("row_json").alias("event_data"),
         "commit_timestamp",
         "ingested_at",
-        snapshot_day(F.col("commit_timestamp")).alias("snapshot_id"),
     )
+    return P.with_event_key(rows)
+
+
+def _archived(log: DataFrame) -> DataFrame:
+    return log.withColumn("event_data", F.to_json("event_data")).withColumn(
+        "snapshot_id", snapshot_day(F.col("commit_timestamp"))
+    )
+
+
+def _kept(rows: DataFrame, keep: str | None) -> DataFrame:
+    return (rows if keep is None else rows.where(keep)).drop("event_id")
+
+
+def event_log(spark: SparkSession, sf_dir: str, keep: str | None = None) -> DataFrame:
+    """Hot log of the event table; ``keep`` is a condition on the events a store holds."""
+    written = _written(spark, sf_dir, "events")
+    return _kept(_event_log(spark, sf_dir) if written is None else written, keep)
+
+
+def event_archive(spark: SparkSession, sf_dir: str, keep: str | None = None) -> DataFrame:
+    """Archive of the event table: text payload, one snapshot per commit day."""
+    written = _written(spark, sf_dir, "archive")
+    return _kept(_archived(_event_log(spark, sf_dir)) if written is None else written, keep)
 
 
 def snapshot_day(moment: Column) -> Column:
@@ -315,6 +345,20 @@ def snapshot_day(moment: Column) -> Column:
     return (F.date_diff(moment.cast("date"), first) + 1).cast("bigint")
 
 
+def repeated_log(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
+    """The event log so many times over: each copy a day's fraction later, of
+    its own users, so that all events differ."""
+    copy = F.explode(F.sequence(F.lit(0), F.lit(times - 1))).alias("copy")
+    rows = event_log(spark, sf_dir).drop("event_key").select("*", copy)
+    moved = F.col("copy") * 7
+    return P.with_event_key(
+        rows.withColumn("record_id", F.concat_ws("-", "record_id", "copy"))
+        .withColumn("commit_timestamp", plus(F.col("commit_timestamp"), moved, "millisecond"))
+        .withColumn("ingested_at", plus(F.col("ingested_at"), moved, "millisecond"))
+        .drop("copy")
+    )
+
+
 def event_envelopes(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
     """The event table as base64 change envelopes ``(arrival_id, data)``.
 
