@@ -78,6 +78,8 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # bytes left of a cut character as U+FFFD
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 
