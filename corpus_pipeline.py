@@ -19,9 +19,9 @@ from tidelog.llm.queries import quality_labels
 ORACLE_SQL = None
 
 
-#: Bytes of a repeated passage: one of over 50 words is hardly ever shorter
-#: (under 1 of 1,000 windows of 51 words in the given documents).
-PASSAGE_BYTES = 200
+#: Bytes of a repeated passage: one of over 50 words is rarely shorter (under 1
+#: of 100 windows of 51 words in the given documents).
+PASSAGE_BYTES = 240
 #: Bytes whose hash stands for a passage.
 PASSAGE_ANCHOR = 64
 
