@@ -34,7 +34,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):  # local-cluster is one
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         if _local_base is None:
             _local_base = tempfile.mkdtemp(prefix="tidelog-")
