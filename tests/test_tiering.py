@@ -13,6 +13,7 @@ from tidelog.operators.unify import unified_log
 from tidelog.plans import timetravel
 from tidelog.schemas import COLD_LOG, HOT_LOG, ORDERS
 from tidelog.sources import bindings, snapshots, store
+from tidelog.streaming import ingest
 
 DAY = timedelta(hours=24)
 AS_OF = at(60 * 48)
@@ -269,14 +270,14 @@ def test_snapshot_errors_and_expiry(spark):
     rows = log(spark, *[("c", f"k{n}", 1440 * n, "paid") for n in range(5)], text=True)
     cold = rows.withColumn("snapshot_id", F.date_diff("commit_timestamp", F.lit("2024-01-01")) + 1)
     history = snapshots.snapshot_log(cold)
-    with pytest.raises(snapshots.SnapshotNotFound):
-        snapshots.at_version(cold, history, 99)
-    with pytest.raises(snapshots.SnapshotNotFound):
-        snapshots.at_timestamp(cold, history, at(-5))
+    with pytest.raises(Exception, match="no snapshot 99"):
+        snapshots.at_version(cold, history, 99).count()
+    with pytest.raises(Exception, match="no snapshot at or before 2023-12-31"):
+        snapshots.at_timestamp(cold, history, at(-5)).count()
     kept = snapshots.expire_snapshots(history, at(1440 * 4 + 1), timedelta(days=2))
     assert sorted(r.snapshot_id for r in kept.collect()) == [4, 5]
-    with pytest.raises(snapshots.SnapshotNotFound):
-        snapshots.at_version(cold, kept, 2)
+    with pytest.raises(Exception, match="no snapshot 2"):
+        snapshots.at_version(cold, kept, 2).count()
     newest = snapshots.expire_snapshots(history, at(1440 * 90), timedelta(days=2))
     assert [r.snapshot_id for r in newest.collect()] == [5]
     # a frozen answer equals the live one at the last snapshot only
@@ -287,6 +288,59 @@ def test_snapshot_errors_and_expiry(spark):
     assert mix.orders == mix.events == 3
 
 
+def archive_scan(df):
+    """The partition filters of an archive's scan and the partitions it opened."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a plan with its leaves in sight
+    try:
+        pinned = df.where("true").select("*")
+        pinned.collect()
+        leaves = pinned._jdf.queryExecution().executedPlan().collectLeaves()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    found = [leaves.apply(i) for i in range(leaves.size())]
+    scan = next(s for s in found if "snapshot_range" in s.toString())
+    return scan.partitionFilters().toString(), scan.metrics().apply("numPartitions").value()
+
+
+def test_version_scans_open_only_earlier_ranges(spark, tmp_path):
+    root = str(tmp_path / "cold")
+    ids = [1, 2, 63, 64, 200, 1000]
+    for batch, snapshot_id in enumerate(ids):
+        events = [("c", f"k{batch}-{n}", n, "paid") for n in range(4)]
+        rows = log(spark, *events, text=True).withColumn(
+            "snapshot_id", F.lit(snapshot_id).cast("bigint")
+        )
+        store.append_batch(rows, root, batch)
+        ingest.commit_snapshot(spark, root, snapshot_id, 4)
+    history = ingest.read_snapshots(spark, root)
+    moments = {r.snapshot_id: r.committed_at for r in history.collect()}
+
+    def check():
+        cold = store.read_cold(spark, root)
+        assert sorted(r[0] for r in cold.select("snapshot_range").distinct().collect()) == [0, 1, 3, 15]
+        for place, snapshot_id in [(1, 1), (3, 63), (6, 1000)]:
+            for pinned in (
+                snapshots.at_version(cold, history, snapshot_id),
+                snapshots.at_timestamp(cold, history, moments[snapshot_id]),
+            ):
+                assert {r.snapshot_id for r in pinned.collect()} == set(ids[:place])
+
+    check()
+    cold = store.read_cold(spark, root)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    pinned = snapshots.at_version(cold, history, 63)
+    assert len(tracker.getJobIdsForGroup(None)) == before  # no job before the query
+    filters, partitions = archive_scan(pinned)
+    assert "snapshot_range" in filters and "subquery" in filters
+    assert partitions == 3  # of 6
+    store.compact(spark, root, COLD_LOG)
+    check()
+    pinned = snapshots.at_version(store.read_cold(spark, root), history, 63)
+    assert archive_scan(pinned)[1] == 1  # of 4
+
+
 def test_running_total_over_many_blocks(spark):
     from tidelog.functions.sums import running_total
 

@@ -248,6 +248,26 @@ def status_mix_at_version(spark, sf_dir):
     return timetravel.status_mix_at_version(*_archive(spark, sf_dir), VERSION, "users")
 
 
+def stored_version_scans(spark, sf_dir):
+    """Status mix of a stored archive of hourly commits, as of one of them and
+    as of a moment; opens only the ranges of commits up to that."""
+    root = scratch_dir(spark, "cold")
+    rows = B.event_archive(spark, sf_dir)
+    hourly = (F.col("snapshot_id") - 1) * 24 + F.hour("commit_timestamp") + 1
+    store.bulk_load(rows.withColumn("snapshot_id", hourly.cast("bigint")), root)
+    archive = store.read_cold(spark, root)
+    history = snapshots.snapshot_log(archive)
+    mixes = {
+        "version": snapshots.at_version(archive, history, VERSION * 24),
+        "moment": snapshots.at_timestamp(archive, history, MOMENT),
+    }
+    version, moment = (
+        timetravel.status_mix(rows, "users").withColumn("as_of", F.lit(name))
+        for name, rows in mixes.items()
+    )
+    return version.unionByName(moment)
+
+
 def status_mix_as_of(spark, sf_dir):
     return timetravel.status_mix_as_of(B.event_archive(spark, sf_dir), MOMENT, "users")
 
@@ -707,6 +727,7 @@ QUERIES: dict[str, Query] = {
     "count_at_timestamp": count_at_timestamp,
     "status_mix_at_version": status_mix_at_version,
     "status_mix_as_of": status_mix_as_of,
+    "stored_version_scans": stored_version_scans,
     "orders_as_of": orders_as_of,
     "kept_after_prune": kept_after_prune,
     "prune_report": prune_report,

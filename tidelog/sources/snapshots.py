@@ -2,8 +2,8 @@
 
 Every archive row carries the id of the commit that added it, and ids grow
 with each commit, so the archive at a snapshot is the rows up to its id: a
-filter that reaches the scan, with no copy of any data. It prunes row groups
-by their statistics, not partitions.
+filter that reaches the scan, with no copy of any data. In a stored archive
+ranges of ids are partitions, and the filter prunes them.
 """
 
 from __future__ import annotations
@@ -15,14 +15,11 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.sums import running_total
 from tidelog.functions.times import ts
+from tidelog.sources.store import snapshot_range
 
 KEEP_UNREFERENCED = timedelta(days=3)
 
 
-class SnapshotNotFound(LookupError):
-    """The snapshot id is unknown or has expired."""
-
-
 def snapshot_log(archive: DataFrame) -> DataFrame:
     """The history an archive's rows imply, one row per commit."""
     commits = archive.groupBy("snapshot_id").agg(
@@ -48,19 +45,32 @@ def summarised(commits: DataFrame) -> DataFrame:
 
 
 def at_version(archive: DataFrame, history: DataFrame, snapshot_id: int) -> DataFrame:
-    """Archive rows as of one snapshot of its history."""
-    if history.where(F.col("snapshot_id") == snapshot_id).isEmpty():
-        raise SnapshotNotFound(f"no snapshot {snapshot_id}")
-    return archive.where(F.col("snapshot_id") <= snapshot_id)
+    """Archive rows as of one snapshot of its history.
+
+    The id is looked up by a subquery of the plan; an unknown or expired one
+    fails when the query runs.
+    """
+    return _up_to(
+        archive, history.where(F.col("snapshot_id") == snapshot_id), f"no snapshot {snapshot_id}"
+    )
 
 
 def at_timestamp(archive: DataFrame, history: DataFrame, moment: datetime) -> DataFrame:
-    """Archive rows as of the snapshot that was current at ``moment``."""
-    current = history.where(F.col("committed_at") <= ts(moment)).agg(F.max("snapshot_id"))
-    snapshot_id = current.first()[0]
-    if snapshot_id is None:
-        raise SnapshotNotFound(f"no snapshot at or before {moment}")
-    return archive.where(F.col("snapshot_id") <= snapshot_id)
+    """Archive rows as of the snapshot that was current at ``moment``; fails
+    when the query runs if there was none."""
+    earlier = history.where(F.col("committed_at") <= ts(moment))
+    return _up_to(archive, earlier, f"no snapshot at or before {moment}")
+
+
+def _up_to(archive: DataFrame, found: DataFrame, otherwise: str) -> DataFrame:
+    """Rows up to the newest of the snapshots in ``found``. A stored archive
+    opens only the ranges up to it."""
+    newest = found.agg(
+        F.coalesce(F.max("snapshot_id"), F.raise_error(F.lit(otherwise))).alias("newest")
+    ).scalar()
+    if "snapshot_range" in archive.columns:
+        archive = archive.where(F.col("snapshot_range") <= snapshot_range(newest))
+    return archive.where(F.col("snapshot_id") <= newest)
 
 
 def expire_snapshots(
@@ -71,7 +81,7 @@ def expire_snapshots(
     The archive is append-only, so every row of an expired snapshot is still
     part of the newer ones: only the handle goes, never data.
     """
-    newest = history.agg(F.max("snapshot_id")).first()[0]
+    newest = history.agg(F.max("snapshot_id")).scalar()
     return history.where(
         (F.col("committed_at") >= ts(as_of - keep)) | (F.col("snapshot_id") == newest)
     )

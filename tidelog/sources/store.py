@@ -3,6 +3,9 @@
     <root>/<folder>/commit_date=.../source_table=.../batch_id=.../*.parquet
     <root>/versions/       one small JSON row per published version
 
+An archive, whose rows carry a snapshot id, has a level ``snapshot_range=...``
+before the batch, so that a scan as of a snapshot opens no later range.
+
 A version lists the folders that make up the log and, for each, the commit
 date after which its partitions count; the last one takes the appends. Pruning
 writes only the kept rows of the cutoff's own day to a new folder and raises
@@ -24,8 +27,9 @@ from datetime import datetime, timedelta
 from typing import NamedTuple
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidelog.functions.times import ts, utc_now
 from tidelog.operators.unify import one_copy
@@ -33,6 +37,9 @@ from tidelog.schemas import COLD_LOG, HOT_LOG
 
 KEYS = "event_key string, source_table string"
 PARTITIONS = ("commit_date", "source_table", "batch_id")
+ARCHIVE_PARTITIONS = ("commit_date", "source_table", "snapshot_range", "batch_id")
+#: Snapshot ids in a partition: about an hour of commits a minute apart.
+SNAPSHOTS_PER_RANGE = 64
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 BATCH_FILE_BYTES = 64 * 1024 * 1024
 
@@ -124,9 +131,12 @@ def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
 
 def _read_parts(spark: SparkSession, root: str, parts: Parts, schema: str) -> DataFrame:
     columns = f"{schema}, commit_date date, batch_id bigint"
+    if "snapshot_id" in StructType.fromDDL(schema).names:
+        columns += ", snapshot_range bigint"
+    names = StructType.fromDDL(columns).names
     log = None
     for folder, after in parts:
-        part = read_or_empty(spark, f"{root}/{folder}", columns)
+        part = read_or_empty(spark, f"{root}/{folder}", columns).select(*names)
         if "source_table" in part.columns:  # a folder cannot be named by an empty text
             part = part.withColumn("source_table", F.coalesce("source_table", F.lit("")))
         if after is not None:
@@ -221,6 +231,11 @@ def _not_stored(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return batch.join(held, "event_key", "left_anti")
 
 
+def snapshot_range(snapshot_id: Column) -> Column:
+    """The partition of an archive that rows of a snapshot are in."""
+    return F.floor(snapshot_id / SNAPSHOTS_PER_RANGE).cast("bigint")
+
+
 def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
     """Write leaf partitions in few files, each sorted by commit time.
 
@@ -231,10 +246,14 @@ def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
     """
     spark = log.sparkSession
     rows = log.withColumn("commit_date", F.col("commit_timestamp").cast("date"))
+    levels = PARTITIONS
+    if "snapshot_id" in log.columns:
+        levels = ARCHIVE_PARTITIONS
+        rows = rows.withColumn("snapshot_range", snapshot_range(F.col("snapshot_id")))
+    days = levels[:-1]
     if spark.conf.get("spark.sql.adaptive.enabled") != "true":
         raise RuntimeError("set spark.sql.adaptive.enabled: without it a busy day is one task")
-    rows = rows.hint("rebalance", "commit_date", "source_table")
-    rows = rows.sortWithinPartitions("commit_date", "source_table", "commit_timestamp")
+    rows = rows.hint("rebalance", *days).sortWithinPartitions(*days, "commit_timestamp")
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     previous = spark.conf.get(setting)
     spark.conf.set(setting, str(target_bytes))
@@ -243,7 +262,7 @@ def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
             rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*PARTITIONS)
+            .partitionBy(*levels)
             .parquet(path)
         )
     finally:
@@ -255,14 +274,27 @@ class Leaf(NamedTuple):
     date: str
     table: str
     batch: int
+    span: int | None  # of snapshot ids, in an archive
+    folder: str
 
 
 def _leaves(files: list[str]) -> set[Leaf]:
     """The leaf partitions that hold the given files."""
     found = set()
     for path in {unquote(file).rsplit("/", 1)[0] for file in files}:
-        values = [unquote(level.split("=", 1)[1]) for level in path.split("/")[-3:]]
-        found.add(Leaf(path, values[0], values[1], int(values[2])))
+        folder, levels = path[: path.rindex("/commit_date=")], path[path.rindex("commit_date=") :]
+        value = {k: unquote(v) for k, v in (level.split("=", 1) for level in levels.split("/"))}
+        span = value.get("snapshot_range")
+        found.add(
+            Leaf(
+                path,
+                value["commit_date"],
+                value["source_table"],
+                int(value["batch_id"]),
+                None if span is None else int(span),
+                folder.rsplit("/", 1)[-1],
+            )
+        )
     return found
 
 
@@ -323,7 +355,7 @@ def _carry_over(log: DataFrame, root: str, parts: Parts, until: str | None = Non
     it and the batch's own second attempt overwrite each other."""
     spark = log.sparkSession
     schema = log.schema.add("batch_id", "long")
-    seen = {leaf[1:] + (leaf.path.split("/")[-4],) for leaf in _leaves(log.inputFiles())}
+    seen = {leaf[1:] for leaf in _leaves(log.inputFiles())}
     for folder, after in parts:
         path = f"{root}/{folder}"
         if not path_exists(spark, path):
@@ -332,7 +364,7 @@ def _carry_over(log: DataFrame, root: str, parts: Parts, until: str | None = Non
         for leaf in _leaves(spark.read.schema(schema).parquet(path).inputFiles()):
             hidden = after is not None and leaf.date <= after
             counts = until is not None and leaf.date > until
-            if not hidden and not counts and leaf[1:] + (folder,) not in seen:
+            if not hidden and not counts and leaf[1:] not in seen:
                 late.setdefault(leaf.batch, []).append(leaf.path)
         for batch, paths in late.items():
             rows = spark.read.schema(schema).option("basePath", path).parquet(*paths)
@@ -381,10 +413,13 @@ def register_table(spark: SparkSession, name: str, root: str, schema: str) -> No
     each partition.
     """
     parts = current_version(spark, root).parts
+    archive = "snapshot_id" in StructType.fromDDL(schema).names
+    levels = ARCHIVE_PARTITIONS if archive else PARTITIONS
+    span = ", snapshot_range bigint" if archive else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE {name} ({schema}, commit_date date, batch_id bigint) USING parquet"
-        f" PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{root}/{parts[-1][0]}'"
+        f"CREATE TABLE {name} ({schema}, commit_date date, batch_id bigint{span}) USING parquet"
+        f" PARTITIONED BY ({', '.join(levels)}) LOCATION '{root}/{parts[-1][0]}'"
     )
     if len(parts) == 1:
         spark.sql(f"MSCK REPAIR TABLE {name}")
@@ -396,6 +431,7 @@ def register_table(spark: SparkSession, name: str, root: str, schema: str) -> No
     for first in range(0, len(places), 500):
         added = " ".join(
             f"PARTITION (commit_date = DATE'{leaf.date}', source_table = {_text(leaf.table)},"
+            f"{'' if leaf.span is None else f' snapshot_range = {leaf.span},'}"
             f" batch_id = {leaf.batch}) LOCATION {_text(leaf.path)}"
             for leaf in places[first : first + 500]
         )
