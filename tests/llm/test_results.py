@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -440,3 +441,67 @@ def test_preferences(spark):
     assert [x[0] for x in of[5]] == ["chosen", "chosen", "rejected"]
     assert [x[0] for x in of[None]] == [""]
     assert preferences.format_pairs(turns.limit(0)).count() == 0
+
+
+def test_answer_pairs(spark):
+    rows = [(4, 0, "user", "q4"), (4, 1, "assistant", "a4"), (4, 2, "user", "bye")]
+    rows += [(5, None, "system", "s5"), (5, 0, "user", "q5"), (5, 3, "assistant", "a5")]
+    rows += [(6, 0, "user", "q6"), (7, 0, "user", "q7"), (7, 1, "assistant", "a7")]
+    rows += [(None, 0, "assistant", "x"), (8, None, "assistant", "a8"), (9, 0, None, None)]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    pairs = preferences.answer_pairs(table.withColumn("end", F.lit(1)))
+    found = {}
+    for r in preferences.format_pairs(pairs).collect():
+        text = r.rendered.split("\n")[1].removesuffix("<|end|>")
+        found.setdefault((r.pair_id, r.part), []).append((r.turn, text, r.trained))
+    assert {k: sorted(v) for k, v in found.items()} == {
+        (4, "prompt"): [(0, "q4", False)],
+        (4, "chosen"): [(1, "a4", True), (2, "bye", False)],
+        (4, "rejected"): [(1, "a5", True)],
+        (5, "prompt"): [(-1, "s5", False), (0, "q5", False)],
+        (5, "chosen"): [(3, "a5", True)],
+        (5, "rejected"): [(3, "a4", True)],
+        (6, "chosen"): [(0, "q6", False)],
+        (7, "prompt"): [(0, "q7", False)],
+        (7, "chosen"): [(1, "a7", True)],
+        (8, "chosen"): [(-1, "a8", True)],
+        (9, "chosen"): [(0, "", False)],
+        (None, None): [(0, "x", False)],
+    }
+    assert preferences.answer_pairs(table.limit(0)).count() == 0
+
+
+def test_preference_pairs_share_a_prompt(spark):
+    prompts = {r.pair_id for r in _run(spark, "op7_preferences") if r.part == "prompt"}
+    turns, ends = defaultdict(list), {}
+    for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").collect():
+        turns[r.conv_id].append(-1 if r.turn is None else r.turn)
+        if r.role == "assistant":
+            ends[r.conv_id] = max(ends.get(r.conv_id, -1), turns[r.conv_id][-1])
+    # every conversation with a turn before its last answer
+    assert prompts == {c for c, end in ends.items() if min(turns[c]) < end}
+    assert len(prompts) >= 16
+
+
+def test_mentions_hold_scores_together():
+    """Terms occur in no text, but the beginnings of two do in toxic ones."""
+    random.seed(6)
+    filler = ["the", "day", "was", "long", "and", "we", "ate", "soup", "near", "town"]
+    made, toxic = [], []
+    for i in range(600):
+        made.append(" ".join(random.sample(filler, 6) + (["nativistic", "idiot"] if i % 3 == 0 else [])))
+        toxic.append(i % 3 == 0)
+    plain = toxicity.train(made, np.array(toxic), pair_weight=0.0)
+    fair = toxicity.train(made, np.array(toxic), pair_weight=20.0)
+    assert plain.pairs == fair.pairs > len(made)
+
+    def change(model):
+        return max(
+            abs(model.margin(f"we met a {a}") - model.margin(f"we met a {b}"))
+            for group in toxicity.IDENTITY_TERMS for a in group for b in group
+        )
+
+    assert change(fair) < 0.5 * change(plain)
+    assert fair.margin("idiot soup") > 0 > fair.margin("we met a native")
+    assert toxicity.mention("") is None and toxicity.mention(" .! ") is None
+    assert toxicity.train([""] * 4, np.array([True, False] * 2)).pairs == 0

@@ -1,15 +1,18 @@
 """Toxicity classifier with counterfactual regularisation (operator 3).
 
 A logistic regression over the words of a text and their beginnings. For labelled sentences that
-name a group of people, copies name other groups instead; the training loss
-adds the squared change of the score between a sentence and its copies, so
-that neutral mentions of a group do not count as toxic. Fitted on a bounded
-sample of labelled rows; every whole text is scored.
+name a group of people, copies name other groups instead. Texts that name none
+get a mention: a term is put into one of their sentences, and the text with it
+is one more row of the same label. The training loss adds the squared change of
+the score between a sentence and its copies, and between a sentence with and
+without a mention, so that neutral mentions of a group do not count as toxic.
+Fitted on a bounded sample of labelled rows; every whole text is scored.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import byte_slices, map_arrow
 
 SLICE_BYTES = 8 << 20
+#: Pairs whose features are held at once in training.
+PAIR_BLOCK = 4096
 #: Terms of identity, swapped within a line.
 IDENTITY_TERMS = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist", "catholic"),
@@ -78,13 +83,29 @@ def counterfactuals(
     return pairs
 
 
+def mention(text: str, groups=IDENTITY_TERMS) -> tuple[list[str], list[str], str] | None:
+    """Words of a sentence of a text, those words with a term put in, and the
+    term; sentence, place and term depend on the text's checksum only. None
+    for texts without words."""
+    sentences = [own for own in map(words, _SENTENCE.split(text)) if own]
+    if not sentences or not groups:
+        return None
+    draw = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    own = sentences[draw.integers(len(sentences))]
+    group = groups[draw.integers(len(groups))]
+    term, place = group[draw.integers(len(group))], draw.integers(len(own) + 1)
+    return own, [*own[:place], term, *own[place:]], term
+
+
 @dataclass
 class Model:
     """Weights of features; the score is that of the bias and the sum of a
-    text's features, each counted once."""
+    text's features, each counted once. ``pairs`` is the number of sentences
+    and counterfactuals whose scores were held together."""
 
     weight: dict[str, float]
     bias: float
+    pairs: int = 0
 
     def margin(self, text: str) -> float:
         return self.bias + sum(map(self.weight.get, self.weight.keys() & features(words(text))))
@@ -120,7 +141,10 @@ def train(
     groups=IDENTITY_TERMS,
 ) -> Model:
     """Gradient descent on log loss + ridge + ``pair_weight`` times the mean
-    squared difference of the scores of a sentence and its counterfactuals."""
+    squared difference of the scores of a sentence and its counterfactuals.
+
+    The terms of ``groups`` are features besides the ``vocabulary`` best ones.
+    """
     rate = float(np.clip(toxic.mean() if len(toxic) else 0.0, 1e-3, 1 - 1e-3))
     bias = float(np.log(rate / (1 - rate)))
     if not len(toxic) or toxic.all() or not toxic.any():
@@ -131,6 +155,8 @@ def train(
         for t in texts
     ]
     terms = _vocabulary(list(place), own, toxic, min_texts, vocabulary)
+    named = features(w for group in groups for term in group for w in words(term))
+    terms += sorted(named - set(terms))
     index = {w: i for i, w in enumerate(terms)}
 
     def matrix(rows: list[set[str]]) -> np.ndarray:
@@ -139,28 +165,46 @@ def train(
             out[r, [index[w] for w in row & index.keys()]] = 1
         return out
 
-    column = np.full(len(place) + 1, -1)
-    column[[place[w] for w in terms]] = np.arange(len(terms))
-    x, y = np.zeros((len(own), len(terms)), np.float32), toxic.astype(np.float32)
+    column = np.full(len(place), -1)
+    for w in terms:
+        if w in place:
+            column[place[w]] = index[w]
+    x = np.zeros((len(own), len(terms)), np.float32)
     for r, found in enumerate(own):
         known = column[found]
         x[r, known[known >= 0]] = 1
-    pairs = [p for t in texts for p in counterfactuals(t, groups)]
-    change = matrix([features(p[0]) for p in pairs]) - matrix([features(p[1]) for p in pairs])
-    change = change[np.abs(change).any(axis=1)]
+    pairs, mentioned, added = [], [], []
+    for r, text in enumerate(texts):
+        copies = counterfactuals(text, groups)
+        if not copies and (put := mention(text, groups)):
+            base, changed, term = put
+            copies = [(base, changed), *counterfactuals(" ".join(changed), groups)]
+            mentioned.append(r)
+            added.append(features(words(term)))
+        pairs += copies
+    if mentioned:
+        x = np.concatenate([x, np.maximum(x[mentioned], matrix(added))])
+    y = np.concatenate([toxic, toxic[mentioned]]).astype(np.float32)
+    # The penalty needs the sum of the differences' outer products only.
+    outer, n_pairs = np.zeros((len(terms), len(terms)), np.float32), 0
+    for start in range(0, len(pairs), PAIR_BLOCK):
+        block = pairs[start : start + PAIR_BLOCK]
+        change = matrix([features(p[0]) for p in block]) - matrix([features(p[1]) for p in block])
+        outer += change.T @ change
+        n_pairs += int(np.abs(change).any(axis=1).sum())
     weight, speed = np.zeros(len(terms), np.float32), np.zeros(len(terms) + 1, np.float32)
     square = np.zeros(len(terms) + 1, np.float32)
     for step in range(1, steps + 1):  # Adam
         miss = 1 / (1 + np.exp(-np.clip(x @ weight + bias, -30, 30))) - y
         slope = x.T @ miss / len(y) + ridge * weight / len(y)
-        if len(change):
-            slope += 2 * pair_weight * (change.T @ (change @ weight)) / len(change)
+        if n_pairs:
+            slope += 2 * pair_weight * (outer @ weight) / n_pairs
         slope = np.append(slope, miss.mean())
         speed = 0.9 * speed + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
         move = 0.1 * (speed / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
         weight, bias = weight - move[:-1], bias - float(move[-1])
-    return Model({w: float(v) for w, v in zip(terms, weight, strict=True) if v}, bias)
+    return Model({w: float(v) for w, v in zip(terms, weight, strict=True) if v}, bias, n_pairs)
 
 
 def fit(
