@@ -13,6 +13,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def answer_pairs(conversations: DataFrame) -> DataFrame:
+    """Turns of a pair for each conversation: pair_id (its conv_id), side, turn, role, text.
+
+    The chosen side is the whole conversation. The rejected one shares all
+    turns before the last answer (the last turn of an assistant) and then has
+    the last answer of another conversation, 2k for 2k + 1 and the reverse.
+    Without an answer of its own a conversation is its chosen side only;
+    without one of the other the rejected side ends before it. Null turns come
+    before all others; a null conv_id is in no pair. Rows that repeat stay.
+    """
+    rows = conversations.select(
+        F.col("conv_id").cast("long").alias("pair_id"), "turn", "role", "text"
+    )
+    answered = F.col("role") == "assistant"
+    ends = (
+        rows.filter(answered & F.col("turn").isNotNull() & F.col("pair_id").isNotNull())
+        .groupBy(F.col("pair_id").alias("answered"))
+        .agg(F.max("turn").alias("end"))
+    )
+    own = rows.join(ends, F.col("pair_id") == F.col("answered"), "left")
+    columns = ["pair_id", "side", "turn", "role", "text"]
+    chosen = own.withColumn("side", F.lit("chosen")).select(columns)
+    rejected = own.withColumn("side", F.lit("rejected"))
+    shared = rejected.filter(
+        F.col("end").isNotNull() & (F.col("turn").isNull() | (F.col("turn") < F.col("end")))
+    ).select(columns)
+    others = (
+        rejected.filter(answered & (F.col("turn") == F.col("end")))
+        .select(F.expr("pair_id ^ 1").alias("pair_id"), "side", "role", "text")
+        .join(ends.select(F.col("answered").alias("pair_id"), F.col("end").alias("turn")), "pair_id")
+        .select(columns)
+    )
+    return chosen.unionByName(shared).unionByName(others)
+
+
 def format_pairs(turns: DataFrame, trained_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """pair_id, part (prompt, chosen or rejected), turn, role, rendered, trained.
 

@@ -100,17 +100,11 @@ def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations 2k and 2k + 1 are a pair, the even one chosen: the table
-    marks no preferences."""
-    side = F.when(F.col("conv_id") % 2 == 0, F.lit("chosen")).otherwise(F.lit("rejected"))
-    turns = table(spark, sf_dir, "conversations").select(
-        F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"),
-        side.alias("side"),
-        "turn",
-        "role",
-        "text",
+    """The table marks no preferences: a conversation's own last answer is
+    chosen, that of its neighbour by id rejected."""
+    return preferences.format_pairs(
+        preferences.answer_pairs(table(spark, sf_dir, "conversations"))
     )
-    return preferences.format_pairs(turns)
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,13 +187,26 @@ _TRIMMED = "regexp_replace(regexp_replace({0}, '^[\\x20\\x09-\\x0D]+', ''), '[\\
 
 SQL = {
     "op7_preferences": """
-        WITH t AS (
-            SELECT conv_id // 2 AS pair_id,
-                   CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side,
-                   coalesce(turn, -1) AS turn, coalesce(role, '') AS role,
+        WITH last AS (
+            SELECT conv_id, max(turn) AS stop FROM conversations
+            WHERE role = 'assistant' GROUP BY conv_id),
+        sides AS (
+            SELECT conv_id AS pair_id, 'chosen' AS side, turn, role, text FROM conversations
+            UNION ALL
+            SELECT conv_id, 'rejected', turn, role, text
+            FROM conversations JOIN last USING (conv_id) WHERE turn IS NULL OR turn < stop
+            UNION ALL
+            SELECT mine.conv_id, 'rejected', mine.stop, c.role, c.text
+            FROM conversations c JOIN last USING (conv_id)
+            JOIN last mine ON mine.conv_id = CASE WHEN c.conv_id % 2 = 0
+                THEN c.conv_id + 1 ELSE c.conv_id - 1 END
+            WHERE c.role = 'assistant' AND c.turn = last.stop),
+        t AS (
+            SELECT pair_id, side, CAST(coalesce(turn, -1) AS BIGINT) AS turn,
+                   coalesce(role, '') AS role,
                    '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '')
                        || '<|end|>' || chr(10) AS rendered
-            FROM conversations),
+            FROM sides),
         s AS (
             SELECT pair_id, turn, list_sort(list(role || rendered) FILTER (side = 'chosen')) AS c,
                    list_sort(list(role || rendered) FILTER (side = 'rejected')) AS r
