@@ -29,23 +29,29 @@ def answer_pairs(conversations: DataFrame) -> DataFrame:
     answered = F.col("role") == "assistant"
     ends = (
         rows.filter(answered & F.col("turn").isNotNull() & F.col("pair_id").isNotNull())
-        .groupBy(F.col("pair_id").alias("answered"))
+        .groupBy(F.col("pair_id").alias("conversation"))
         .agg(F.max("turn").alias("end"))
     )
-    own = rows.join(ends, F.col("pair_id") == F.col("answered"), "left")
-    columns = ["pair_id", "side", "turn", "role", "text"]
-    chosen = own.withColumn("side", F.lit("chosen")).select(columns)
-    rejected = own.withColumn("side", F.lit("rejected"))
-    shared = rejected.filter(
-        F.col("end").isNotNull() & (F.col("turn").isNull() | (F.col("turn") < F.col("end")))
-    ).select(columns)
-    others = (
-        rejected.filter(answered & (F.col("turn") == F.col("end")))
-        .select(F.expr("pair_id ^ 1").alias("pair_id"), "side", "role", "text")
-        .join(ends.select(F.col("answered").alias("pair_id"), F.col("end").alias("turn")), "pair_id")
-        .select(columns)
+    others = ends.select(
+        F.expr("conversation ^ 1").alias("conversation"), F.col("end").alias("other_end")
+    )
+    both = ends.join(others, "conversation", "full")
+    own = rows.join(both, F.col("pair_id") == F.col("conversation"), "left")
+
+    def place(pair, side: str, turn):
+        return F.struct(pair.alias("pair_id"), F.lit(side).alias("side"), turn.alias("turn"))
+
+    pair, turn, end = F.col("pair_id"), F.col("turn"), F.col("end")
+    shared = end.isNotNull() & (turn.isNull() | (turn < end))
+    answer = answered & (turn == end) & F.col("other_end").isNotNull()
+    places = F.array(
+        place(pair, "chosen", turn),
+        F.when(shared, place(pair, "rejected", turn)),
+        F.when(answer, place(F.expr("pair_id ^ 1"), "rejected", F.col("other_end"))),
+    )
+    return own.select(F.explode(F.array_compact(places)).alias("at"), "role", "text").select(
+        "at.pair_id", "at.side", "at.turn", "role", "text"
     )
-    return chosen.unionByName(shared).unionByName(others)
 
 
 def format_pairs(turns: DataFrame, trained_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
