@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -363,6 +365,116 @@ def test_bad_templates_are_rejected(spark):
     assert {(r.template, r.verdict) for r in found} == {("/ads/item*x/p", "block"), ("/news/item*x/p", "allow")}
 
 
+def _url_tree(rows, max_children, max_z, smoothing, min_purity):
+    """Verdicts by brute force: ``rows`` are (host, path, bad or None)."""
+    ending = re.compile(r"(\.[A-Za-z]{2,5})?/*\Z")
+    shapes = [ending.sub("", re.sub("[0-9]+", "*", path), count=1) for _, path, _ in rows]
+    paths = {(h, s): s.split("/") for (h, _, _), s in zip(rows, shapes, strict=True)}
+
+    def counts(key):
+        n, bad = Counter(), Counter()
+        for (host, _, label), shape in zip(rows, shapes, strict=True):
+            if label is not None:
+                for name in key(host, paths[host, shape]):
+                    n[name] += 1
+                    bad[name] += label
+        return n, bad
+
+    def nodes(host, path):
+        return [(host, *path[:i]) for i in range(len(path) + 1)]
+
+    while True:
+        n, bad = counts(nodes)
+        children = defaultdict(set)
+        for host, path in ((h, p) for (h, _), p in paths.items()):
+            for node in nodes(host, path)[1:]:
+                children[node[:-1]].add(node)
+        general = set()
+        for node, below in children.items():
+            total, total_bad = sum(n[c] for c in below), sum(bad[c] for c in below)
+            for c in below:
+                rest = total - n[c]
+                alike = n[c] and rest and (
+                    (bad[c] / n[c] - (total_bad - bad[c]) / rest) ** 2
+                    <= max_z**2 * total_bad / total * (1 - total_bad / total) * (1 / n[c] + 1 / rest) + 1e-12
+                )
+                if c[-1] != "*" and (len(below) > max_children or alike):
+                    general.add(c)
+        if not general:
+            break
+        paths = {
+            key: ["*" if node in general else node[-1] for node in nodes(key[0], path)[1:]]
+            for key, path in paths.items()
+        }
+    labelled = [label for *_, label in rows if label is not None]
+    prior = sum(labelled) / len(labelled) if labelled else 0.0
+
+    def share(host, path, own=None):
+        value, above = prior, -1
+        for node in nodes(host, path):
+            less = own is not None
+            m, b = n[node] - less, bad[node] - (own or 0)
+            if m != above:
+                value = (b + smoothing * value) / (m + smoothing)
+            above = m
+        return value
+
+    held = Counter()
+    for (host, _, label), shape in zip(rows, shapes, strict=True):
+        if label is not None:
+            held[math.floor(share(host, paths[host, shape], label) * 1000) / 1000] += label - min_purity
+    best, limit, gain = 0, None, 0
+    for value in sorted(held, reverse=True):
+        gain += held[value]
+        if gain > best:
+            best, limit = gain, value
+    return [
+        ("/".join(paths[h, s]), share(h, paths[h, s]), limit)
+        for (h, _, _), s in zip(rows, shapes, strict=True)
+    ]
+
+
+def test_url_tree_against_brute_force(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(600):
+        host = rng.choice(["a.net", "b.net", "b.net", "b.net"])
+        kind = rng.choice(["ads", "news", "blog", "go"])
+        user = f"u{rng.choice('abcdefghijklm')}"
+        path = f"/{kind}/{user}/{rng.choice(['x', 'y', 'buy'])}{rng.choice(['', '/', '.html'])}"
+        risk = 0.9 if kind == "ads" or path.endswith("buy") else 0.1
+        rows.append((host, path, rng.choice([None, int(rng.random() < risk)])))
+    pages = [(i, f"http://{host}{path}") for i, (host, path, _) in enumerate(rows)]
+    labels = [(i, label) for i, (*_, label) in enumerate(rows)]
+    found = urls.judge(
+        spark.createDataFrame(pages, "page_id long, url string"),
+        spark.createDataFrame(labels, "id long, bad int"),
+        {},
+        max_children=8,
+    ).orderBy("page_id").collect()
+    expected = _url_tree(rows, 8, 2.0, 5.0, 0.5)
+    for r, (template, share, limit) in zip(found, expected, strict=True):
+        assert (r.template, r.bad_limit) == (template, limit)
+        assert r.bad_share == pytest.approx(share)
+        assert r.verdict == ("block" if share >= limit else "allow")
+    assert {r.verdict for r in found} == {"block", "allow"}
+    assert any("*" in r.template for r in found)
+
+
+def test_urls_of_any_shape(spark):
+    """Repeated and null ids, a very long url, columns of clashing names."""
+    long_path = "/a" * 20_000
+    pages = spark.createDataFrame(
+        [(1, "http://h.net/x"), (1, "http://h.net/x"), (None, "http://h.net/y"), (2, f"http://h.net{long_path}")],
+        "page_id long, url string",
+    ).selectExpr("*", "1 as host", "2 as `bad share`", "3 as id", "4 as `row.key`")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1)], "id long, bad int")
+    found = urls.judge(pages, labels, {}).collect()
+    assert sorted((r.page_id or 0, r.path) for r in found) == [
+        (0, "/y"), (1, "/x"), (1, "/x"), (2, long_path)
+    ]
+
+
 def test_pipeline(spark, texts):
     pieces = corpus_pipeline.run(spark, SF_DIR).collect()
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
