@@ -5,7 +5,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tests.logs import log
+from tests.logs import at, log
 from tidelog.operators import envelope as E
 from tidelog.operators.state import current_state
 from tidelog.plans import timetravel
@@ -203,6 +203,38 @@ def test_live_volume_counts_rows_arriving_in_later_batches(spark, tmp_path):
     assert sorted(r.events for r in counts) == [8] * 5
 
 
+def test_a_silent_table_has_its_zero_rows_when_a_minute_closes(spark, tmp_path):
+    source, beating, path, ck = (str(tmp_path / n) for n in ("in", "beats", "out", "ck"))
+
+    def send(events, beats):
+        made = log(spark, *events)
+        made.write.mode("append").parquet(source)
+        spark.createDataFrame([(at(m),) for m in beats], "beat_at timestamp_ntz").write.mode(
+            "append"
+        ).parquet(beating)
+        query = live.start_filled_volume(
+            spark.readStream.schema(made.schema).parquet(source),
+            spark.readStream.schema("beat_at timestamp_ntz").parquet(beating),
+            path,
+            ck,
+            ONCE,
+            late="2 minutes",
+            expected=("orders", "customers"),
+        )
+        query.awaitTermination()
+        return {(r.minute, r.source_table): r.events for r in live.read_volume(spark, path).collect()}
+
+    send([("c", "a", 0, "paid"), ("c", "b", 0, "paid"), ("c", "c", 2, "paid")], range(4))
+    found = send([], [6])  # no table has events: the beats alone close minutes
+    assert found == send([], [6])  # and what is closed is written once
+    assert found == {
+        (at(minute), table): {("orders", 0): 2, ("orders", 2): 1}.get((table, minute), 0)
+        for minute in range(4)
+        for table in ("orders", "customers")
+    }
+    assert send([("c", "late", 1, "paid")], [7]) == found  # four minutes behind the beats
+
+
 def test_a_batch_of_refused_records_does_not_stop_the_archive(spark, tmp_path):
     source, places = f"{tmp_path}/in", [f"{tmp_path}/{n}" for n in ("cold", "refused", "check")]
     good = '{"op":"c","after":{"id":"a"},"source":{"table":"orders"},"ts_ms":1}'

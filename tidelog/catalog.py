@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions import payload as P
-from tidelog.functions.times import from_epoch_us
+from tidelog.functions.times import floor_to, from_epoch_us, ts
 from tidelog.operators import containers, envelope, tiering
 from tidelog.operators.joins import left_join
 from tidelog.operators.state import (
@@ -679,6 +680,43 @@ def streamed_volume(spark, sf_dir):
     return live.read_volume(spark, _live(spark, sf_dir, live.start_volume))
 
 
+def streamed_silent_minutes(spark, sf_dir):
+    """Closed minutes of the log, which arrives in order of time with a beat a
+    minute and a restart before each third; ``orders`` has no events."""
+    rows = B.event_log(spark, sf_dir)
+    stored = spark.read.schema(rows.schema).parquet(_as_files(rows, "log"))
+    path, checkpoint = scratch_dir(spark, "live"), scratch_dir(spark, "checkpoint")
+    sources = {name: scratch_dir(spark, name) for name in ("landing", "beats")}
+    arrived = floor_to("minute", F.col("ingested_at"))
+    first, last = stored.agg(F.min(arrived), F.max(arrived)).first()
+    if first is None:
+        return live.read_volume(spark, path)
+    minutes = F.sequence(ts(first), ts(last), F.expr("interval 1 minute"))
+    beats = spark.range(1).select(F.explode(minutes).alias("beat_at"))
+    span, minute = (last - first) / 3, timedelta(minutes=1)
+    bounds = [first, first + span, first + 2 * span, last + minute]
+    parts = [
+        [rows.where((F.col(at) >= ts(low)) & (F.col(at) < ts(high)))
+         for rows, at in ((stored, "ingested_at"), (beats, "beat_at"))]
+        for low, high in pairwise(bounds)
+    ]
+    # two more beats: one closes the log's last minute, the other has it written
+    closing = spark.range(1).select(ts(last + 11 * minute).alias("beat_at"))
+    for events, beat in [*parts, *[(stored.limit(0), closing)] * 2]:
+        events.write.mode("append").parquet(sources["landing"])
+        beat.write.mode("append").parquet(sources["beats"])
+        live.start_filled_volume(
+            _stream(spark, sources["landing"], stored),
+            _stream(spark, sources["beats"], beats),
+            path,
+            checkpoint,
+            ONCE,
+            late="10 minutes",
+            expected=("orders", "users"),
+        ).awaitTermination()
+    return live.read_volume(spark, path)
+
+
 def streamed_latency(spark, sf_dir):
     return live.read_latency(spark, _live(spark, sf_dir, live.start_latency))
 
@@ -765,6 +803,7 @@ QUERIES: dict[str, Query] = {
     "drop_alarms": drop_alarms,
     "streamed_state": streamed_state,
     "streamed_volume": streamed_volume,
+    "streamed_silent_minutes": streamed_silent_minutes,
     "streamed_latency": streamed_latency,
     "streamed_sales_velocity": streamed_sales_velocity,
 }

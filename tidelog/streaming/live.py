@@ -18,7 +18,7 @@ from tidelog.functions.numbers import dollars
 from tidelog.functions.times import floor_to, ts
 from tidelog.plans.business import HOUR
 from tidelog.plans.health import latency_ms
-from tidelog.schemas import ORDERS, SOLD
+from tidelog.schemas import ORDERS, SOLD, STATE_SPECS
 from tidelog.streaming import tables
 
 #: What decides which of a key's events is the latest, before its payload.
@@ -134,6 +134,49 @@ def read_volume(spark: SparkSession, path: str) -> DataFrame:
     return tables.read(spark, path, VOLUME)
 
 
+def start_filled_volume(
+    log: DataFrame,
+    beats: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict,
+    late: str,
+    expected: tuple[str, ...] = tuple(spec.source_table for spec in STATE_SPECS),
+):
+    """``start_volume`` with a zero row for every minute an expected table was
+    silent, to be read by ``read_volume``.
+
+    ``beats`` is a stream of moments ``beat_at``, at least one a minute, such
+    as Spark's rate source. A beat counts as no event of each expected table.
+    Log and beats pass one watermark: a minute is written once, when it closes
+    ``late`` after the newest of both, also while no table has any event. So
+    the state holds open minutes only, and a log that lags behind the beats by
+    more than ``late`` loses what comes after. Tables that are not expected
+    have rows for the minutes of their events.
+    """
+    nothing = beats.select(
+        F.col("beat_at").cast("timestamp").alias("arrived"),
+        F.explode(F.array(*map(F.lit, expected))).alias("source_table"),
+        F.lit(0).cast("bigint").alias("n"),
+    )
+    events = log.select(
+        F.col("ingested_at").cast("timestamp").alias("arrived"),
+        "source_table",
+        F.lit(1).cast("bigint").alias("n"),
+    )
+    counted = (
+        nothing.unionByName(events)
+        .withWatermark("arrived", late)
+        .groupBy(F.window("arrived", "1 minute"), "source_table")
+        .agg(F.sum("n").alias("events"))
+        .select(
+            F.col("window.start").cast("timestamp_ntz").alias("minute"), "source_table", "events"
+        )
+    )
+    sink = _replacing(path, VOLUME, "minute", "source_table")
+    return _start(counted, sink, checkpoint, trigger, "append")
+
+
 def start_latency(
     log: DataFrame, path: str, checkpoint: str, trigger: dict, late: str | None = None
 ):
