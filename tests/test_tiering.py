@@ -10,7 +10,7 @@ from tests.logs import at, log
 from tidelog.operators import tiering
 from tidelog.operators.state import current_state
 from tidelog.operators.unify import unified_log
-from tidelog.plans import timetravel
+from tidelog.plans import health, timetravel
 from tidelog.schemas import COLD_LOG, HOT_LOG, ORDERS
 from tidelog.sources import bindings, snapshots, store
 from tidelog.streaming import ingest
@@ -266,6 +266,65 @@ def test_reads_prune_partitions_by_commit_date(spark, hot_root):
     assert "source_table" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
 
 
+def scan_metrics(df):
+    """The partitions that a plan's one scan opened and the rows it read."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a plan with its leaves in sight
+    try:
+        again = df.select("*")
+        again.collect()
+        leaves = again._jdf.queryExecution().executedPlan().collectLeaves()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    (metrics,) = [leaves.apply(i).metrics() for i in range(leaves.size())]
+    return metrics.apply("numPartitions").value(), metrics.apply("numOutputRows").value()
+
+
+def test_a_question_about_recent_arrivals_opens_one_day(spark, tmp_path):
+    """Events of one commit day that arrive over five days."""
+    root, day_minutes = str(tmp_path / "hot"), 24 * 60
+    for batch in range(5):
+        arrived = batch * day_minutes + 30
+        rows = [("c", f"k{n}", n, "paid", arrived) for n in range(10)]
+        store.append_batch(log(spark, *rows), root, batch)
+    hot = store.read_hot(spark, root)
+    recent = health._ingested_since(hot, at(4 * day_minutes + 30)).select("record_id")
+    assert recent.count() == 10
+    assert scan_metrics(recent)[0] == 1
+    volume = health.event_volume(hot, at(4 * day_minutes + 31), timedelta(minutes=5))
+    assert [tuple(r) for r in volume.collect()] == [(at(4 * day_minutes + 30), "orders", 10)]
+    assert health.event_volume(hot, at(2 * day_minutes + 45), timedelta(days=9)).count() == 5
+
+
+def test_a_lookup_by_key_skips_row_groups(spark, tmp_path):
+    root, batches, rows = str(tmp_path / "hot"), 4, 20_000
+    made = spark.range(rows).selectExpr(
+        "'orders' AS source_table",
+        "'c' AS operation",
+        "sha2(CAST(id AS STRING), 256) AS record_id",
+        "parse_json('{}') AS event_data",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS commit_timestamp",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:01' AS ingested_at",
+        "sha2(CAST(-id AS STRING), 256) AS event_key",
+    )
+    for batch in range(batches):
+        part = F.pmod(F.xxhash64("record_id"), F.lit(batches)) == batch
+        store.append_batch(made.where(part), root, batch)
+    hot = store.read_hot(spark, root)
+    key = made.where("record_id LIKE '7f%'").first().record_id
+    found = store.key_events(hot, "orders", key).select("record_id", "event_key")
+    assert found.collect() == made.where(F.col("record_id") == key).select("record_id", "event_key").collect()
+    read = scan_metrics(found)[1]
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.filter.bloom.enabled", "false")
+    try:
+        unfiltered = scan_metrics(store.key_events(store.read_hot(spark, root), "orders", key).select("record_id"))[1]
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.filter.bloom.enabled")
+    assert read < rows / 2 < unfiltered
+    absent = store.key_events(hot, "orders", "7f" + "0" * 62).select("record_id")
+    assert scan_metrics(absent)[1] == 0
+
+
 def test_snapshot_errors_and_expiry(spark):
     rows = log(spark, *[("c", f"k{n}", 1440 * n, "paid") for n in range(5)], text=True)
     cold = rows.withColumn("snapshot_id", F.date_diff("commit_timestamp", F.lit("2024-01-01")) + 1)

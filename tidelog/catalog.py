@@ -437,6 +437,9 @@ def payments_by_sql(spark, sf_dir):
     )
 
 
+#: The user whose events ``stored_key_events`` looks up.
+LOOKED_UP = "42"
+
 # Retention and maintenance jobs on stored logs.
 
 
@@ -462,6 +465,21 @@ def compacted_archive(spark, sf_dir):
     )
 
 
+def stored_event_volume(spark, sf_dir):
+    """Events per minute of a stored log's last day of arrival; older days of
+    arrival stay closed."""
+    root = scratch_dir(spark, "hot")
+    store.bulk_load(B.event_log(spark, sf_dir), root)
+    return health.event_volume(store.read_hot(spark, root), EVENTS, DAY)
+
+
+def stored_key_events(spark, sf_dir):
+    """Every event of one user of a stored log, by the filters on its key."""
+    root = scratch_dir(spark, "hot")
+    store.bulk_load(B.event_log(spark, sf_dir), root)
+    return _users(store.key_events(store.read_hot(spark, root), "users", LOOKED_UP))
+
+
 def _halves(spark, sf_dir):
     """The event log as two batches."""
     log = B.event_log(spark, sf_dir)
@@ -787,6 +805,8 @@ QUERIES: dict[str, Query] = {
     "countries_per_status": countries_per_status,
     "share_by_country": share_by_country,
     "payments_by_sql": payments_by_sql,
+    "stored_event_volume": stored_event_volume,
+    "stored_key_events": stored_key_events,
     "pruned_store": pruned_store,
     "compacted_archive": compacted_archive,
     "prune_beside_stream": prune_beside_stream,

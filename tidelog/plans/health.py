@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.numbers import ratio
-from tidelog.functions.times import floor_to, millis_between, ts
+from tidelog.functions.times import day, floor_to, millis_between, ts
 from tidelog.schemas import STATE_SPECS
 
 
 def _ingested_since(log: DataFrame, moment: datetime) -> DataFrame:
+    """Of a stored log, only the days of arrival since then are opened."""
+    if "ingest_date" in log.columns:
+        log = log.where(F.col("ingest_date") >= day(moment))
     return log.where(F.col("ingested_at") >= ts(moment))
 
 

@@ -1,10 +1,13 @@
 """Event logs stored as Parquet, partitioned by commit date and source table.
 
-    <root>/<folder>/commit_date=.../source_table=.../batch_id=.../*.parquet
+    <root>/<folder>/commit_date=.../source_table=.../ingest_date=.../batch_id=.../*.parquet
     <root>/versions/       one small JSON row per published version
 
-An archive, whose rows carry a snapshot id, has a level ``snapshot_range=...``
-before the batch, so that a scan as of a snapshot opens no later range.
+The level ``ingest_date`` lets questions about recent arrivals open recent days
+only; a batch has mostly one, so it adds few folders. An archive, whose rows
+carry a snapshot id, has a level ``snapshot_range=...`` instead, so that a scan
+as of a snapshot opens no later range. Files have bloom filters on the keys, by
+which a lookup skips row groups.
 
 A version lists the folders that make up the log and, for each, the commit
 date after which its partitions count; the last one takes the appends. Pruning
@@ -36,12 +39,16 @@ from tidelog.operators.unify import one_copy
 from tidelog.schemas import COLD_LOG, HOT_LOG
 
 KEYS = "event_key string, source_table string"
-PARTITIONS = ("commit_date", "source_table", "batch_id")
+PARTITIONS = ("commit_date", "source_table", "ingest_date", "batch_id")
 ARCHIVE_PARTITIONS = ("commit_date", "source_table", "snapshot_range", "batch_id")
 #: Snapshot ids in a partition: about an hour of commits a minute apart.
 SNAPSHOTS_PER_RANGE = 64
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 BATCH_FILE_BYTES = 64 * 1024 * 1024
+#: Columns that events are looked up by, and the most bytes of the filter that a
+#: row group has on each; the writer takes the smallest that fits the keys.
+LOOKUP_KEYS = ("record_id", "event_key")
+FILTER_BYTES = 1024 * 1024
 
 # Fixed value: how long what a newer version replaced stays readable.
 KEEP_NONCURRENT = timedelta(days=10)
@@ -129,10 +136,15 @@ def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return _read_parts(spark, root, current_version(spark, root).parts, schema)
 
 
+def _own_level(schema: str) -> str:
+    """The partition level that only an archive has, or only a hot log."""
+    archive = "snapshot_id" in StructType.fromDDL(schema).names
+    return "snapshot_range bigint" if archive else "ingest_date date"
+
+
 def _read_parts(spark: SparkSession, root: str, parts: Parts, schema: str) -> DataFrame:
-    columns = f"{schema}, commit_date date, batch_id bigint"
-    if "snapshot_id" in StructType.fromDDL(schema).names:
-        columns += ", snapshot_range bigint"
+    level = _own_level(schema)
+    columns = f"{schema}, commit_date date, {level}, batch_id bigint"
     names = StructType.fromDDL(columns).names
     log = None
     for folder, after in parts:
@@ -250,6 +262,8 @@ def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
     if "snapshot_id" in log.columns:
         levels = ARCHIVE_PARTITIONS
         rows = rows.withColumn("snapshot_range", snapshot_range(F.col("snapshot_id")))
+    else:
+        rows = rows.withColumn("ingest_date", F.col("ingested_at").cast("date"))
     days = levels[:-1]
     if spark.conf.get("spark.sql.adaptive.enabled") != "true":
         raise RuntimeError("set spark.sql.adaptive.enabled: without it a busy day is one task")
@@ -262,6 +276,7 @@ def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
             rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .options(**_filters())
             .partitionBy(*levels)
             .parquet(path)
         )
@@ -269,12 +284,26 @@ def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
         spark.conf.set(setting, previous)
 
 
+def _filters() -> dict[str, str]:
+    options = {
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.max.bytes": str(FILTER_BYTES),
+    }
+    return options | {f"parquet.bloom.filter.enabled#{key}": "true" for key in LOOKUP_KEYS}
+
+
+def key_events(log: DataFrame, source_table: str, record_id: str) -> DataFrame:
+    """All events of one key: opens the table's partitions, and reads the row
+    groups whose filters may hold the key."""
+    return log.where((F.col("source_table") == source_table) & (F.col("record_id") == record_id))
+
+
 class Leaf(NamedTuple):
     path: str
     date: str
     table: str
     batch: int
-    span: int | None  # of snapshot ids, in an archive
+    own: str  # the snapshot range of an archive, the ingest date of a hot log
     folder: str
 
 
@@ -284,14 +313,13 @@ def _leaves(files: list[str]) -> set[Leaf]:
     for path in {unquote(file).rsplit("/", 1)[0] for file in files}:
         folder, levels = path[: path.rindex("/commit_date=")], path[path.rindex("commit_date=") :]
         value = {k: unquote(v) for k, v in (level.split("=", 1) for level in levels.split("/"))}
-        span = value.get("snapshot_range")
         found.add(
             Leaf(
                 path,
                 value["commit_date"],
                 value["source_table"],
                 int(value["batch_id"]),
-                None if span is None else int(span),
+                value.get("snapshot_range") or value.get("ingest_date"),
                 folder.rsplit("/", 1)[-1],
             )
         )
@@ -368,7 +396,7 @@ def _carry_over(log: DataFrame, root: str, parts: Parts, until: str | None = Non
                 late.setdefault(leaf.batch, []).append(leaf.path)
         for batch, paths in late.items():
             rows = spark.read.schema(schema).option("basePath", path).parquet(*paths)
-            append_batch(rows.drop("commit_date", "batch_id"), root, batch)
+            append_batch(rows.drop("commit_date", "ingest_date", "batch_id"), root, batch)
 
 
 def reclaim(
@@ -415,10 +443,11 @@ def register_table(spark: SparkSession, name: str, root: str, schema: str) -> No
     parts = current_version(spark, root).parts
     archive = "snapshot_id" in StructType.fromDDL(schema).names
     levels = ARCHIVE_PARTITIONS if archive else PARTITIONS
-    span = ", snapshot_range bigint" if archive else ""
+    own = levels[2]
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE {name} ({schema}, commit_date date, batch_id bigint{span}) USING parquet"
+        f"CREATE TABLE {name} ({schema}, commit_date date, {_own_level(schema)},"
+        f" batch_id bigint) USING parquet"
         f" PARTITIONED BY ({', '.join(levels)}) LOCATION '{root}/{parts[-1][0]}'"
     )
     if len(parts) == 1:
@@ -431,7 +460,7 @@ def register_table(spark: SparkSession, name: str, root: str, schema: str) -> No
     for first in range(0, len(places), 500):
         added = " ".join(
             f"PARTITION (commit_date = DATE'{leaf.date}', source_table = {_text(leaf.table)},"
-            f"{'' if leaf.span is None else f' snapshot_range = {leaf.span},'}"
+            f" {own} = {leaf.own if archive else f"DATE'{leaf.own}'"},"
             f" batch_id = {leaf.batch}) LOCATION {_text(leaf.path)}"
             for leaf in places[first : first + 500]
         )
