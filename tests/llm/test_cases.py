@@ -146,3 +146,26 @@ def test_stages_keep_the_columns(spark, docs, tmp_path):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, given, str(tmp_path)).columns == docs.columns
         corpus_pipeline.STAGES[-1][1](spark, given, str(tmp_path)).count()
+
+
+def test_lines_of_one_id_and_very_many_lines(spark):
+    """Rows of one id with different texts lose the same lines; a document of
+    many common lines takes time linear in them."""
+    many = [f"line {n} of a text that is long enough to count" for n in range(12_000)]
+    rows = [(i, "\n".join(many)) for i in range(1, 6)]
+    rows += [(1, f"own\n{many[5]}\nend"), (None, many[5]), (1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "1 as h", "2 as `a.b`", "3 as version"
+    )
+    found = sorted(
+        (r.doc_id or 0, r.n_lines, r.n_dropped, r.kept_text[:8])
+        for r in lines.drop_repeated(docs).collect()
+    )
+    assert found == [
+        (0, 1, 0, "line 5 o"),
+        (1, 1, 0, ""),
+        (1, 3, 1, "own\nend"),
+        (1, 12_000, 12_000, ""),
+        *[(i, 12_000, 12_000, "") for i in (2, 3, 4)],
+        (5, 12_000, 0, "line 0 o"),
+    ]

@@ -1,10 +1,11 @@
 """Line dedup across documents (operator 9).
 
 Long lines are exploded as 128-bit hashes of their keys, one row per document
-and key, counted with a partial count per task, and the hashes of the lines a
-document loses are joined back to it. Texts are split again there and put
-together by position; no line text is shuffled. All of it is DataFrame
-operations.
+and key, and counted with a partial count per task. Every long line looks up
+its hash among the common ones; the positions of the lines a document loses
+are joined back to it, and the lines at the others put together in order. No
+line is shuffled apart from its text, and the work is linear in a document's
+lines. All of it is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -14,16 +15,19 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import WHITE_SPACE, ascii_lower, text_or_empty
 
+#: Parts into which the lines of each hash are dealt when they look it up.
+SALTS = 16
+
 
 def _key(line: Column) -> Column:
     """A line in lower case, without white space at its ends."""
     return F.btrim(line, F.lit(WHITE_SPACE))
 
 
-def _hash(key: Column) -> Column:
-    return F.struct(
-        F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit("second")).alias("h2")
-    )
+def _hashes(text: Column, min_chars: int) -> Column:
+    """The hash of each line's key; null for lines that are too short."""
+    keys = F.transform(F.split(ascii_lower(text), "\n"), _key)
+    return F.transform(keys, lambda k: F.when(F.char_length(k) >= min_chars, F.md5(k)))
 
 
 def drop_repeated(
@@ -43,39 +47,42 @@ def drop_repeated(
     a null id count for nothing and lose nothing. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("body"))
-    long_keys = F.filter(
-        F.transform(F.split(ascii_lower(F.col("body")), "\n"), _key),
-        lambda k: F.char_length(k) >= min_chars,
-    )
-    keys = (
-        rows.filter(F.col("doc_id").isNotNull())
-        .select("doc_id", F.explode(F.array_distinct(F.transform(long_keys, _hash))).alias("h"))
-        .select("doc_id", "h.h1", "h.h2")
-    )
+    hashes = _hashes(F.col("body"), min_chars)
+    named = rows.filter(F.col("doc_id").isNotNull())
+    # strings until exploded: only these are told apart in linear time
+    keys = named.select("doc_id", F.explode(F.array_distinct(hashes)).alias("h"))
+    keys = keys.filter("h is not null").select("doc_id", F.unhex("h").alias("h"))
     if _may_repeat(docs, id_col):
         keys = keys.distinct()
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
     common = (
-        keys.groupBy("h1", "h2")
+        keys.groupBy("h")
         .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h", "keeper", F.explode(salts).alias("salt"))
+    )
+    # rows of one id may have different texts
+    version = F.xxhash64("body").alias("version")
+    long_lines = (
+        named.select("doc_id", version, F.posexplode(hashes).alias("pos", "h"))
+        .filter("h is not null")
+        .select("doc_id", "version", "pos", F.unhex("h").alias("h"))
+        .withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
     )
     losses = (
-        keys.join(common, ["h1", "h2"])
+        long_lines.join(common, ["h", "salt"])
         .filter(F.col("doc_id") != F.col("keeper"))
-        .groupBy("doc_id")
-        .agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))  # of one document's own lines
+        .groupBy("doc_id", "version")
+        .agg(F.collect_list("pos").alias("lost"))  # positions in one document
     )
-    lines = F.split("body", "\n")
-
-    def stays(line: Column) -> Column:
-        key = _key(ascii_lower(line))
-        return (F.char_length(key) < min_chars) | ~F.array_contains(F.col("lost"), _hash(key))
-
-    kept = F.when(F.col("lost").isNull(), lines).otherwise(F.filter(lines, stays))
+    # split below the join: above it, a lambda would split again at every line
+    lines = rows.select("doc_id", version, F.split("body", "\n").alias("lines"))
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
+    stay = F.transform(F.array_except(every, F.col("lost")), lambda i: F.get("lines", i))
+    kept = F.when(F.col("lost").isNull(), F.col("lines")).otherwise(stay)
     return (
-        rows.join(losses, "doc_id", "left")
-        .select("doc_id", "body", F.size(lines).cast("long").alias("n_lines"), kept.alias("kept"))
+        lines.join(losses, ["doc_id", "version"], "left")
+        .select("doc_id", F.size("lines").cast("long").alias("n_lines"), kept.alias("kept"))
         .select(
             "doc_id",
             F.array_join("kept", "\n").alias("kept_text"),
