@@ -398,6 +398,30 @@ def test_sales_move_between_minutes(spark, tmp_path, monkeypatch):
     assert {r.changed_by for r in before.values()} <= {0, 1, 2, 3}  # the repeated part moved nothing
 
 
+def test_a_batch_of_sales_moves_its_orders_once(spark, tmp_path, monkeypatch):
+    """State and batch meet in one exchange, also to be written; the key's hex
+    text does not travel."""
+    from tidelog.streaming import tables
+
+    made, path = live_log(spark), f"{tmp_path}/sales"
+    rows, sink = sink_of(monkeypatch, live.start_sales, made, path, "", ONCE, 4)
+    first, second = batches(rows, 2)
+    sink(first, 0)
+    put, plans = tables.put, []
+
+    def seen(written, current, root, *rest):
+        if root.endswith("/orders"):
+            plans.append((written, written._jdf.queryExecution().executedPlan().toString()))
+        put(written, current, root, *rest)
+
+    monkeypatch.setattr(tables, "put", seen)
+    sink(second, 1)
+    ((written, plan),) = plans
+    assert plan.count("Exchange hashpartitioning(record_id") == 1
+    assert "InMemoryTableScan" not in plan and "rebalance" not in plan.lower()
+    assert written.schema["event_key"].dataType.simpleString() == "binary"
+
+
 def test_sales_of_a_stream_that_restarts(spark, tmp_path):
     made = live_log(spark)
     source, path, checkpoint = (f"{tmp_path}/{n}" for n in ("in", "sales", "check"))

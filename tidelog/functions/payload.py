@@ -52,6 +52,12 @@ def event_key(table: Column, operation: Column, record: Column, commit: Column,
     return F.sha2(F.concat(*pieces), 256)
 
 
+def short_key(name: str) -> Column:
+    """An event key in half its bytes and in the same order: the hash behind
+    the hex text. A key of another form is kept as its bytes."""
+    return F.coalesce(F.unhex(F.col(name)), F.col(name).cast("binary"))
+
+
 def with_event_key(log: DataFrame) -> DataFrame:
     """The log with ``event_key`` in front, computed where it is not stored."""
     if "event_key" in log.columns:

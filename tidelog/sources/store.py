@@ -45,6 +45,8 @@ ARCHIVE_PARTITIONS = ("commit_date", "source_table", "snapshot_range", "batch_id
 SNAPSHOTS_PER_RANGE = 64
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 BATCH_FILE_BYTES = 64 * 1024 * 1024
+#: Keys are hashes in hex, which Spark's default codec stores in full.
+COMPRESSION = "zstd"
 #: Columns that events are looked up by, and the most bytes of the filter that a
 #: row group has on each; the writer takes the smallest that fits the keys.
 LOOKUP_KEYS = ("record_id", "event_key")
@@ -81,6 +83,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Move a finished folder into place, so that readers see all of it at once."""
+    target, files = _file_system(spark, to)
+    files.mkdirs(target.getParent())
+    if not files.rename(_file_system(spark, path)[0], target):
+        raise OSError(f"{path} was not moved to {to}")
+
+
+def write_unsorted(rows: DataFrame, path: str, level: str, values: int) -> None:
+    """Write one folder for each of the few values of ``level``, with that many
+    files open in a task instead of a sort of its rows."""
+    spark = rows.sparkSession
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    previous = spark.conf.get(setting)
+    spark.conf.set(setting, str(values))
+    try:
+        rows.write.option("compression", COMPRESSION).partitionBy(level).parquet(path)
+    finally:
+        spark.conf.set(setting, previous)
+
+
 def _children(spark: SparkSession, path: str) -> list[str]:
     folder, files = _file_system(spark, path)
     if not files.exists(folder):
@@ -276,6 +299,7 @@ def _write(log: DataFrame, path: str, batch_id: int, target_bytes: int) -> None:
             rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("compression", COMPRESSION)
             .options(**_filters())
             .partitionBy(*levels)
             .parquet(path)

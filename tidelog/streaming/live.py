@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions import payload as P
@@ -20,6 +20,7 @@ from tidelog.plans.business import HOUR
 from tidelog.plans.health import latency_ms
 from tidelog.schemas import ORDERS, SOLD, STATE_SPECS
 from tidelog.streaming import tables
+from tidelog.streaming.ingest import adaptive
 
 #: What decides which of a key's events is the latest, before its payload.
 ORDER = ("commit_timestamp", "is_delete", "operation", "event_key")
@@ -31,8 +32,10 @@ VOLUME = "minute timestamp_ntz, source_table string, events bigint"
 LATENCY = f"{VOLUME}, total_latency_ms bigint, max_latency_ms bigint"
 ORDER_STATE = (
     "record_id string, commit_timestamp timestamp_ntz, is_delete boolean, operation string,"
-    " event_key string, ingested_at timestamp_ntz, status string, total_cents bigint"
+    " event_key binary, ingested_at timestamp_ntz, status string, total_cents bigint"
 )
+#: What a row's batch has changed; not read by the batches after it.
+BEFORE = "moved boolean, old_minute timestamp_ntz, old_cents bigint"
 SALES = "minute timestamp_ntz, orders bigint, total_cents bigint, changed_by bigint"
 
 
@@ -222,15 +225,15 @@ def start_sales(
 ):
     """Sold orders and cents per minute of their last change, batch by batch.
 
-    The state of the orders that a batch changes is known before and after it.
-    What they contributed before is taken out of their old minutes, what they
-    contribute now is put into their new ones, and orders whose contribution
-    did not move change nothing. Only buckets that hold such a minute are
-    written, and ``changed_by`` names the batch that last changed a minute.
-    Events may come in any order, late by any time, and more than once.
+    Buckets that a batch has orders of are merged with it in one exchange, which
+    gives each order's state and what it contributed before. That is taken out
+    of its old minute, what it contributes now is put into its new one, and
+    orders whose contribution did not move change nothing. Only buckets that
+    hold such a minute are written, and ``changed_by`` names the batch that
+    last changed a minute. Events may come in any order, late by any time, and
+    more than once.
     """
     orders_path, minutes_path = f"{path}/orders", f"{path}/minutes"
-    keys = ("record_id",)
     orders = log.where(F.col("source_table") == ORDERS.source_table)
     value = P.as_variant(orders)
     fields = dict(ORDERS.fields)
@@ -247,40 +250,71 @@ def start_sales(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tables.check_checkpoint(spark, orders_path, ORDER_STATE, batch_id)
-        changes = _newest(batch, keys, ORDER_STATE).withColumn("bucket", bucket).persist()
-        try:
-            found = tables.touched(changes)
+        with adaptive(spark):
+            tables.check_checkpoint(spark, orders_path, ORDER_STATE, batch_id)
+            found = tables.touched(batch.select(bucket.alias("bucket")))
             current = tables.held(spark, orders_path, ORDER_STATE, batch_id, found)
-            state = tables.plain(current)
-            before = state.join(changes.select("record_id"), "record_id", "left_semi")
-            after = _newest(before.unionByName(changes), keys, ORDER_STATE)
-            _move(spark, minutes_path, batch_id, before, after)
-            merged = _newest(state.unionByName(changes), keys, ORDER_STATE)
-            tables.put(merged.withColumn("bucket", bucket), current, orders_path, batch_id)
-        finally:
-            changes.unpersist()
+            state = _merged(tables.plain(current).drop("bucket"), batch)
+            placed = state.withColumn("bucket", bucket)
+            tables.put(placed, current, orders_path, batch_id, len(found))
+            written = tables.held(
+                spark, orders_path, f"{ORDER_STATE}, {BEFORE}", batch_id + 1, found
+            )
+            _move(spark, minutes_path, batch_id, written.where("moved"))
 
     return _start(rows, sink, checkpoint, trigger, "append")
 
 
-def _contributions(state: DataFrame, sign: int) -> DataFrame:
-    sold = state.where(~F.col("is_delete") & F.col("status").isin(*SOLD))
-    return sold.select(
-        floor_to("minute", F.col("commit_timestamp")).alias("minute"),
-        F.lit(sign).cast("bigint").alias("orders"),
-        (sign * F.coalesce("total_cents", F.lit(0))).cast("bigint").alias("total_cents"),
+def _contribution() -> Column:
+    """The minute and cents of a sold order, NULL for any other."""
+    return F.when(
+        ~F.col("is_delete") & F.col("status").isin(*SOLD),
+        F.struct(
+            floor_to("minute", F.col("commit_timestamp")).alias("minute"),
+            F.coalesce("total_cents", F.lit(0)).alias("cents"),
+        ),
+    )
+
+
+def _merged(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """The newest event of each key, whether that moved what the key
+    contributes, and if so what it contributed before."""
+    nothing = F.lit(None).cast("struct<minute: timestamp_ntz, cents: bigint>")
+    both = state.withColumn("before", _contribution()).unionByName(
+        batch.withColumn("event_key", P.short_key("event_key")).withColumn("before", nothing)
+    )
+    rest = [*ORDER, "ingested_at", "status", "total_cents"]
+    newest = both.groupBy("record_id").agg(
+        F.max(F.struct(*rest)).alias("newest"), F.max("before").alias("before")
+    )
+    moved = ~F.col("before").eqNullSafe(_contribution())
+    return (
+        newest.select("record_id", "newest.*", "before")
+        .withColumn("moved", moved)
+        .withColumn("old_minute", F.when(F.col("moved"), F.col("before.minute")))
+        .withColumn("old_cents", F.when(F.col("moved"), F.col("before.cents")))
+        .drop("before")
     )
 
 
-def _move(
-    spark: SparkSession, path: str, batch_id: int, before: DataFrame, after: DataFrame
-) -> None:
+def _move(spark: SparkSession, path: str, batch_id: int, changed: DataFrame) -> None:
     bucket = tables.period_bucket("minute")
     sums = [F.sum(c).alias(c) for c in ("orders", "total_cents")]
+    old = F.struct(F.col("old_minute").alias("minute"), F.col("old_cents").alias("cents"))
+    pair = changed.select(old.alias("before"), _contribution().alias("after"))
+    sides = F.array(
+        *(
+            F.struct(
+                F.col(f"{side}.minute").alias("minute"),
+                F.lit(sign).cast("bigint").alias("orders"),
+                (sign * F.col(f"{side}.cents")).alias("total_cents"),
+            )
+            for side, sign in (("before", -1), ("after", 1))
+        )
+    )
     moved = (
-        _contributions(before, -1)
-        .unionByName(_contributions(after, 1))
+        pair.select(F.inline(sides))
+        .where("minute is not null")
         .groupBy("minute")
         .agg(*sums)
         .where("orders <> 0 or total_cents <> 0")

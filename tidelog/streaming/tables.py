@@ -18,9 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.sources.store import read_or_empty
+from tidelog.sources import store
 
 BUCKETS = 64
+#: With more buckets to write, rows are dealt by bucket first: one more exchange,
+#: but no file of every bucket from every task.
+DIRECT_BUCKETS = 8
 #: Days whose minutes share a bucket.
 PERIOD_DAYS = 30
 PLACED = "batch_id bigint, bucket int, generation int"
@@ -47,7 +50,7 @@ def held(
     buckets: list[int] | None = None,
 ) -> DataFrame:
     """The rows as they are, or were before a batch, of some buckets or all."""
-    rows = read_or_empty(spark, root, f"{schema}, {PLACED}")
+    rows = store.read_or_empty(spark, root, f"{schema}, {PLACED}")
     if buckets is not None:
         rows = rows.where(F.col("bucket").isin(buckets))
     if before is not None:
@@ -64,7 +67,7 @@ def read(spark: SparkSession, root: str, schema: str) -> DataFrame:
 def check_checkpoint(spark: SparkSession, root: str, schema: str, batch_id: int) -> None:
     """Refuse to start a table over with another stream's first batch."""
     if batch_id == 0:
-        rows = read_or_empty(spark, root, f"{schema}, {PLACED}")
+        rows = store.read_or_empty(spark, root, f"{schema}, {PLACED}")
         if not rows.where("batch_id > 0").isEmpty():
             raise OtherCheckpoint(f"{root} has later batches: give a new checkpoint a new path")
 
@@ -74,16 +77,26 @@ def touched(changes: DataFrame) -> list[int]:
     return sorted(r.bucket for r in changes.select("bucket").distinct().collect())
 
 
-def put(rows: DataFrame, current: DataFrame, root: str, batch_id: int) -> None:
-    """Write whole buckets; ``current`` is what the batch found in them."""
+def put(
+    rows: DataFrame, current: DataFrame, root: str, batch_id: int, buckets: int | None = None
+) -> None:
+    """Write whole buckets; ``current`` is what the batch found in them.
+
+    ``buckets`` is how many there are, if known: few are written from where
+    their rows are.
+    """
     other = current.select("bucket", (1 - F.col("generation")).alias("generation")).distinct()
-    (
-        rows.join(other, "bucket", "left")
+    placed = (
+        rows.join(F.broadcast(other), "bucket", "left")
         .withColumn("generation", F.coalesce("generation", F.lit(0)))
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .hint("rebalance", "bucket")
-        .write.mode("overwrite")
+    )
+    if buckets is None or buckets > DIRECT_BUCKETS:
+        placed = placed.hint("rebalance", "bucket")
+    (
+        placed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", store.COMPRESSION)
         .partitionBy("bucket", "generation")
         .parquet(root)
     )
