@@ -259,7 +259,7 @@ def materialise(spark: SparkSession, sf_dir: str) -> None:
     questions read a log instead of deriving it first."""
     logs = {name: make(spark, sf_dir) for name, make in STAR_LOGS.items()}
     logs["events"] = _event_log(spark, sf_dir)
-    logs["archive"] = _archived(logs["events"])
+    logs["archive"] = archived(logs["events"])
     for name, log in logs.items():
         path = scratch_dir(spark, name)
         by_time = log.repartitionByRange(FILES, "commit_timestamp")
@@ -318,7 +318,8 @@ def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.with_event_key(rows)
 
 
-def _archived(log: DataFrame) -> DataFrame:
+def archived(log: DataFrame) -> DataFrame:
+    """A log of the event table as its archive has it."""
     return log.withColumn("event_data", F.to_json("event_data")).withColumn(
         "snapshot_id", snapshot_day(F.col("commit_timestamp"))
     )
@@ -337,7 +338,7 @@ def event_log(spark: SparkSession, sf_dir: str, keep: str | None = None) -> Data
 def event_archive(spark: SparkSession, sf_dir: str, keep: str | None = None) -> DataFrame:
     """Archive of the event table: text payload, one snapshot per commit day."""
     written = _written(spark, sf_dir, "archive")
-    return _kept(_archived(_event_log(spark, sf_dir)) if written is None else written, keep)
+    return _kept(archived(_event_log(spark, sf_dir)) if written is None else written, keep)
 
 
 def snapshot_day(moment: Column) -> Column:
