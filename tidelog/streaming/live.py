@@ -100,15 +100,17 @@ def _replacing(path: str, schema: str, *keys: str) -> Callable:
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tables.check_checkpoint(spark, path, schema, batch_id)
-        changes = batch.withColumn("bucket", bucket).persist()
-        try:
-            found = tables.touched(changes)
-            current = tables.held(spark, path, schema, batch_id, found)
-            others = tables.plain(current).join(changes.select(*keys), list(keys), "left_anti")
-            tables.put(others.unionByName(changes), current, path, batch_id)
-        finally:
-            changes.unpersist()
+        with adaptive(spark):
+            tables.check_checkpoint(spark, path, schema, batch_id)
+            changes = batch.withColumn("bucket", bucket).persist()
+            try:
+                found = tables.touched(changes)
+                if found:
+                    current = tables.held(spark, path, schema, batch_id, found)
+                    kept = tables.plain(current).join(changes.select(*keys), list(keys), "left_anti")
+                    tables.put(kept.unionByName(changes), current, path, batch_id)
+            finally:
+                changes.unpersist()
 
     return sink
 
