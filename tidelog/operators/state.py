@@ -87,26 +87,33 @@ def current_state(
     ``changed_since`` returns only rows last changed at or after that moment.
     It cuts the log before the ranking: a key's latest event passes the bound
     exactly when the key has any event that does. An upper bound has no such
-    form; use ``state_as_of`` for that.
+    form; use ``state_as_of`` for that. The fields of a VARIANT payload are taken
+    before the ranking; text is parsed after it, for the rows that stay.
     """
     events = log.where(F.col("source_table") == spec.source_table)
     if changed_since is not None:
         events = since(events, changed_since)
+    parsing = P.needs_parsing(events)
+    events = P.with_event_key(events)
+    if "event_key" not in carry:
+        events = events.withColumn("event_key", P.short_key("event_key"))
+    payload = F.col("event_data")
+    fields = [P.field(payload, name, type_).alias(f"field_{name}") for name, type_ in spec.fields]
+    if not parsing:
+        # taken before the ranking: what a question asks for crosses the
+        # exchange, and not the whole payload
+        kept = {*KEY, "commit_timestamp", "operation", "event_key", "ingested_at", "source_store"}
+        events = events.select(*(c for c in events.columns if c in kept.union(carry)), *fields)
     live = live_rows(events)
-    columns = [
+    if parsing:
+        parsed = P.as_variant(live).alias("event_data")
+        live = P.computed_once(live, "record_id", "commit_timestamp", parsed, *carry)
+        live = live.select("record_id", "commit_timestamp", *fields, *carry)
+    return live.select(
         F.col("record_id").alias(spec.key),
-        P.as_variant(live).alias("event_data"),
+        *(F.col(f"field_{name}").alias(name) for name, _ in spec.fields),
         F.col("commit_timestamp").alias("last_change_at"),
         *carry,
-    ]
-    live = (
-        P.computed_once(live, *columns) if P.needs_parsing(live) else live.select(*columns)
-    )
-    return live.select(
-        spec.key,
-        *(P.field(F.col("event_data"), name, type_).alias(name) for name, type_ in spec.fields),
-        "last_change_at",
-        *carry,
     )
 
 
