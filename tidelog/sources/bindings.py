@@ -46,6 +46,10 @@ def _change(table_name: str, at: Column, operation: str, **overrides: Column) ->
     )
 
 
+#: The payload's canonical text beside a derived log, for its archive.
+CANONICAL = "canonical_text"
+
+
 def _log(rows: DataFrame, number: Column, record: Column, changes: Column, row: dict[str, Column]):
     """Explode the changes of each row into log rows, redelivering some."""
     exploded = (
@@ -91,6 +95,7 @@ def _log(rows: DataFrame, number: Column, record: Column, changes: Column, row:
         .alias("event_data"),
         "commit_timestamp",
         plus(F.col("arrived"), F.col("resent"), "second").alias("ingested_at"),
+        text.alias(CANONICAL),
     )
 
 
@@ -257,7 +262,7 @@ FILES = 16
 def materialise(spark: SparkSession, sf_dir: str) -> None:
     """Write the logs of a table folder to files once, by commit time, so that
     questions read a log instead of deriving it first."""
-    logs = {name: make(spark, sf_dir) for name, make in STAR_LOGS.items()}
+    logs = {name: make(spark, sf_dir).drop(CANONICAL) for name, make in STAR_LOGS.items()}
     logs["events"] = _event_log(spark, sf_dir)
     logs["archive"] = archived(logs["events"])
     for name, log in logs.items():
@@ -277,13 +282,23 @@ def star_log(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
     logs = []
     for name in tables or STAR_LOGS:
         written = _written(spark, sf_dir, name)
-        logs.append(STAR_LOGS[name](spark, sf_dir) if written is None else written)
+        made = STAR_LOGS[name](spark, sf_dir).drop(CANONICAL)
+        logs.append(made if written is None else written)
     log = logs[0]
     for other in logs[1:]:
         log = log.unionByName(other)
     return log
 
 
+def star_archive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One source table's log with its payload as text, as an archive has it."""
+    written = _written(spark, sf_dir, name)
+    if written is not None:
+        return written.withColumn("event_data", F.to_json("event_data"))
+    log = STAR_LOGS[name](spark, sf_dir)
+    return log.withColumn("event_data", F.col(CANONICAL)).drop(CANONICAL)
+
+
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table as changes of one ``users`` table, one state per user."""
     user = F.col("user_id")
